@@ -37,7 +37,7 @@ def _step_end(ts: str, step: int) -> Column:
 
 
 def _range(keys: list[str], seconds: int, step: int) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy("at").rangeBetween(-(seconds - step), 0)
+    return Window.partitionBy(*keys).orderBy("evaluated_at").rangeBetween(-(seconds - step), 0)
 
 
 def counter_rate(samples: DataFrame, seconds: int, step: int = STEP, *, order=("ts",),
@@ -53,20 +53,20 @@ def counter_rate(samples: DataFrame, seconds: int, step: int = STEP, *, order=("
         return d.withColumn("_inc", F.coalesce(grown, F.lit(0.0)))
 
     deltas = Series.of(samples, keys, list(order), **limits).rolling(1, increase).rows()
-    steps = deltas.groupBy(*keys, _step_end("ts", step).alias("at")).agg(
+    steps = deltas.groupBy(*keys, _step_end("ts", step).alias("evaluated_at")).agg(
         F.sum("_inc").alias("_inc"))
     return steps.select(
-        *keys, "at", (F.sum("_inc").over(_range(keys, seconds, step)) / seconds).alias("rate"))
+        *keys, "evaluated_at", (F.sum("_inc").over(_range(keys, seconds, step)) / seconds).alias("rate"))
 
 
 def gauge_delta(samples: DataFrame, seconds: int, step: int = STEP, *, order=("ts",),
                 keys: list[str] = _SERIES) -> DataFrame:
     """Last minus first value in the range up to each evaluation."""
     place = F.struct(*order)
-    steps = samples.groupBy(*keys, _step_end("ts", step).alias("at")).agg(
+    steps = samples.groupBy(*keys, _step_end("ts", step).alias("evaluated_at")).agg(
         F.min_by("value", place).alias("_first"), F.max_by("value", place).alias("_last"))
     first = F.first("_first").over(_range(keys, seconds, step))
-    return steps.select(*keys, "at", (F.col("_last") - first).alias("delta"))
+    return steps.select(*keys, "evaluated_at", (F.col("_last") - first).alias("delta"))
 
 
 def duration_histogram(df: DataFrame, value: str, bounds: list[float], *,
@@ -107,13 +107,13 @@ def alert_for(evaluations: DataFrame, condition: Column, hold: int, *,
 
     An evaluation more than `gap` seconds after the one before it starts anew.
     """
-    w = Window.partitionBy(*keys).orderBy("at")
+    w = Window.partitionBy(*keys).orderBy("evaluated_at")
     active = evaluations.withColumn("_on", F.coalesce(condition, F.lit(False)))
-    late = F.col("at") - F.lag("at").over(w) > gap
+    late = F.col("evaluated_at") - F.lag("evaluated_at").over(w) > gap
     broken = F.coalesce(late, F.lit(True)) | ~F.lag("_on", 1, False).over(w)
-    runs = active.withColumn("_start", F.when(F.col("_on") & broken, F.col("at")))
+    runs = active.withColumn("_start", F.when(F.col("_on") & broken, F.col("evaluated_at")))
     since = F.last("_start", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    held = F.when(F.col("_on"), F.col("at") - since)
+    held = F.when(F.col("_on"), F.col("evaluated_at") - since)
     return runs.withColumn("active_seconds", held).withColumn(
         "firing", F.coalesce(held >= hold, F.lit(False))).drop("_on", "_start")
 
@@ -143,16 +143,17 @@ RULES = [
 def window_quantile(samples: DataFrame, q: float, bounds: list[float], seconds: int,
                     step: int = STEP, *, keys: list[str] = _SERIES) -> DataFrame:
     """Histogram quantile of the values seen in the range up to each evaluation."""
-    placed = samples.withColumn("at", _step_end("ts", step))
-    buckets = duration_histogram(placed, "value", bounds, keys=[*keys, "at"])
+    placed = samples.withColumn("evaluated_at", _step_end("ts", step))
+    buckets = duration_histogram(placed, "value", bounds, keys=[*keys, "evaluated_at"])
     over = _range([*keys, "le"], seconds, step)
     seen = buckets.withColumn("value", F.sum("value").over(over))
-    return histogram_quantile(seen, q, keys=[*keys, "at"])
+    return histogram_quantile(seen, q, keys=[*keys, "evaluated_at"])
 
 
 def evaluate_alerts(samples: DataFrame, rules: list[Rule] = RULES, *, bounds: list[float],
                     order=("ts",), step: int = STEP, gap: int | None = None) -> DataFrame:
-    """All rules over one sample table: (alert, severity, metric, series, at, reading, firing)."""
+    """All rules over one sample table: (alertname, severity, metric,
+    series, evaluated_at, reading, firing)."""
     results = []
     for rule in rules:
         chosen = samples.where(F.col("metric") == rule.metric)
@@ -168,16 +169,16 @@ def evaluate_alerts(samples: DataFrame, rules: list[Rule] = RULES, *, bounds: li
         fired = alert_for(read, F.col("reading") > rule.limit, rule.hold, gap=gap or step)
         results.append(fired.select(
             F.lit(rule.name).alias("alertname"), F.lit(rule.severity).alias("severity"),
-            *_SERIES, "at", "reading", "firing"))
+            *_SERIES, "evaluated_at", "reading", "firing"))
     return reduce(DataFrame.unionByName, results)
 
 
 def group_alerts(alerts: DataFrame, repeat: int = 3600) -> DataFrame:
     """Notifications per alert name: one per repeat interval in which it fires."""
-    slot = F.floor(F.col("at") / repeat) * repeat
+    slot = F.floor(F.col("evaluated_at") / repeat) * repeat
     return (
         alerts.where("firing").groupBy("alertname", slot.alias("interval_start"))
-        .agg(F.min("at").alias("sent_at"),
+        .agg(F.min("evaluated_at").alias("sent_at"),
              F.count_distinct("metric", "series").alias("firing_series"))
     )
 
@@ -185,9 +186,9 @@ def group_alerts(alerts: DataFrame, repeat: int = 3600) -> DataFrame:
 def inhibit(alerts: DataFrame) -> DataFrame:
     """Drop a warning while a critical alert of the same name fires."""
     firing = alerts.where("firing")
-    critical = firing.where(F.col("severity") == "critical").select("alertname", "at").distinct()
+    critical = firing.where(F.col("severity") == "critical").select("alertname", "evaluated_at").distinct()
     calm = firing.where(F.col("severity") == "warning").join(
-        critical, ["alertname", "at"], "left_anti")
+        critical, ["alertname", "evaluated_at"], "left_anti")
     return calm.unionByName(firing.where(F.col("severity") != "warning"))
 
 

@@ -11,15 +11,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Text formats keep microseconds.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+
+
 def read_csv(spark: SparkSession, path: str, schema, null_value: str = "",
              mode: str = "FAILFAST") -> DataFrame:
     """Header CSV with a given schema; `null_value` is the text that stands for null."""
     return (spark.read.schema(schema).option("header", True).option("nullValue", null_value)
-            .option("mode", mode).csv(path))
+            .option("mode", mode).options(**TIMES).csv(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).options(**TIMES).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -40,11 +45,11 @@ def write_orc(df: DataFrame, path: str) -> None:
 
 def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
     """One JSON object per line."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").options(**TIMES).json(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    df.write.mode("overwrite").option("ignoreNullFields", False).options(**TIMES).json(path)
 
 
 def read_columnar_json(spark: SparkSession, path: str, fields: dict[str, str],
