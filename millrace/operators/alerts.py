@@ -19,13 +19,15 @@ STEP = 15
 _SERIES = ["metric", "series"]
 
 
-def to_samples(df: DataFrame, metric: str, labels: list[str], value: str, ts: str) -> DataFrame:
-    """Rows as labelled samples."""
+def to_samples(df: DataFrame, metric: str | Column, labels: list[str], value: str,
+               ts: str) -> DataFrame:
+    """Rows as labelled samples of one metric, or of the metric a column names."""
     pairs = [x for c in labels for x in (F.lit(c), F.col(c).cast("string"))]
     tags = F.create_map(*pairs) if pairs else F.expr("map()").cast("map<string,string>")
     text = F.concat_ws(",", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in labels])
+    name = F.lit(metric) if isinstance(metric, str) else metric
     return df.select(
-        F.lit(metric).alias("metric"), tags.alias("labels"), text.alias("series"),
+        name.alias("metric"), tags.alias("labels"), text.alias("series"),
         F.col(ts).alias("ts"), F.col(value).cast("double").alias("value"),
     )
 

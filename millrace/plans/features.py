@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import is_weekend, money
 from millrace.operators import features as ft
 from millrace.operators import learning, series
-from millrace.plans.registry import query, table
+from millrace.plans.registry import query, table, table_stream
 from millrace.session import materialize, scratch
+from millrace.streaming.ingest import run_available
+from millrace.streaming.store import read_current, upsert_latest
 
 CLICKS = ft.FeatureView("clicks", ("customer_id",), ("click_value", "click_id"),
                         timedelta(days=90))
@@ -90,6 +92,19 @@ def materialize_views(spark, sf_dir):
     return ft.materialize_latest(CLICKS, source, _time(_MIDDLE), _time(_END), store)
 
 
+@query("stream_materialize", f"SELECT * FROM {LATEST_CLICKS} c")
+def stream_materialize(spark, sf_dir):
+    """The same store kept by a stream of feature rows."""
+    path, keys, order = scratch(spark, "store"), ["customer_id"], ["event_timestamp", "created"]
+    rows = table_stream(spark, sf_dir, "events").where(
+        (F.col("event_type") == "click") & (F.col("ts") <= _time(_END))).select(
+        F.col("user_id").alias("customer_id"), F.col("ts").alias("event_timestamp"),
+        F.col("ts").alias("created"), F.col("value").alias("click_value"),
+        F.col("event_id").alias("click_id"))
+    run_available(upsert_latest(rows, path, keys, order, scratch(spark, "checkpoint")))
+    return read_current(spark, path, keys, order)
+
+
 @query("latest_features", f"""
     SELECT c_custkey AS customer_id, click_value, click_id
     FROM customer LEFT JOIN {LATEST_CLICKS} c ON c_custkey = customer_id

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.columns import with_audit
 from millrace.plans.registry import query, table
 from millrace.session import scratch
 from millrace.sources import files, jdbc
@@ -87,8 +90,8 @@ def bulk_load_rejects(spark, sf_dir):
 """)
 def dated_snapshot(spark, sf_dir):
     """A snapshot under two roots; the copy of the second root is read."""
-    rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", F.lit("2024-01-31").cast("date").alias("etl_date"))
+    rows = with_audit(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"),
+                      datetime.date(2024, 1, 31), "etl_date")
     roots = [scratch(spark, "primary"), scratch(spark, "secondary")]
     return spark.read.parquet(files.write_snapshot(rows, roots, "orders", "2024-01-31")[1])
 

@@ -169,15 +169,11 @@ RULES = [
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sample per event: k is the counter, duration or price of the event's metric."""
-    rows = tick_rows(spark, sf_dir)
-    parts = [
-        alerts.to_samples(rows.where(F.col("event_type") == kind), metric, ["event_type"],
-                          "volume", "timestamp") for kind, metric in METRICS.items()
-    ]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+    metric = F.lit(None).cast("string")
+    for kind, name in METRICS.items():
+        metric = F.when(F.col("event_type") == kind, F.lit(name)).otherwise(metric)
+    return alerts.to_samples(tick_rows(spark, sf_dir), metric, ["event_type"], "volume",
+                             "timestamp")
 
 
 _NAMES = " ".join(f"WHEN '{kind}' THEN '{metric}'" for kind, metric in METRICS.items())

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import apply_filters, fill_defaults, money, month_filter
+from millrace.functions.columns import (
+    apply_filters,
+    cast_columns,
+    fill_defaults,
+    money,
+    month_filter,
+    recent,
+)
 from millrace.operators import aggregates as agg
 from millrace.operators import layout
 from millrace.plans.registry import query, table
@@ -265,3 +272,25 @@ def fill_constant(spark, sf_dir):
         "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("amount"),
         F.when(F.col("event_type") != "signup", F.col("user_id")).alias("quantity"))
     return fill_defaults(sparse, {"amount": 0, "quantity": 0})
+
+
+@query("explicit_cast", """
+    SELECT event_id, (ts::VARCHAR)[:19] AS seen_at, try_cast(event_type AS DOUBLE) AS as_number,
+           user_id::DOUBLE AS user_id
+    FROM events
+""")
+def explicit_cast(spark, sf_dir):
+    """Text that is no number becomes null."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen_at"),
+        F.col("event_type").alias("as_number"), "user_id")
+    return cast_columns(rows, {"as_number": "double", "user_id": "double"}, strict=False)
+
+
+@query("recent_days_filter", """
+    SELECT o_orderkey AS transaction_id, CAST(o_orderdate AS DATE) AS sale_date,
+           o_totalprice AS amount, o_custkey AS customer_id
+    FROM orders WHERE o_orderdate >= DATE '2001-07-15' - 30
+""")
+def recent_days_filter(spark, sf_dir):
+    return transactions(spark, sf_dir).where(recent("sale_date", 30, "2001-07-15"))

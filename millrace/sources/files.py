@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import materialize
+
 
 # Text formats keep microseconds.
 TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
@@ -167,21 +169,19 @@ def bulk_load(spark: SparkSession, folder: str, schema: T.StructType, pattern: s
               on_error: str = "continue") -> tuple[DataFrame, DataFrame]:
     """Rows of the header CSV files that match a glob, and the lines that do not fit the schema.
 
-    With on_error="abort" a bad line is an error.
+    The files are parsed once into a staged table that both results filter. With on_error="abort" a
+    bad line is an error.
     """
-    if on_error == "abort":
-        good = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-                .option("pathGlobFilter", pattern).csv(folder))
-        return good, good.limit(0).select(F.lit("").alias("line"), F.lit("").alias("file"))
     corrupt = T.StructField("_corrupt", T.StringType())
+    mode = "FAILFAST" if on_error == "abort" else "PERMISSIVE"
     rows = (
         spark.read.schema(T.StructType([*schema.fields, corrupt])).option("header", True)
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+        .option("mode", mode).option("columnNameOfCorruptRecord", "_corrupt").options(**TIMES)
         .option("pathGlobFilter", pattern).csv(folder)
-        .withColumn("_file", F.col("_metadata.file_path"))
     )
-    good = rows.where(F.col("_corrupt").isNull()).drop("_corrupt", "_file")
-    rejects = rows.where(F.col("_corrupt").isNotNull()).select(
+    staged = materialize(rows.withColumn("_file", F.col("_metadata.file_path")), "staged")
+    good = staged.where(F.col("_corrupt").isNull()).drop("_corrupt", "_file")
+    rejects = staged.where(F.col("_corrupt").isNotNull()).select(
         F.col("_corrupt").alias("line"), F.col("_file").alias("file"))
     return good, rejects
 

@@ -8,9 +8,9 @@ batches after it; `compact` writes a new snapshot.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.operators.series import latest_per_key
 
@@ -60,9 +60,10 @@ def compact(spark: SparkSession, path: str, keys: list[str], order: list[str]) -
     return upto
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(f"{path}/changes").schema
-        return True
-    except AnalysisException:
-        return False
+def upsert_latest(stream: DataFrame, path: str, keys: list[str], order: list[str],
+                  checkpoint: str) -> DataStreamWriter:
+    """Keep the newest row per key of a stream, such as the rows of a feature view."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch, batch_id, path, keys, order)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

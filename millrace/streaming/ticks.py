@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.operators.ordered import Series
-from millrace.operators.series import latest_per_key
-from millrace.streaming.store import exists, read_changes
 
 
 def tick_windows(ticks: DataFrame, seconds: int = 60, minimum: int = 5, *,
@@ -35,16 +33,15 @@ def vwap_batch(batch: DataFrame, batch_id: int, path: str, *, order: list[str],
     blocks, so no task or state entry holds its ticks.
     """
     spark = batch.sparkSession
-    totals_path = f"{path}/totals"
     batch = batch.persist()
     try:
         series = Series.of(batch, ["symbol"], order, **limits).running(
             _pv=F.col("price") * F.col("volume"), _v=F.col("volume"))
         rows = series.rows()
+        # Totals are cumulative, so the batch before holds every symbol seen so far.
         before = None
-        if exists(spark, totals_path):
-            older = read_changes(spark, totals_path).where(F.col("batch_id") < batch_id)
-            before = latest_per_key(older, ["symbol"], ["batch_id"]).drop("batch_id")
+        if batch_id > 0:
+            before = spark.read.parquet(f"{path}/totals/batch_id={batch_id - 1}")
         if before is None:
             carried = rows.withColumns({"_pv0": F.lit(0.0), "_v0": F.lit(0.0)})
         else:
@@ -58,7 +55,7 @@ def vwap_batch(batch: DataFrame, batch_id: int, path: str, *, order: list[str],
         if before is not None:
             sums = sums.unionByName(before).groupBy("symbol").agg(
                 F.sum("_pv0").alias("_pv0"), F.sum("_v0").alias("_v0"))
-        sums.write.mode("overwrite").parquet(f"{totals_path}/changes/batch_id={batch_id}")
+        sums.write.mode("overwrite").parquet(f"{path}/totals/batch_id={batch_id}")
     finally:
         batch.unpersist()
 
