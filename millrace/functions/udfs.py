@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +25,15 @@ def register_udfs(spark: SparkSession, as_of) -> None:
     spark.udf.register("calculate_inventory_score", inventory_score_udf(as_of))
 
 
-PATTERN_SCHEMA = (
+PATTERNS = (
     "customer_id long, total_orders long, total_spent double, avg_order_value double, "
     "avg_days_between_orders double, peak_order_hour int"
 )
+_ARROW = pa.schema([
+    ("customer_id", pa.int64()), ("total_orders", pa.int64()), ("total_spent", pa.float64()),
+    ("avg_order_value", pa.float64()), ("avg_days_between_orders", pa.float64()),
+    ("peak_order_hour", pa.int32()),
+])
 
 
 def order_patterns_grouped(hours: DataFrame) -> DataFrame:
@@ -36,16 +42,16 @@ def order_patterns_grouped(hours: DataFrame) -> DataFrame:
     Takes the per-hour partials of `aggregates.order_hours`, so a group has at most 24 rows however
     many orders a customer placed.
     """
-    def patterns(group: pd.DataFrame) -> pd.DataFrame:
-        orders = int(group["orders"].sum())
-        spent = float(group["spent"].sum())  # exact for decimals
-        span = group["last_at"].max() - group["first_at"].min()
-        gap = span.total_seconds() / 86400 / (orders - 1) if orders > 1 else None
-        peak = group.sort_values(["orders", "hour"], ascending=[False, True])["hour"].iloc[0]
-        return pd.DataFrame([{
-            "customer_id": group["customer_id"].iloc[0], "total_orders": orders,
-            "total_spent": spent, "avg_order_value": spent / orders,
-            "avg_days_between_orders": gap or None, "peak_order_hour": int(peak),
-        }])
-
-    return hours.groupBy("customer_id").applyInPandas(patterns, PATTERN_SCHEMA)
+    def patterns(group: pa.Table) -> pa.Table:
+        rows = group.to_pydict()
+        orders, spent = sum(rows["orders"]), float(sum(rows["spent"]))
+        span = (max(rows["last_at"]) - min(rows["first_at"])).total_seconds() / 86400
+        gap = span / (orders - 1) if orders > 1 else None
+        peak = min(zip(rows["orders"], rows["hour"]), key=lambda p: (-p[0], p[1]))[1]
+        return pa.Table.from_pylist([{
+            "customer_id": rows["customer_id"][0], "total_orders": orders, "total_spent": spent,
+            "avg_order_value": spent / orders, "avg_days_between_orders": gap or None,
+            "peak_order_hour": peak,
+        }], schema=_ARROW)
+
+    return hours.groupBy("customer_id").applyInArrow(patterns, PATTERNS)

@@ -9,8 +9,9 @@ from millrace.functions.columns import inventory_score, mean_of, recent
 
 
 def with_global(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a one-row aggregate to every row."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Add the columns of a one-row aggregate to every row, as a scalar subquery."""
+    figures = one_row.select(F.struct(*one_row.columns)).scalar()
+    return df.withColumn("_global", figures).select("*", "_global.*").drop("_global")
 
 
 def detailed_inventory(products: DataFrame, inventory: DataFrame,

@@ -9,18 +9,18 @@ per-block summary scanned over the blocks of the key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.session import materialize
 
 MAX_ROWS = 4_000_000
 BLOCK_ROWS = 1_000_000
+REACH = 300.0
 
 ROW = "_row"
 BLOCK = "_block"
@@ -34,13 +34,6 @@ def largest_key(df: DataFrame, keys: list[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
-def null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def attach(df: DataFrame, summary: DataFrame, names: list[str]) -> DataFrame:
     """Left join of a summary on possibly null keys; its other columns are added."""
     renamed = summary.select(*[F.col(n).alias(f"_by_{n}") for n in names],
@@ -181,75 +174,51 @@ class Series:
 
     def ewm(self, value: str, span: int, name: str) -> Series:
         """Exponentially weighted mean, y = (1-a)*y + a*x with a = 2/(span+1), seeded by the first
-        value. A null keeps y and lets the old weight decay, so the next value counts for more."""
-        sort_by = [ROW] if self.split else list(self.order)
-        carry = [F.lit(None).cast("double").alias("_y"), F.lit(0).cast("long").alias("_gap")]
-        if not self.split:
-            df = self.df.withColumn(value, F.col(value).cast("double")).select("*", *carry)
-        else:
-            df = self._ewm_carry(value, span)
-        schema = T.StructType([f for f in df.schema if f.name not in ("_y", "_gap")]
-                              + [T.StructField(name, T.DoubleType())])
-
-        def smooth(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values(sort_by, kind="stable")
-            lead = _lead(group["_y"].iloc[0], group["_gap"].iloc[0])
-            out = pd.concat([lead, group[value]], ignore_index=True)
-            out = out.ewm(span=span, adjust=False).mean()
-            return group.drop(columns=["_y", "_gap"]).assign(**{name: out[len(lead):].to_numpy()})
-
-        return replace(self, df=df.groupBy(*self.group).applyInPandas(smooth, schema))
-
-    def _ewm_carry(self, value: str, span: int) -> DataFrame:
-        """Each block maps the mean before it to the mean after it by y -> a*y + c. Blocks give
-        their (a, c); those are folded along the blocks of a key."""
-        df = self.df.withColumn(value, F.col(value).cast("double"))
-        filled = F.when(F.col(value).isNotNull(), F.col(ROW))
-        ends = df.groupBy(*self.group).agg(F.max(filled).alias("_end"), F.min(ROW).alias("_start"))
-        gaps = ends.select(
-            *self.group, "_start", F.max("_end").over(self._blocks_before()).alias("_seen")
-        ).select(
-            *self.group, F.col("_seen").isNotNull().alias("_has"),
-            F.coalesce(F.col("_start") - F.col("_seen") - 1, F.lit(0)).cast("long").alias("_gap"),
+        value. A null keeps y and lets the old weight decay, so the next value counts for more.
+
+        Written out, y is the sum of all earlier values, each with a share that shrinks by exp(-d)
+        from one value to the next. Values are cut into stretches over which the shares shrink by
+        exp(-REACH), where the sum is a plain running sum with growing weights. Beyond the stretch
+        before its own, a row keeps less than exp(-REACH) of anything, which no double shows.
+        """
+        alpha = 2.0 / (span + 1)
+        rate = -math.log1p(-alpha) if alpha < 1 else 2 * REACH
+        x = F.col(value).cast("double")
+        here = x.isNotNull()
+        old = F.exp(-rate * (F.col(ROW) - F.col("_before")))
+        shrink = F.least(F.lit(2 * REACH),
+                         rate * (F.col(ROW) - F.col("_before")) + F.log(old + alpha))
+        first = F.col("_before").isNull()
+
+        numbered = self if self.split else replace(
+            self, df=self.df.withColumn(ROW, F.row_number().over(self.window())))
+        weighed = (
+            numbered.last_known(_seen=F.when(here, F.col(ROW)))
+            .rolling(1, lambda d, w: d.withColumn("_before", F.lag("_seen").over(w)))
+            .select(lambda d: d.withColumns({
+                "_d": F.when(here & ~first, shrink).otherwise(0.0),
+                "_part": F.when(~here, 0.0).when(first, x).otherwise(alpha / (old + alpha) * x),
+            }))
+            .running(_reach=F.col("_d"))
+            .select(lambda d: d.withColumn("_stretch", F.floor(F.col("_reach") / REACH)))
         )
-        placed = attach(df, gaps, self.group)
-        keys = T.StructType([f for f in df.schema if f.name in self.group])
-        effect = T.StructType([*keys, T.StructField("_a", T.DoubleType()),
-                               T.StructField("_c", T.DoubleType())])
-
-        def block_effect(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values(ROW, kind="stable")
-            gap, xs = group["_gap"].iloc[0], group[value]
-
-            def after(start: float | None, values: pd.Series) -> float:
-                out = pd.concat([_lead(start, gap), values], ignore_index=True)
-                return float(out.ewm(span=span, adjust=False).mean().iloc[-1])
-
-            known = bool(group["_has"].iloc[0])
-            a = after(1.0, xs * 0.0) if known else 0.0
-            c = after(0.0 if known else None, xs)
-            return group[list(keys.names)].head(1).assign(_a=a, _c=c)
-
-        effects = placed.groupBy(*self.group).applyInPandas(block_effect, effect)
-        folded = T.StructType([*keys, T.StructField("_y", T.DoubleType())])
-
-        def fold(blocks: pd.DataFrame) -> pd.DataFrame:
-            blocks = blocks.sort_values(BLOCK)
-            state, before = float("nan"), []
-            for a, c in zip(blocks["_a"], blocks["_c"]):
-                before.append(state)
-                state = c if a == 0.0 and state != state else a * state + c
-            return blocks[list(keys.names)].assign(_y=before)
-
-        starts = effects.groupBy(*self.keys).applyInPandas(fold, folded)
-        starts = starts.withColumn("_y", F.when(~F.isnan("_y"), F.col("_y")))
-        return attach(placed.drop("_has"), starts, self.group).select(
-            *[c for c in df.columns], "_y", "_gap"
+        # Stretches follow the order of rows, so naming them first lets all windows share one sort.
+        weighed = replace(weighed, order=("_stretch", ROW))
+        stretch = Window.partitionBy(*self.keys, "_stretch").orderBy(ROW)
+        upto = stretch.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        inner = F.when(F.first(ROW).over(upto) == F.col(ROW), 0.0).otherwise(F.col("_d"))
+        mean = F.col("_own") + F.coalesce(
+            F.exp(-(F.first("_d").over(upto) + F.col("_inner"))) * F.first("_last").over(upto),
+            F.lit(0.0))
+        summed = (
+            weighed.select(lambda d: d.withColumn("_step", inner))
+            .select(lambda d: d.withColumn("_inner", F.sum("_step").over(upto)))
+            .select(lambda d: d.withColumn("_own", F.exp(-F.col("_inner")) * F.sum(
+                F.col("_part") * F.exp("_inner")).over(upto)))
+            .rolling(1, lambda d, w: d.withColumn("_last", F.lag("_own").over(w)))
+            .select(lambda d: d.withColumn(name, F.when(here, mean)))
+            .last_known(**{name: F.col(name)})
         )
-
-
-def _lead(start: float | None, gap: int) -> pd.Series:
-    """The mean carried in, followed by the nulls seen since its last value."""
-    if start is None or start != start:
-        return pd.Series([], dtype="float64")
-    return pd.Series([start] + [float("nan")] * int(gap), dtype="float64")
+        extra = ["_seen", "_before", "_d", "_part", "_reach", "_stretch", "_step", "_inner", "_own",
+                 "_last"]
+        return replace(summed, order=self.order, df=summed.df.drop(*extra, *([] if self.split else [ROW])))

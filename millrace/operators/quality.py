@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import mean_of
-from millrace.operators.joins import orphans
+from millrace.operators.joins import orphans, with_global
 from millrace.operators.ordered import Series
 from millrace.operators.series import ffill_bfill
+from millrace.session import materialize
 
 
 def unpivot(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
@@ -91,8 +92,8 @@ def check_refs(model: dict[str, DataFrame], refs: list[tuple[str, str, str, str]
     for child, key, parent, parent_key in refs:
         rows = model[child].select(key).where(F.col(key).isNotNull())
         lost = orphans(rows, model[parent], key, parent_key)
-        report = rows.agg(F.count(F.lit(1)).alias("rows")).crossJoin(
-            F.broadcast(lost.agg(F.count(F.lit(1)).alias("orphans"))))
+        report = with_global(rows.agg(F.count(F.lit(1)).alias("rows")),
+                             lost.agg(F.count(F.lit(1)).alias("orphans")))
         reports.append(report.select(F.lit(f"{child}.{key} > {parent}.{parent_key}").alias("ref"),
                                      "rows", "orphans"))
     return reduce(DataFrame.unionByName, reports)
@@ -125,13 +126,17 @@ def column_drift(reference: DataFrame, current: DataFrame, cols: list[str], *,
     """
     sides = unpivot(reference, cols).withColumn("_ref", F.lit(1)).unionByName(
         unpivot(current, cols).withColumn("_ref", F.lit(0))).where(F.col("value").isNotNull())
-    ref = F.when(F.col("_ref") == 1, F.col("value"))
-    totals = sides.groupBy("column").agg(
-        F.sum("_ref").alias("n_ref"), F.sum(1 - F.col("_ref")).alias("n_cur"),
-        F.stddev_pop(ref).alias("_std"),
+    # Everything below works on the counts, so the two tables are scanned once.
+    counted = materialize(sides.groupBy("column", "value").agg(
+        F.sum("_ref").alias("_r"), F.sum(1 - F.col("_ref")).alias("_c")), "counts")
+    sizes = counted.groupBy("column").agg(
+        F.sum("_r").alias("n_ref"), F.sum("_c").alias("n_cur"),
+        F.try_divide(F.sum(F.col("_r") * F.col("value")), F.sum("_r")).alias("_mean"),
     ).where("n_ref >= 2 and n_cur >= 2")
-    counted = sides.groupBy("column", "value").agg(
-        F.sum("_ref").alias("_r"), F.sum(1 - F.col("_ref")).alias("_c"))
+    away = F.col("value") - F.col("_mean")
+    totals = counted.join(sizes, "column").groupBy("column").agg(
+        F.any_value("n_ref").alias("n_ref"), F.any_value("n_cur").alias("n_cur"),
+        F.sqrt(F.sum(F.col("_r") * away * away) / F.any_value("n_ref")).alias("_std"))
     shares = F.abs(F.col("_cr") / F.col("n_ref") - F.col("_cc") / F.col("n_cur"))
 
     def gaps(d: DataFrame, w) -> DataFrame:

@@ -29,7 +29,9 @@ def discover_schema(spark: SparkSession, root: str, known: T.StructType | None =
 def register_table(spark: SparkSession, root: str, table: str, schema: T.StructType,
                    partitions: list[str], fmt: str = "parquet") -> None:
     """Catalog entry over existing files, with the partitions found there."""
-    spark.catalog.createTable(table, path=root, source=fmt, schema=schema)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    split = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt} {split} LOCATION '{root}'")
     if partitions:
         spark.catalog.recoverPartitions(table)
 

@@ -52,14 +52,22 @@ def publish(stream: DataFrame, key: str, transport: dict, checkpoint: str) -> Da
         "checkpointLocation", checkpoint)
 
 
-def split_bad(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable orders, and the messages that lack a usable id, price, quantity or time."""
+def parse_orders(messages: DataFrame) -> DataFrame:
+    """Messages read by the order schema; `_bad` holds the text of one that lacks a usable id,
+    price, quantity or time."""
     order = F.from_json("value", ORDER)
     parsed = messages.select("value", order.alias("_o")).withColumns({
         "_total": line_total("_o.price", "_o.quantity"), "_at": parse_ts("_o.timestamp"),
     })
     usable = F.expr("_o.order_id is not null and _total is not null and _at is not null")
-    return parsed.where(usable), parsed.where(~usable).select("value")
+    return parsed.withColumn("_bad", F.when(~usable, F.col("value"))).drop("value")
+
+
+def split_bad(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Readable orders, and the text of the others."""
+    parsed = parse_orders(messages)
+    return (parsed.where(F.col("_bad").isNull()).drop("_bad"),
+            parsed.where(F.col("_bad").isNotNull()).select(F.col("_bad").alias("value")))
 
 
 def enrich_orders(parsed: DataFrame, partitions: int = 3) -> DataFrame:
@@ -75,15 +83,16 @@ def enrich_orders(parsed: DataFrame, partitions: int = 3) -> DataFrame:
 def upsert_stream(messages: DataFrame, path: str, dead_letters: str,
                   checkpoint: str) -> DataStreamWriter:
     """Write good orders to the keyed table and bad messages to `dead_letters`; both writes
-    replace the batch's own directory, so a replay is harmless."""
+    replace the batch's own directory, so a replay is harmless. A batch is read and parsed once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        parsed = parse_orders(batch).persist()
         try:
-            good, bad = split_bad(batch)
+            good = parsed.where(F.col("_bad").isNull())
             upsert(enrich_orders(good), batch_id, path, KEYS, ORDER_BY)
+            bad = parsed.where(F.col("_bad").isNotNull()).select(F.col("_bad").alias("value"))
             bad.write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
