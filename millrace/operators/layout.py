@@ -52,6 +52,9 @@ def fan_out(df: DataFrame, targets: dict[str, tuple[list[str], dict]], root: str
 # -- maintained daily statistics --------------------------------------------------------------
 
 def _with_month(df: DataFrame, date: str) -> DataFrame:
+    """Keeps a month column the table is partitioned by, so that a filter on it prunes files."""
+    if "sale_month" in df.columns:
+        return df
     return df.withColumn("sale_month", F.date_format(date, "yyyy-MM"))
 
 

@@ -47,10 +47,12 @@ def attach(df: DataFrame, summary: DataFrame, names: list[str]) -> DataFrame:
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = ROW,
                 parts: int | None = None) -> DataFrame:
     """Exact row numbers 1..n per key in `order`, without collecting a key in one task."""
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The last sort column lets rows that are equal in `order` be split between partitions too.
     ranged = materialize(
-        df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()),
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys, *order, "_tie")
+        .withColumn("_part", F.spark_partition_id()),
         "ranged",
     )
     group = [*keys, "_part"]
@@ -59,11 +61,11 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = RO
         ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
         .select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    local = Window.partitionBy(*group).orderBy(*order)
+    local = Window.partitionBy(*group).orderBy(*order, "_tie")
     return (
         attach(ranged, offsets, group)
         .withColumn(name, F.row_number().over(local) + F.col("_offset"))
-        .drop("_part", "_offset")
+        .drop("_part", "_offset", "_tie")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import mean_of
@@ -115,42 +115,44 @@ def kolmogorov_p(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
 
 
 def column_drift(reference: DataFrame, current: DataFrame, cols: list[str], *,
-                 small: int = 1000, alpha: float = 0.05, distance: float = 0.1,
-                 **limits: int) -> DataFrame:
-    """Drift per numeric column.
+                 by: list[str] | None = None, small: int = 1000, alpha: float = 0.05,
+                 distance: float = 0.1, **limits: int) -> DataFrame:
+    """Drift per numeric column, and per value of `by` such as a symbol.
 
     Up to `small` reference values the test is Kolmogorov-Smirnov at `alpha`; above, the
     Wasserstein distance in units of the reference deviation against `distance`. Both come from the
     two distribution functions over distinct values. Columns with fewer than two values on a side
     are skipped; the score is kept only where drift was found.
     """
-    sides = unpivot(reference, cols).withColumn("_ref", F.lit(1)).unionByName(
-        unpivot(current, cols).withColumn("_ref", F.lit(0))).where(F.col("value").isNotNull())
+    by = list(by or [])
+    keys = [*by, "column"]
+    sides = unpivot(reference, cols, by).withColumn("_ref", F.lit(1)).unionByName(
+        unpivot(current, cols, by).withColumn("_ref", F.lit(0))).where(F.col("value").isNotNull())
     # Everything below works on the counts, so the two tables are scanned once.
-    counted = materialize(sides.groupBy("column", "value").agg(
+    counted = materialize(sides.groupBy(*keys, "value").agg(
         F.sum("_ref").alias("_r"), F.sum(1 - F.col("_ref")).alias("_c")), "counts")
-    sizes = counted.groupBy("column").agg(
+    sizes = counted.groupBy(*keys).agg(
         F.sum("_r").alias("n_ref"), F.sum("_c").alias("n_cur"),
         F.try_divide(F.sum(F.col("_r") * F.col("value")), F.sum("_r")).alias("_mean"),
     ).where("n_ref >= 2 and n_cur >= 2")
     away = F.col("value") - F.col("_mean")
-    totals = counted.join(sizes, "column").groupBy("column").agg(
+    totals = counted.join(sizes, keys).groupBy(*keys).agg(
         F.any_value("n_ref").alias("n_ref"), F.any_value("n_cur").alias("n_cur"),
         F.sqrt(F.sum(F.col("_r") * away * away) / F.any_value("n_ref")).alias("_std"))
     shares = F.abs(F.col("_cr") / F.col("n_ref") - F.col("_cc") / F.col("n_cur"))
 
-    def gaps(d: DataFrame, w) -> DataFrame:
+    def gaps(d: DataFrame, w: WindowSpec) -> DataFrame:
         step = F.col("value") - F.lag("value").over(w)
         return d.withColumn("_area", F.lag("_diff").over(w) * step)
 
     walked = (
-        Series.of(counted, ["column"], ["value"], **limits)
+        Series.of(counted, keys, ["value"], **limits)
         .running(_cr=F.col("_r"), _cc=F.col("_c"))
-        .select(lambda d: d.join(totals, "column").withColumn("_diff", shares))
+        .select(lambda d: d.join(totals, keys).withColumn("_diff", shares))
         .rolling(1, gaps)
         .rows()
     )
-    measured = walked.groupBy("column").agg(
+    measured = walked.groupBy(*keys).agg(
         F.max("_diff").alias("ks_statistic"), F.sum("_area").alias("_area"),
         F.any_value("n_ref").alias("n_ref"), F.any_value("n_cur").alias("n_cur"),
         F.any_value("_std").alias("_std"),
@@ -162,16 +164,17 @@ def column_drift(reference: DataFrame, current: DataFrame, cols: list[str], *,
     by_ks = F.col("n_ref") <= small
     drifted = F.when(by_ks, F.col("p_value") < alpha).otherwise(F.col("wasserstein") >= distance)
     return scored.select(
-        "column", "n_ref", "n_cur", "ks_statistic", "p_value", "wasserstein",
+        *keys, "n_ref", "n_cur", "ks_statistic", "p_value", "wasserstein",
         F.when(by_ks, "ks").otherwise("wasserstein").alias("test"), drifted.alias("drifted"),
         F.when(drifted, F.when(by_ks, F.col("p_value")).otherwise(F.col("wasserstein")))
         .alias("drift_score"),
     )
 
 
-def dataset_drift(column_drifts: DataFrame, share: float = 0.5) -> DataFrame:
-    """The dataset drifts when at least `share` of its columns do."""
-    return column_drifts.agg(
+def dataset_drift(column_drifts: DataFrame, share: float = 0.5,
+                  by: list[str] | None = None) -> DataFrame:
+    """A dataset drifts when at least `share` of its columns do."""
+    return column_drifts.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("columns"), F.count_if("drifted").alias("drifted_columns"),
         F.try_divide(F.count_if("drifted").cast("double"), F.count(F.lit(1)))
         .alias("drift_share"),

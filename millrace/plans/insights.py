@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import money
+from millrace.functions.columns import money, with_audit
 from millrace.functions.udfs import order_patterns_grouped as grouped_patterns
 from millrace.functions.udfs import register_udfs
 from millrace.operators import aggregates as agg
 from millrace.operators import joins
 from millrace.operators import series
 from millrace.plans.registry import query, table
+from millrace.session import scratch
+from millrace.sources.files import write_snapshot
 
 AS_OF = "2001-07-15"
 
@@ -197,18 +199,49 @@ def business_analytics(spark, sf_dir):
         customers(spark, sf_dir), customer_order_analytics(spark, sf_dir), as_of=AS_OF)
 
 
-@query("business_insights", f"""
+INSIGHTS_SQL = f"""
     SELECT product_name, city, warehouse_code, inventory_score, quantity AS current_stock,
            sum(ordered_quantity)::BIGINT AS total_ordered,
            count(DISTINCT order_id) AS number_of_orders,
            sum(avg_order_value::DECIMAL(18,6))::DOUBLE / count(avg_order_value)
              AS customer_avg_order_value
     FROM {BUSINESS} b GROUP BY ALL
-""")
+"""
+
+
+@query("business_insights", INSIGHTS_SQL)
 def business_insights(spark, sf_dir):
     return joins.business_insights(business_analytics(spark, sf_dir))
 
 
+def run_insights(spark: SparkSession, tables: dict[str, DataFrame], roots: list[str],
+                 run_date: str) -> DataFrame:
+    """The batch job: snapshot every table under all roots, work out the insights from the
+    snapshots, and store these the same way. Returns the stored insights."""
+    stored = {}
+    for name, df in tables.items():
+        paths = write_snapshot(with_audit(df), [f"{r}/data" for r in roots], name, run_date)
+        stored[name] = spark.read.parquet(paths[0]).drop("etl_timestamp")
+    detailed = joins.detailed_inventory(stored["products"], stored["product_inventory"],
+                                        stored["inventory_locations"])
+    view = joins.business_analytics(
+        joins.inventory_analytics(detailed, run_date), stored["order_items"], stored["orders"],
+        stored["customers"], agg.customer_order_analytics(stored["orders"]), as_of=run_date)
+    paths = write_snapshot(joins.business_insights(view), roots, "business_insights", run_date)
+    return spark.read.parquet(paths[-1])
+
+
+@query("insights_job", INSIGHTS_SQL)
+def insights_job(spark, sf_dir):
+    tables = {
+        "customers": customers(spark, sf_dir), "orders": orders(spark, sf_dir),
+        "products": products(spark, sf_dir), "order_items": items(spark, sf_dir),
+        "inventory_locations": locations(spark, sf_dir),
+        "product_inventory": inventory(spark, sf_dir),
+    }
+    return run_insights(spark, tables, [scratch(spark, "lake"), scratch(spark, "local")], AS_OF)
+
+
 @query("business_insights_by_customer", f"""
     WITH p AS (SELECT customer_id, (sum(total_amount::DECIMAL(18,2))::DOUBLE / count(*))
                       ::DECIMAL(18,6) AS v FROM {ORDERS} o GROUP BY 1),

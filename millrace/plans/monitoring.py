@@ -78,39 +78,44 @@ def flatten_columns(spark, sf_dir):
 
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = tick_rows(spark, sf_dir).select(
-        "timestamp", "price", "volume", (F.hour("timestamp") * F.col("volume")).alias("load"))
+        "symbol", "timestamp", "price", "volume", (F.hour("timestamp") * F.col("volume")).alias("load"))
     early = F.col("timestamp") < F.lit(SPLIT).cast("timestamp_ntz")
     late_load = rows.where(~early).withColumn("load", F.col("load") + 200)
     return rows.where(early), late_load
 
 
-def _drift_sql(small: int) -> str:
+def _drift_sql(small: int, by: str = "") -> str:
+    """`by` is a column of events that the drift is told apart by."""
+    keep, key = (f"{by} AS symbol, ", "symbol, ") if by else ("", "")
+    same = "g.symbol = t.symbol AND g.c = t.c" if by else "g.c = t.c"
+    g_key = "g.symbol, " if by else ""
     return rf"""
-    WITH k AS (SELECT ts, value, regexp_extract(props, '(\d+)', 1)::BIGINT AS k FROM events),
-    l AS (SELECT 'price' AS c, value AS v, ts < DATE '{SPLIT}' AS r FROM k
-          UNION ALL SELECT 'volume', k::DOUBLE, ts < DATE '{SPLIT}' FROM k
-          UNION ALL SELECT 'load', (hour(ts) * k + CASE WHEN ts < DATE '{SPLIT}' THEN 0 ELSE 200
-                                    END)::DOUBLE, ts < DATE '{SPLIT}' FROM k),
-    t AS (SELECT c, count(*) FILTER (WHERE r) AS nr, count(*) FILTER (WHERE NOT r) AS nc,
-                 stddev_pop(v) FILTER (WHERE r) AS sd FROM l GROUP BY 1),
-    g AS (SELECT c, v, count(*) FILTER (WHERE r) AS a, count(*) FILTER (WHERE NOT r) AS b
-          FROM l GROUP BY 1, 2),
-    w AS (SELECT g.c, v, nr, nc, sd,
+    WITH k AS (SELECT {keep}ts, value, regexp_extract(props, '(\d+)', 1)::BIGINT AS k FROM events),
+    l AS (SELECT {key}'price' AS c, value AS v, ts < DATE '{SPLIT}' AS r FROM k
+          UNION ALL SELECT {key}'volume', k::DOUBLE, ts < DATE '{SPLIT}' FROM k
+          UNION ALL SELECT {key}'load', (hour(ts) * k + CASE WHEN ts < DATE '{SPLIT}' THEN 0
+                                         ELSE 200 END)::DOUBLE, ts < DATE '{SPLIT}' FROM k),
+    t AS (SELECT {key}c, count(*) FILTER (WHERE r) AS nr, count(*) FILTER (WHERE NOT r) AS nc,
+                 stddev_pop(v) FILTER (WHERE r) AS sd FROM l GROUP BY ALL
+          HAVING nr >= 2 AND nc >= 2),
+    g AS (SELECT {key}c, v, count(*) FILTER (WHERE r) AS a, count(*) FILTER (WHERE NOT r) AS b
+          FROM l GROUP BY ALL),
+    w AS (SELECT {g_key}g.c, v, nr, nc, sd,
                  abs(sum(a) OVER o / nr::DOUBLE - sum(b) OVER o / nc::DOUBLE) AS d
-          FROM g JOIN t ON g.c = t.c
-          WINDOW o AS (PARTITION BY g.c ORDER BY v ROWS UNBOUNDED PRECEDING)),
-    x AS (SELECT *, lag(d) OVER (PARTITION BY c ORDER BY v)
-                    * (v - lag(v) OVER (PARTITION BY c ORDER BY v)) AS area FROM w),
-    m AS (SELECT c, any_value(nr) AS nr, any_value(nc) AS nc, max(d) AS ks,
+          FROM g JOIN t ON {same}
+          WINDOW o AS (PARTITION BY {g_key}g.c ORDER BY v ROWS UNBOUNDED PRECEDING)),
+    x AS (SELECT *, lag(d) OVER (PARTITION BY {key}c ORDER BY v)
+                    * (v - lag(v) OVER (PARTITION BY {key}c ORDER BY v)) AS area FROM w),
+    m AS (SELECT {key}c, any_value(nr) AS nr, any_value(nc) AS nc, max(d) AS ks,
                  coalesce(sum(area), 0) / greatest(any_value(sd), 0.001::DOUBLE) AS ws
-          FROM x GROUP BY 1),
+          FROM x GROUP BY {key}c),
     n AS (SELECT *, sqrt(nr * nc / (nr + nc)::DOUBLE) AS root FROM m),
     q AS (SELECT *, (root + 0.12::DOUBLE + 0.11::DOUBLE / root) * ks AS lam FROM n),
     p AS (SELECT *, CASE WHEN lam < 0.04::DOUBLE THEN 1 ELSE least(1, greatest(0,
               (SELECT sum((CASE WHEN i % 2 = 1 THEN 2::DOUBLE ELSE -2::DOUBLE END)
                           * exp(-2::DOUBLE * i * i * lam * lam)) FROM range(1, 101) terms(i)))) END
               AS pv FROM q)
-    SELECT c AS "column", nr AS n_ref, nc AS n_cur, ks AS ks_statistic,
+    SELECT {key}c AS "column", nr AS n_ref, nc AS n_cur, ks AS ks_statistic,
            pv::DECIMAL(30,6)::DOUBLE AS p_value, ws::DECIMAL(30,6)::DOUBLE AS wasserstein,
            CASE WHEN nr <= {small} THEN 'ks' ELSE 'wasserstein' END AS test,
            CASE WHEN nr <= {small} THEN pv < 0.05 ELSE ws >= 0.1 END AS drifted,
@@ -120,9 +125,10 @@ def _drift_sql(small: int) -> str:
     """
 
 
-def _drift(spark, sf_dir, small):
+def _drift(spark, sf_dir, small, by=None):
     reference, current = _halves(spark, sf_dir)
-    found = quality.column_drift(reference, current, ["price", "volume", "load"], small=small)
+    found = quality.column_drift(reference, current, ["price", "volume", "load"], by=by,
+                                 small=small)
     return rounded(found, "p_value", "wasserstein", "drift_score")
 
 
@@ -136,6 +142,21 @@ def column_drift_ks(spark, sf_dir):
     return _drift(spark, sf_dir, 10**12)
 
 
+@query("column_drift_by_symbol", _drift_sql(1000, "user_id"))
+def column_drift_by_symbol(spark, sf_dir):
+    return _drift(spark, sf_dir, 1000, ["symbol"])
+
+
+@query("dataset_drift_by_symbol", f"""
+    SELECT symbol, count(*) AS "columns", count(*) FILTER (WHERE drifted) AS drifted_columns,
+           (count(*) FILTER (WHERE drifted))::DOUBLE / count(*) AS drift_share,
+           (count(*) FILTER (WHERE drifted))::DOUBLE / count(*) >= 0.5 AS dataset_drift
+    FROM ({_drift_sql(1000, "user_id")}) d GROUP BY 1
+""")
+def dataset_drift_by_symbol(spark, sf_dir):
+    return quality.dataset_drift(column_drift_by_symbol(spark, sf_dir), by=["symbol"])
+
+
 @query("dataset_drift", f"""
     SELECT count(*) AS "columns", count(*) FILTER (WHERE drifted) AS drifted_columns,
            (count(*) FILTER (WHERE drifted))::DOUBLE / count(*) AS drift_share,

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,11 +127,14 @@ WRITERS: dict[str, Callable] = {
 
 def convert_format(spark: SparkSession, src: str, src_format: str, dst: str, dst_format: str,
                    schema: T.StructType) -> int:
-    """Rewrite files in another format; returns the row count, equal on both sides."""
-    source = READERS[src_format](spark, src, schema)
+    """Rewrite files in another format; returns the row count, equal on both sides.
+
+    The source rows are counted while they are written.
+    """
+    seen = Observation()
+    source = READERS[src_format](spark, src, schema).observe(seen, F.count(F.lit(1)).alias("rows"))
     WRITERS[dst_format](source, dst)
-    written = READERS[dst_format](spark, dst, schema)
-    rows, copied = source.count(), written.count()
+    rows, copied = seen.get["rows"], READERS[dst_format](spark, dst, schema).count()
     if rows != copied:
         raise RuntimeError(f"{src} has {rows} rows, {dst} has {copied}")
     return rows

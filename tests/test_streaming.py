@@ -138,3 +138,15 @@ def test_kafka_options_are_passed(spark):
                                     "kafka.bootstrap.servers": "broker:9092"})
     except Exception as error:  # the source is not on the class path here
         assert "kafka" in str(error).lower()
+
+
+def test_periodic_trigger(spark, tmp_path):
+    land(tmp_path / "raw", "a.txt", ["x", "y"])
+    clean = str(tmp_path / "clean")
+    query = ingest.run_periodic(ingest.land_to_clean(
+        spark, str(tmp_path / "raw"), clean, str(tmp_path / "mark")), "1 second")
+    try:
+        query.processAllAvailable()
+        assert sorted(r["value"] for r in spark.read.parquet(clean).collect()) == ["x", "y"]
+    finally:
+        query.stop()
