@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import daily_sales_stats
+from millrace.session import materialize
 
 
 def write_clustered(df: DataFrame, cols: list[str], path: str, parts: int | None = None) -> None:
@@ -30,23 +31,24 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
      .saveAsTable(table))
 
 
-def fan_out(df: DataFrame, targets: dict[str, tuple[list[str], dict]], root: str) -> None:
+def fan_out(df: DataFrame, targets: dict[str, tuple[list[str], dict]], root: str,
+            reuse: bool = False) -> None:
     """Project one frame into several tables of different layout.
 
     A target is (columns, layout), the layout one of {"cluster": cols}, {"partition": cols}, {}.
+    Every target scans only its columns. With `reuse` a frame that is costly to compute is written
+    once first and the targets read that.
     """
-    df = df.persist()
-    try:
-        for name, (cols, layout) in targets.items():
-            part, path = df.select(*cols), f"{root}/{name}"
-            if "cluster" in layout:
-                write_clustered(part, layout["cluster"], path)
-            elif "partition" in layout:
-                write_partitioned(part, layout["partition"], path)
-            else:
-                part.write.mode("overwrite").parquet(path)
-    finally:
-        df.unpersist()
+    if reuse:
+        df = materialize(df, "fan_out")
+    for name, (cols, layout) in targets.items():
+        part, path = df.select(*cols), f"{root}/{name}"
+        if "cluster" in layout:
+            write_clustered(part, layout["cluster"], path)
+        elif "partition" in layout:
+            write_partitioned(part, layout["partition"], path)
+        else:
+            part.write.mode("overwrite").parquet(path)
 
 
 # -- maintained daily statistics --------------------------------------------------------------

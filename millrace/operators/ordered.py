@@ -35,7 +35,11 @@ def largest_key(df: DataFrame, keys: list[str]) -> int:
 
 
 def attach(df: DataFrame, summary: DataFrame, names: list[str]) -> DataFrame:
-    """Left join of a summary on possibly null keys; its other columns are added."""
+    """Left join of a summary on possibly null keys; its other columns are added.
+
+    Summaries hold rows only where there is something to carry: for blocks after the first of a
+    key. There are at most rows / block_rows of them, so AQE broadcasts them as a rule.
+    """
     renamed = summary.select(*[F.col(n).alias(f"_by_{n}") for n in names],
                              *[c for c in summary.columns if c not in names])
     condition = F.lit(True)
@@ -44,6 +48,14 @@ def attach(df: DataFrame, summary: DataFrame, names: list[str]) -> DataFrame:
     return df.join(renamed, condition, "left").drop(*[f"_by_{n}" for n in names])
 
 
+def _known(carried: DataFrame) -> DataFrame:
+    found = F.lit(False)
+    for name in carried.columns:
+        if name.startswith("_in_"):
+            found = found | F.col(name).isNotNull()
+    return carried.where(found)
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = ROW,
                 parts: int | None = None) -> DataFrame:
     """Exact row numbers 1..n per key in `order`, without collecting a key in one task."""
@@ -59,12 +71,14 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = RO
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-        .select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select(*group, F.sum("_n").over(before).alias("_offset")).where("_offset > 0")
     )
     local = Window.partitionBy(*group).orderBy(*order, "_tie")
+    # At most one key goes on from one partition to the next, so there are fewer offsets than
+    # partitions and they can be broadcast.
     return (
-        attach(ranged, offsets, group)
-        .withColumn(name, F.row_number().over(local) + F.col("_offset"))
+        attach(ranged, F.broadcast(offsets), group)
+        .withColumn(name, F.row_number().over(local) + F.coalesce("_offset", F.lit(0)))
         .drop("_part", "_offset", "_tie")
     )
 
@@ -124,47 +138,53 @@ class Series:
     def running(self, **sums: Column) -> Series:
         """Sums from the start of the series up to and including the row."""
         upto = self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        if not self.split:
-            added = {n: F.sum(c).over(upto) for n, c in sums.items()}
-            return replace(self, df=self.df.withColumns(added))
-        totals = self.df.groupBy(*self.group).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-        carried = totals.select(
-            *self.group, *[F.sum(n).over(self._blocks_before()).alias(f"_in_{n}") for n in sums]
-        )
         local = self.df.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()})
-        joined = attach(local, carried, self.group)
-        both = {
-            n: F.when(F.col(n).isNull(), F.col(f"_in_{n}")).otherwise(
-                F.col(n) + F.coalesce(F.col(f"_in_{n}"), F.lit(0))
-            )
+        if not self.split:
+            return replace(self, df=local)
+        return self._add_carried(local, {
+            n: (F.max_by(n, ROW), F.sum(n).over(self._blocks_before()),
+                F.when(F.col(n).isNull(), F.col(f"_in_{n}"))
+                .otherwise(F.col(n) + F.coalesce(F.col(f"_in_{n}"), F.lit(0))))
             for n in sums
-        }
-        return replace(self, df=joined.withColumns(both).drop(*[f"_in_{n}" for n in sums]))
+        })
 
     def last_known(self, **cols: Column) -> Series:
         """Newest non-null value at or before the row."""
         upto = self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
         local = self.df.withColumns({n: F.last(c, True).over(upto) for n, c in cols.items()})
-        return self._carry(local, cols, F.max_by, F.last, self._blocks_before())
+        if not self.split:
+            return replace(self, df=local)
+        return self._add_carried(local, {
+            n: (F.max_by(n, ROW), F.last(n, True).over(self._blocks_before()),
+                F.coalesce(F.col(n), F.col(f"_in_{n}"))) for n in cols
+        })
 
     def next_known(self, **cols: Column) -> Series:
         """First non-null value at or after the row."""
         rest = self.window().rowsBetween(Window.currentRow, Window.unboundedFollowing)
         local = self.df.withColumns({n: F.first(c, True).over(rest) for n, c in cols.items()})
-        return self._carry(local, cols, F.min_by, F.first, self._blocks_after())
-
-    def _carry(self, local, cols, pick, reach, frame) -> Series:
         if not self.split:
             return replace(self, df=local)
-        ends = self.df.groupBy(*self.group).agg(
-            *[pick(c, F.when(c.isNotNull(), F.col(ROW))).alias(n) for n, c in cols.items()]
-        )
+        return self._add_carried(local, {
+            n: (F.min_by(n, ROW), F.first(n, True).over(self._blocks_after()),
+                F.coalesce(F.col(n), F.col(f"_in_{n}"))) for n in cols
+        })
+
+    def _add_carried(self, local: DataFrame,
+                     steps: dict[str, tuple[Column, Column, Column]]) -> Series:
+        """Join to the rows of a block what the other blocks of its key hand over.
+
+        Per column: its value at the end of a block, the scan of those over the blocks, and how a
+        row combines both. The local results are written first, so that the ends are read back as
+        a few columns and no step is computed twice, however many follow one another.
+        """
+        local = materialize(local, "blocks")
+        ends = local.groupBy(*self.group).agg(*[end.alias(n) for n, (end, _, _) in steps.items()])
         carried = ends.select(
-            *self.group, *[reach(n, True).over(frame).alias(f"_in_{n}") for n in cols]
-        )
-        joined = attach(local, carried, self.group)
-        both = {n: F.coalesce(F.col(n), F.col(f"_in_{n}")) for n in cols}
-        return replace(self, df=joined.withColumns(both).drop(*[f"_in_{n}" for n in cols]))
+            *self.group, *[scan.alias(f"_in_{n}") for n, (_, scan, _) in steps.items()])
+        joined = attach(local, _known(carried), self.group)
+        both = {n: combined for n, (_, _, combined) in steps.items()}
+        return replace(self, df=joined.withColumns(both).drop(*[f"_in_{n}" for n in steps]))
 
     def _blocks_before(self) -> WindowSpec:
         return (Window.partitionBy(*self.keys).orderBy(BLOCK)

@@ -16,8 +16,8 @@ def with_source(df: DataFrame) -> DataFrame:
     """Processing time, bucket and key of the file a row came from."""
     path = F.col("_metadata.file_path")
     return df.select("*", F.current_timestamp().alias("processed_timestamp"),
-                     F.parse_url(path, F.lit("HOST")).alias("source_bucket"),
-                     F.parse_url(path, F.lit("PATH")).alias("source_key"))
+                     F.try_parse_url(path, F.lit("HOST")).alias("source_bucket"),
+                     F.try_parse_url(path, F.lit("PATH")).alias("source_key"))
 
 
 def land_to_clean(spark: SparkSession, raw: str, clean: str, checkpoint: str, *, schema=None,
