@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import Series
+from millrace.operators.ordered import over_series
 
 STEP = 15
 _SERIES = ["metric", "series"]
@@ -54,7 +54,7 @@ def counter_rate(samples: DataFrame, seconds: int, step: int = STEP, *, order=("
         grown = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
         return d.withColumn("_inc", F.coalesce(grown, F.lit(0.0)))
 
-    deltas = Series.of(samples, keys, list(order), **limits).rolling(1, increase).rows()
+    deltas = over_series(samples, keys, list(order), lambda s: s.rolling(1, increase), **limits)
     steps = deltas.groupBy(*keys, _step_end("ts", step).alias("evaluated_at")).agg(
         F.sum("_inc").alias("_inc"))
     return steps.select(

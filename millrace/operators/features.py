@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import Series
+from millrace.operators.ordered import over_series
 from millrace.operators.series import latest_per_key
 
 
@@ -88,9 +88,9 @@ def _one_pass(entities, keys, group, views, timestamp, full_names, limits) -> Da
             *[payload.cast(kinds[n]).alias(f"_v_{n}") if n == name else empty(n)
               for n, _ in group],
         ))
-    known = Series.of(rows, keys, ["_ts", "_side", "_made"], **limits).last_known(
-        **{f"_v_{name}": F.col(f"_v_{name}") for name, _ in group}
-    ).rows().where("_side = 1")
+    newest = {f"_v_{name}": F.col(f"_v_{name}") for name, _ in group}
+    known = over_series(rows, keys, ["_ts", "_side", "_made"], lambda s: s.last_known(**newest),
+                        **limits).where("_side = 1")
     columns = []
     for name, features in group:
         seen = F.col(f"_v_{name}")

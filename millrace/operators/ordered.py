@@ -1,10 +1,10 @@
 """Ordered work within keys that holds up when one key owns most of the rows.
 
-A window partitioned by key puts all rows of that key in one task. `Series` first counts the
-largest key. Below `max_rows` the plain window is used. Above it, rows are range-partitioned by
-(key, order), numbered exactly, and cut into blocks of `block_rows`; each operation then works per
-block, and what a block needs from earlier rows is either a short halo of copied rows or a small
-per-block summary scanned over the blocks of the key.
+A window partitioned by key puts all rows of that key in one task. `over_series` therefore counts the
+keys first. Keys of up to `max_rows` rows use the plain window. The rows of larger keys are
+range-partitioned by (key, order), numbered exactly, and cut into blocks of `block_rows`; each
+operation then works per block, and what a block needs from other rows is either a short halo of
+copied rows or a small per-block summary scanned over the blocks of the key.
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = RO
 
 @dataclass(frozen=True)
 class Series:
-    """Rows of `df` seen in `order` within `keys`; see `Series.of`."""
+    """Rows of `df` seen in `order` within `keys`."""
 
     df: DataFrame
     keys: tuple[str, ...]
@@ -94,15 +94,17 @@ class Series:
     block_rows: int
 
     @staticmethod
-    def of(df: DataFrame, keys: list[str], order: list[str], *, max_rows: int = MAX_ROWS,
-           block_rows: int = BLOCK_ROWS) -> Series:
-        """`order` must end in a column that makes it unique within a key."""
-        split = largest_key(df, keys) > max_rows
-        if split:
-            df = number_rows(df, keys, order).withColumn(
-                BLOCK, F.floor((F.col(ROW) - 1) / block_rows)
-            )
-        return Series(df, tuple(keys), tuple(order), split, block_rows)
+    def whole(df: DataFrame, keys: list[str], order: list[str]) -> Series:
+        """Each key in one task. `order` must be unique within a key for a defined result."""
+        return Series(df, tuple(keys), tuple(order), False, 0)
+
+    @staticmethod
+    def blocks(df: DataFrame, keys: list[str], order: list[str],
+               block_rows: int = BLOCK_ROWS) -> Series:
+        """Each key in as many blocks as its rows need."""
+        block = F.floor((F.col(ROW) - 1) / block_rows)
+        numbered = number_rows(df, keys, order).withColumn(BLOCK, block)
+        return Series(numbered, tuple(keys), tuple(order), True, block_rows)
 
     @property
     def group(self) -> list[str]:
@@ -244,3 +246,43 @@ class Series:
         extra = ["_seen", "_before", "_d", "_part", "_reach", "_stretch", "_step", "_inner", "_own",
                  "_last"]
         return replace(summed, order=self.order, df=summed.df.drop(*extra, *([] if self.split else [ROW])))
+
+
+def split_large(df: DataFrame, keys: list[str],
+                max_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of keys up to max_rows rows, rows of larger keys, and those keys (as _large_<key>).
+
+    There are fewer than rows / max_rows large keys, so their list can be broadcast.
+    """
+    large = materialize(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
+        .select(*[F.col(k).alias(f"_large_{k}") for k in keys]), "large_keys")
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_large_{key}"))
+    return (df.join(F.broadcast(large), same, "left_anti"),
+            df.join(F.broadcast(large), same, "left_semi"), large)
+
+
+def join_unique(rows: DataFrame, unique: DataFrame, key: str,
+                max_rows: int = MAX_ROWS) -> DataFrame:
+    """Inner join to a side with one row per key. Rows of a key with more than max_rows rows stay
+    where they are and get a broadcast of that key's one row, so they are not sent to one task."""
+    if largest_key(rows, [key]) <= max_rows:
+        return rows.join(unique, key)
+    few, many, large = split_large(rows, [key], max_rows)
+    wanted = unique.join(F.broadcast(large), F.col(key) == F.col(f"_large_{key}"), "left_semi")
+    return few.join(unique, key).unionByName(many.join(F.broadcast(wanted), key))
+
+
+def over_series(df: DataFrame, keys: list[str], order: list[str],
+                build: Callable[[Series], Series], *, max_rows: int = MAX_ROWS,
+                block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The rows of `df` with what `build` adds, keys above `max_rows` rows being worked in blocks."""
+    if largest_key(df, keys) <= max_rows:
+        return build(Series.whole(df, keys, order)).rows()
+    if not keys:
+        return build(Series.blocks(df, keys, order, block_rows)).rows()
+    small_part, large_part, _ = split_large(df, keys, max_rows)
+    return build(Series.whole(small_part, keys, order)).rows().unionByName(
+        build(Series.blocks(large_part, keys, order, block_rows)).rows())

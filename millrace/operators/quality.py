@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import mean_of
 from millrace.operators.joins import orphans, with_global
-from millrace.operators.ordered import Series
+from millrace.operators.ordered import over_series
 from millrace.operators.series import ffill_bfill
 from millrace.session import materialize
 
@@ -145,13 +145,11 @@ def column_drift(reference: DataFrame, current: DataFrame, cols: list[str], *,
         step = F.col("value") - F.lag("value").over(w)
         return d.withColumn("_area", F.lag("_diff").over(w) * step)
 
-    walked = (
-        Series.of(counted, keys, ["value"], **limits)
-        .running(_cr=F.col("_r"), _cc=F.col("_c"))
-        .select(lambda d: d.join(totals, keys).withColumn("_diff", shares))
-        .rolling(1, gaps)
-        .rows()
-    )
+    walked = over_series(
+        counted, keys, ["value"],
+        lambda s: s.running(_cr=F.col("_r"), _cc=F.col("_c"))
+        .select(lambda d: d.join(totals, keys).withColumn("_diff", shares)).rolling(1, gaps),
+        **limits)
     measured = walked.groupBy(*keys).agg(
         F.max("_diff").alias("ks_statistic"), F.sum("_area").alias("_area"),
         F.any_value("n_ref").alias("n_ref"), F.any_value("n_cur").alias("n_cur"),

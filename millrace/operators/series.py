@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import seconds_between
-from millrace.operators.ordered import Series, number_rows
+from millrace.operators.ordered import Series, number_rows, over_series
 
 
 def rolling_mean(col: str, w: WindowSpec, n: int) -> Column:
@@ -36,13 +36,11 @@ def stock_indicators(df: DataFrame, *, symbol: str = "symbol", order: list[str],
             .withColumn("volatility", rolling_std("daily_return", w, n))
         )
 
-    series = (
-        Series.of(df, [symbol], order, **limits)
-        .last_known(_filled=F.col(close))
-        .rolling(n, build)
-        .ewm(close, n, f"ema_{n}")
-    )
-    return series.rows().drop("_filled")
+    def indicators(series: Series) -> Series:
+        filled = series.last_known(_filled=F.col(close))
+        return filled.rolling(n, build).ewm(close, n, f"ema_{n}")
+
+    return over_series(df, [symbol], order, indicators, **limits).drop("_filled")
 
 
 def tick_indicators(df: DataFrame, *, symbol: str = "symbol", order: list[str], price="price",
@@ -57,14 +55,14 @@ def tick_indicators(df: DataFrame, *, symbol: str = "symbol", order: list[str],
         )
 
     value = F.col(price) * F.col(volume)
-    series = (
-        Series.of(df, [symbol], order, **limits)
-        .last_known(_filled=F.col(price))
-        .running(_pv=value, _v=F.col(volume))
-        .rolling(10, build)
-    )
+
+    def indicators(series: Series) -> Series:
+        filled = series.last_known(_filled=F.col(price))
+        return filled.running(_pv=value, _v=F.col(volume)).rolling(10, build)
+
+    rows = over_series(df, [symbol], order, indicators, **limits)
     vwap = F.try_divide(F.col("_pv").cast("double"), F.col("_v").cast("double"))
-    return series.rows().withColumn("vwap", F.when(value.isNotNull(), vwap)).drop(
+    return rows.withColumn("vwap", F.when(value.isNotNull(), vwap)).drop(
         "_filled", "_pv", "_v"
     )
 
@@ -120,7 +118,8 @@ def order_gaps(orders: DataFrame, *, customer: str = "customer_id", date: str =
         gap = seconds_between(F.col(date), F.lag(date).over(w)) / 86400
         return d.withColumn("days_since_previous", gap)
 
-    return Series.of(orders, [customer], [date, unique], **limits).rolling(1, build).rows()
+    return over_series(orders, [customer], [date, unique], lambda s: s.rolling(1, build),
+                       **limits)
 
 
 def first_n(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
@@ -135,11 +134,12 @@ def first_n(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFra
 def ffill_bfill(df: DataFrame, cols: list[str], *, keys: list[str], order: list[str],
                 **limits: int) -> DataFrame:
     """Nulls take the value before them, leading nulls the first value after them."""
-    series = Series.of(df, keys, order, **limits)
-    series = series.last_known(**{f"_f_{c}": F.col(c) for c in cols})
-    series = series.next_known(**{f"_b_{c}": F.col(c) for c in cols})
+    def fills(series: Series) -> Series:
+        return series.last_known(**{f"_f_{c}": F.col(c) for c in cols}).next_known(
+            **{f"_b_{c}": F.col(c) for c in cols})
+
     filled = {c: F.coalesce(f"_f_{c}", f"_b_{c}") for c in cols}
-    return series.rows().withColumns(filled).drop(
+    return over_series(df, keys, order, fills, **limits).withColumns(filled).drop(
         *[f"_{d}_{c}" for d in "fb" for c in cols]
     )
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import join_unique
+
 # The seasons of the northern hemisphere by month.
 SEASONS = {"Winter": (12, 1, 2), "Spring": (3, 4, 5), "Summer": (6, 7, 8), "Autumn": (9, 10, 11)}
 
@@ -89,12 +91,13 @@ def build_dim_location(locations: DataFrame, countries: DataFrame, regions: Data
     )
 
 
-def build_fact_sales(orders: DataFrame, items: DataFrame, statuses: DataFrame) -> DataFrame:
+def build_fact_sales(orders: DataFrame, items: DataFrame, statuses: DataFrame,
+                     **limits: int) -> DataFrame:
     """One row per item. Shipping and tax of an order are shared by line amount, so their sums over
     lines are those of the orders.
 
     Line amounts are summed per order by a grouped aggregate instead of a window, so an order with
-    very many lines is combined on the map side and split by AQE in the join.
+    very many lines is combined on the map side, and its lines meet its head by broadcast.
     """
     amounts = items.groupBy("order_id").agg(F.sum("total_price").alias("_order_amount"))
     heads = (
@@ -104,7 +107,7 @@ def build_fact_sales(orders: DataFrame, items: DataFrame, statuses: DataFrame) -
     )
     share = F.try_divide(F.col("total_price").cast("double"),
                          F.col("_order_amount").cast("double"))
-    return items.join(heads, "order_id").select(
+    return join_unique(items, heads, "order_id", **limits).select(
         "order_item_id", "order_date_id", "customer_id", "product_id", "location_id", "quantity",
         "unit_price", "discount_amount", F.col("total_price").alias("total_amount"),
         (F.col("shipping_cost").cast("double") * share).alias("shipping_cost"),

@@ -97,10 +97,17 @@ def upsert_stream(messages: DataFrame, path: str, dead_letters: str,
     return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def dedup(stream: DataFrame, key: str, watermark: tuple[str, str]) -> DataFrame:
-    """One row per key among rows that arrive within the watermark delay."""
+def dedup(stream: DataFrame, key: str, watermark: tuple[str, str], salts: int = 16) -> DataFrame:
+    """One row per key among rows that arrive within the watermark delay.
+
+    Copies are first dropped among the input partitions of the same salt, so a row that was sent
+    very often reaches the task of its key `salts` times at most.
+    """
     column, delay = watermark
-    return stream.withWatermark(column, delay).dropDuplicatesWithinWatermark([key])
+    salted = stream.withWatermark(column, delay).withColumn(
+        "_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    return salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop(
+        "_salt").dropDuplicatesWithinWatermark([key])
 
 
 def sample_partition(df: DataFrame, partition: int, n: int, unique: str = "order_id") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from millrace.operators.ordered import Series
+from millrace.operators.ordered import over_series
 
 
 def tick_windows(ticks: DataFrame, seconds: int = 60, minimum: int = 5, *,
@@ -35,9 +35,8 @@ def vwap_batch(batch: DataFrame, batch_id: int, path: str, *, order: list[str],
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        series = Series.of(batch, ["symbol"], order, **limits).running(
-            _pv=F.col("price") * F.col("volume"), _v=F.col("volume"))
-        rows = series.rows()
+        traded = {"_pv": F.col("price") * F.col("volume"), "_v": F.col("volume")}
+        rows = over_series(batch, ["symbol"], order, lambda s: s.running(**traded), **limits)
         # Totals are cumulative, so the batch before holds every symbol seen so far.
         before = None
         if batch_id > 0:

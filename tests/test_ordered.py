@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import features, quality, series
 from millrace.operators.alerts import counter_rate
-from millrace.operators.ordered import Series, largest_key, number_rows
+from millrace.operators.ordered import Series, largest_key, number_rows, over_series
 from millrace.plans import features as feature_plans
 from millrace.plans import markets, monitoring
 
@@ -53,14 +53,40 @@ def expect(pdf, compute):
 
 
 def both(df):
-    return [Series.of(df, ["k"], ["t"]), Series.of(df, ["k"], ["t"], **HOT)]
+    return [Series.whole(df, ["k"], ["t"]),
+            Series.blocks(df, ["k"], ["t"], HOT["block_rows"])]
 
 
-def test_split_only_when_hot(skewed):
+def test_only_large_keys_go_through_blocks(skewed):
     df, pdf = skewed
-    assert largest_key(df, ["k"]) == (pdf["k"] == "hot").sum()
-    plain, hot = both(df)
-    assert not plain.split and hot.split
+    hot_rows = int((pdf["k"] == "hot").sum())
+    assert largest_key(df, ["k"]) == hot_rows
+    seen = []
+
+    def build(s):
+        seen.append((s.split, {r["k"] for r in s.df.select("k").distinct().collect()}))
+        return s.last_known(f=F.col("x")).rolling(
+            1, lambda d, w: d.withColumn("p", F.lag("x").over(w)))
+
+    rows = over_series(df, ["k"], ["t"], build, max_rows=hot_rows - 1, block_rows=32)
+    assert seen == [(False, {"a", "b", "c"}), (True, {"hot"})]
+    same(by_row(rows, "f"), expect(pdf, lambda x: x.ffill()))
+    same(by_row(rows, "p"), expect(pdf, lambda x: x.shift()))
+    seen.clear()
+    over_series(df, ["k"], ["t"], build, max_rows=hot_rows)
+    assert [split for split, _ in seen] == [False]
+
+
+def test_null_keys_and_copies(spark):
+    """A null key and identical rows are split like any others."""
+    df = spark.createDataFrame([(None, 1)] * 90 + [("a", 1)] * 10, "k string, t int")
+    rows = over_series(df, ["k"], ["t"], lambda s: s.running(n=F.lit(1)), max_rows=20,
+                       block_rows=16)
+    found = sorted((r["k"] or "", r["n"]) for r in rows.collect())
+    assert found == [("", i) for i in range(1, 91)] + [("a", i) for i in range(1, 11)]
+    parts = number_rows(df, ["k"], ["t"]).groupBy("k").agg(
+        F.max("_row"), F.count_distinct("_row")).collect()
+    assert sorted(tuple(r)[1:] for r in parts) == [(10, 10), (90, 90)]
 
 
 def test_number_rows(skewed):

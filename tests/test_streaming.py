@@ -150,3 +150,19 @@ def test_periodic_trigger(spark, tmp_path):
         assert sorted(r["value"] for r in spark.read.parquet(clean).collect()) == ["x", "y"]
     finally:
         query.stop()
+
+
+def test_dedup_across_partitions_and_batches(spark, tmp_path):
+    raw, out, mark = (str(tmp_path / n) for n in ("raw", "out", "mark"))
+
+    def step(ids):
+        rows = spark.createDataFrame([(i, "2024-01-01 00:00:00") for i in ids], "id long, t string")
+        rows.select("id", F.col("t").cast("timestamp").alias("at")).repartition(
+            5).write.mode("append").parquet(raw)
+        stream = ingest.file_stream(spark, raw, "id long, at timestamp")
+        ingest.run_available(orders.dedup(stream, "id", ("at", "10 minutes"), 3).writeStream.format(
+            "parquet").option("path", out).option("checkpointLocation", mark))
+
+    step([7] * 200 + [1, 2, 2])
+    step([7] * 50 + [3])
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3, 7]
