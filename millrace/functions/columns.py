@@ -127,9 +127,10 @@ def is_weekend(col: str) -> Column:
     return (F.weekday(F.col(col)) >= 5).cast("int")
 
 
-def route(key: str, partitions: int) -> Column:
+def route(key: str | Column, partitions: int) -> Column:
     """Partition of a key from its MD5, so any producer in any language computes the same."""
-    head = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10)
+    key = F.col(key) if isinstance(key, str) else key
+    head = F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10)
     return F.pmod(head.cast("long"), F.lit(partitions)).cast("int")
 
 

@@ -9,11 +9,14 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import route
+
 
 def train_test_split(df: DataFrame, keys: list[str], test: float = 0.2,
                      seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the keys, so a row stays on its side however the data is partitioned."""
-    mark = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000)) < int(test * 1_000_000)
+    text = F.concat_ws("|", F.lit(str(seed)), *keys)
+    mark = route(text, 1_000_000) < int(test * 1_000_000)
     return df.where(~mark), df.where(mark)
 
 
