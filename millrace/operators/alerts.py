@@ -57,8 +57,8 @@ def counter_rate(samples: DataFrame, seconds: int, step: int = STEP, *, order=("
     deltas = over_series(samples, keys, list(order), lambda s: s.rolling(1, increase), **limits)
     steps = deltas.groupBy(*keys, _step_end("ts", step).alias("evaluated_at")).agg(
         F.sum("_inc").alias("_inc"))
-    return steps.select(
-        *keys, "evaluated_at", (F.sum("_inc").over(_range(keys, seconds, step)) / seconds).alias("rate"))
+    grown = F.sum("_inc").over(_range(keys, seconds, step))
+    return steps.select(*keys, "evaluated_at", (grown / seconds).alias("rate"))
 
 
 def gauge_delta(samples: DataFrame, seconds: int, step: int = STEP, *, order=("ts",),
@@ -188,7 +188,8 @@ def group_alerts(alerts: DataFrame, repeat: int = 3600) -> DataFrame:
 def inhibit(alerts: DataFrame) -> DataFrame:
     """Drop a warning while a critical alert of the same name fires."""
     firing = alerts.where("firing")
-    critical = firing.where(F.col("severity") == "critical").select("alertname", "evaluated_at").distinct()
+    critical = firing.where(F.col("severity") == "critical").select(
+        "alertname", "evaluated_at").distinct()
     calm = firing.where(F.col("severity") == "warning").join(
         critical, ["alertname", "evaluated_at"], "left_anti")
     return calm.unionByName(firing.where(F.col("severity") != "warning"))

@@ -245,7 +245,9 @@ class Series:
         )
         extra = ["_seen", "_before", "_d", "_part", "_reach", "_stretch", "_step", "_inner", "_own",
                  "_last"]
-        return replace(summed, order=self.order, df=summed.df.drop(*extra, *([] if self.split else [ROW])))
+        if not self.split:
+            extra.append(ROW)
+        return replace(summed, order=self.order, df=summed.df.drop(*extra))
 
 
 def split_large(df: DataFrame, keys: list[str],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import flatten_struct, money, numerics_to_double
+from millrace.functions.columns import flatten_struct, numerics_to_double
 from millrace.operators import alerts, quality, series
 from millrace.operators.alerts import Rule
 from millrace.plans.markets import ORDER, SPARSE, sparse_rows, tick_rows
@@ -218,7 +218,8 @@ def _rate_sql(hours: int) -> str:
 DELTA_SQL = f"""(
     WITH s AS (SELECT metric, series, evaluated_at, arg_min(value, ts) AS f, arg_max(value, ts) AS l
                FROM {SAMPLES} s GROUP BY 1, 2, 3)
-    SELECT metric, series, evaluated_at, l - first_value(f) OVER (PARTITION BY metric, series ORDER BY evaluated_at
+    SELECT metric, series, evaluated_at, l - first_value(f) OVER (
+               PARTITION BY metric, series ORDER BY evaluated_at
                RANGE BETWEEN {5 * HOUR} PRECEDING AND CURRENT ROW) AS delta FROM s)"""
 _COUNTS = ", ".join(f"count(*) FILTER (WHERE value <= {b}) AS c{i}"
                     for i, b in enumerate([*BOUNDS, 1e300]))
@@ -276,7 +277,8 @@ def histogram_quantile(spark, sf_dir):
 def _held(source: str, condition: str, hold: int) -> str:
     return f"""(
     WITH c AS (SELECT *, coalesce({condition}, FALSE) AS is_on FROM {source} s),
-    m AS (SELECT *, CASE WHEN is_on AND (lag(evaluated_at) OVER w IS NULL OR evaluated_at - lag(evaluated_at) OVER w > {HOUR}
+    m AS (SELECT *, CASE WHEN is_on AND (lag(evaluated_at) OVER w IS NULL
+                                      OR evaluated_at - lag(evaluated_at) OVER w > {HOUR}
                                       OR NOT lag(is_on) OVER w) THEN evaluated_at END AS start FROM c
           WINDOW w AS (PARTITION BY metric, series ORDER BY evaluated_at)),
     h AS (SELECT *, CASE WHEN is_on THEN evaluated_at - last_value(start IGNORE NULLS) OVER (
@@ -299,8 +301,8 @@ def _rule_sql(rule: Rule) -> str:
     else:
         source, reading = QUANTILE_SQL, "quantile"
     held = _held(source, f"{reading} > {rule.limit}::DOUBLE", rule.hold)
-    return f"""SELECT '{rule.name}' AS alertname, '{rule.severity}' AS severity, metric, series, evaluated_at,
-        {reading} AS reading, firing FROM {held} x WHERE metric = '{rule.metric}'"""
+    return f"""SELECT '{rule.name}' AS alertname, '{rule.severity}' AS severity, metric, series,
+        evaluated_at, {reading} AS reading, firing FROM {held} x WHERE metric = '{rule.metric}'"""
 
 
 ALERTS = "(" + " UNION ALL ".join(_rule_sql(r) for r in RULES) + ")"
@@ -316,7 +318,8 @@ def alert_rules(spark, sf_dir):
 
 
 @query("alert_group", f"""
-    SELECT alertname, (evaluated_at // {4 * HOUR} * {4 * HOUR})::BIGINT AS interval_start, min(evaluated_at) AS sent_at,
+    SELECT alertname, (evaluated_at // {4 * HOUR} * {4 * HOUR})::BIGINT AS interval_start,
+           min(evaluated_at) AS sent_at,
            count(DISTINCT metric || series) AS firing_series
     FROM {ALERTS} a WHERE firing GROUP BY 1, 2
 """)
