@@ -155,8 +155,11 @@ def business_insights_by_customer(inventory: DataFrame, items: DataFrame, orders
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose key has no parent; a null key refers to nothing and is not an orphan."""
-    keys = parent.select(F.col(parent_key).alias("_parent"))
-    return child.where(F.col(child_key).isNotNull()).join(
-        keys, F.col(child_key) == F.col("_parent"), "left_anti"
-    )
+    """Child rows whose key has no parent; a null key refers to nothing and is not an orphan.
+
+    Only distinct keys are compared, so neither side sends the rows of a hot key to one task.
+    """
+    keys = child.select(child_key).where(F.col(child_key).isNotNull()).distinct()
+    known = parent.select(F.col(parent_key).alias("_parent")).distinct()
+    lost = keys.join(known, F.col(child_key) == F.col("_parent"), "left_anti")
+    return child.join(lost, child_key, "left_semi")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import mean_of
-from millrace.operators.joins import orphans, with_global
 from millrace.operators.ordered import over_series
 from millrace.operators.series import ffill_bfill
 from millrace.session import materialize
@@ -87,15 +86,18 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def check_refs(model: dict[str, DataFrame], refs: list[tuple[str, str, str, str]]) -> DataFrame:
-    """Rows and orphans per reference (child, child key, parent, parent key)."""
+    """Rows and orphans per reference (child, child key, parent, parent key), from the counts per
+    key."""
     reports = []
     for child, key, parent, parent_key in refs:
-        rows = model[child].select(key).where(F.col(key).isNotNull())
-        lost = orphans(rows, model[parent], key, parent_key)
-        report = with_global(rows.agg(F.count(F.lit(1)).alias("rows")),
-                             lost.agg(F.count(F.lit(1)).alias("orphans")))
-        reports.append(report.select(F.lit(f"{child}.{key} > {parent}.{parent_key}").alias("ref"),
-                                     "rows", "orphans"))
+        counts = model[child].where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_n"))
+        known = model[parent].select(F.col(parent_key).alias("_parent")).distinct()
+        lost = F.when(F.col("_parent").isNull(), F.col("_n")).otherwise(0)
+        reports.append(counts.join(known, F.col("_key") == F.col("_parent"), "left").agg(
+            F.lit(f"{child}.{key} > {parent}.{parent_key}").alias("ref"),
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(lost), F.lit(0)).alias("orphans")))
     return reduce(DataFrame.unionByName, reports)
 
 

@@ -139,6 +139,17 @@ def test_fan_out_inflates_demand(spark):
     assert (once["total_ordered"], once["number_of_orders"]) == (3, 1)
 
 
+def test_references(spark):
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (9, "d"), (9, "e"), (None, "f")],
+                                  "k long, v string")
+    parent = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "p long")
+    lost = joins.orphans(child, parent, "k", "p")
+    assert sorted(r["v"] for r in lost.collect()) == ["d", "e"]
+    report = quality.check_refs({"c": child, "p": parent, "e": child.limit(0)},
+                                [("c", "k", "p", "p"), ("e", "k", "p", "p")]).collect()
+    assert [tuple(r) for r in report] == [("c.k > p.p", 5, 2), ("e.k > p.p", 0, 0)]
+
+
 def test_segments_match_ntile(spark):
     df = spark.createDataFrame([(i, i % 7, float(i * 37 % 101)) for i in range(1, 103)],
                                "customer_id long, total_orders long, total_spent double")
