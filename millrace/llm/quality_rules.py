@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import materialize, query, table
 
+PRIOR_DOCS = 10.0  # the prior weighs as much as so many documents at least
 SYMBOLS = b"#*$%&|<>"
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, " \
            "n_repeat_words long"
@@ -89,7 +90,7 @@ def host_rates(measured: DataFrame, limit: float) -> DataFrame:
     mean = F.col("k") / F.col("n")
     chance = mean * (1 - mean)
     spread = F.col("squares") / F.col("n") - mean * mean - chance * F.col("hosts") / F.col("n")
-    strength = F.when(spread > chance / 1e6, F.greatest(chance / spread - 1, F.lit(1.0))
+    strength = F.when(spread > chance / 1e6, F.greatest(chance / spread - 1, F.lit(PRIOR_DOCS))
                       ).otherwise(F.lit(1e6))
     prior = total.select(mean.alias("mean"), strength.alias("strength"))
     # One row, so the join is with a single pair of numbers.
@@ -166,7 +167,7 @@ q AS (
   SELECT mean, mean * (1 - mean) AS chance, sq - mean * mean - mean * (1 - mean) * hn AS spread
   FROM p),
 s AS (
-  SELECT mean, CASE WHEN spread > chance / 1e6 THEN greatest(chance / spread - 1, 1.0)
+  SELECT mean, CASE WHEN spread > chance / 1e6 THEN greatest(chance / spread - 1, 10.0)
                     ELSE 1e6 END AS strength FROM q),
 v AS (SELECT source, (f + mean * strength) / (d + strength) > 0.5 AS bad FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
