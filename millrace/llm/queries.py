@@ -1,6 +1,6 @@
 """The queries of this package: importing the operators registers them."""
 
-from millrace.llm import quality_rules  # noqa: F401
+from millrace.llm import mixing, pieces, quality_rules, simhash  # noqa: F401
 from millrace.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
