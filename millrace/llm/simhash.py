@@ -27,6 +27,7 @@ from millrace.llm.components import components
 
 SAMPLE = 1 << 16       # fingerprints, at most about so many, that the top tree is fitted on
 SHARD_ROWS = 4096      # home fingerprints of a shard that the top tree aims at
+SHARD_HASHES = 1 << 22  # shingle hashes that the home rows of a shard hold, aimed at
 LEAF_ROWS = 128        # fingerprints in a leaf within a shard
 BLOCK = 512            # visitors compared at once
 DRAWN = 16             # sampled fingerprints that a border of the top tree rests on, at least
@@ -245,8 +246,11 @@ def near_links(found: DataFrame, radius: int, width: int = 1, share: float | Non
     their sets are that similar. Rows meet rows of their own zone and, with `beside`, of the zone
     after and before it.
     """
-    sized = {r["zone"]: r["n"] for r in found.groupBy("zone").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
+    has_sets = share is not None
+    weight = F.sum(F.size("shingle_set")) if has_sets else F.lit(0)
+    sized, heavy = {}, {}
+    for r in found.groupBy("zone").agg(F.count(F.lit(1)).alias("n"), weight.alias("w")).collect():
+        sized[r["zone"]], heavy[r["zone"]] = r["n"], r["w"]
     step = math.ceil(sum(sized.values()) / SAMPLE) or 1
     drawn: dict[int, list] = {}
     for r in found.where(F.pmod(F.xxhash64("print", F.lit("sample")), F.lit(step)) == 0
@@ -254,12 +258,13 @@ def near_links(found: DataFrame, radius: int, width: int = 1, share: float | Non
         drawn.setdefault(r["zone"], []).append(bytes(r["print"]))
     sampled = {zone: np.frombuffer(b"".join(sorted(p)), ">u8").astype(np.uint64).reshape(-1, width)
                for zone, p in drawn.items()}
-    depths, trees, offsets, total = _depths(sized, sampled), {}, {}, 0
+    depths = _depths({z: max(n, heavy[z] * SHARD_ROWS // SHARD_HASHES) for z, n in sized.items()},
+                     sampled)
+    trees, offsets, total = {}, {}, 0
     for zone in sorted(sized):
         trees[zone] = Tree(sampled.get(zone, np.zeros((0, width), np.uint64)), depths[zone])
         offsets[zone] = total
         total += 1 << depths[zone]
-    has_sets = share is not None
     payload = ["key", "print"] + (["shingle_set"] if has_sets else [])
     kinds = {f.name: f.dataType.simpleString() for f in found.schema}
     key_kind = kinds["key"]
@@ -283,11 +288,11 @@ def near_links(found: DataFrame, radius: int, width: int = 1, share: float | Non
                     shards.append(leaf + offsets[zone + 1])
                     home.append(np.zeros(len(row), bool))
                 pick, shard, mine = map(np.concatenate, (picks, shards, home))
-                for s in range(0, len(pick), 1 << 13):
-                    part = batch.take(pa.array(pick[s:s + (1 << 13)]))
+                most = 1 << (8 if has_sets else 13)
+                for s in range(0, len(pick), most):
+                    part = batch.take(pa.array(pick[s:s + most]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard[s:s + (1 << 13)], pa.int32()),
-                         pa.array(mine[s:s + (1 << 13)])]
+                        [pa.array(shard[s:s + most], pa.int32()), pa.array(mine[s:s + most])]
                         + [part.column(c) for c in payload], ["shard", "home", *payload])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,6 +383,57 @@ def _named(printed: DataFrame, key: str, edges: DataFrame) -> DataFrame:
     return printed.join(by_key, "key").select("id", "key", "component_id")
 
 
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
+                    share: float = 0.8, radius: int = 32) -> DataFrame:
+    """Struct `doc` (the input row), `group` (the row number that stands for it) and `kept`: one row
+    of each group is kept, that of the smallest key.
+
+    Documents link if the sets of their shingles have a Jaccard similarity of `share` or more; a
+    group is what links reach. Candidates are found by 128-bit fingerprints of the sets: at a
+    similarity of 0.8 the expected distance is 19 bits with a deviation of 4, so a radius of 32
+    misses one link in a thousand at the very border and none well above it, and two unrelated texts
+    meet once in 10^8. The sets of candidates alone are then compared exactly. Sets that similar
+    have sizes that differ by a factor of 1 / share at most, so fingerprints meet those of their own
+    and the neighbouring size zones only.
+
+    Texts without a word (null and empty ones too) are copies of each other. Null keys come after
+    all others, equal keys in the order of the rows. No rows give no rows; input columns stay inside
+    `doc`, so their names cannot clash.
+    """
+    rows = materialize(docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(key).alias("id"),
+        prints(text, words, 2, sets=True).alias("p")
+    ).select("doc", "id", F.col("p.set_key").alias("key"), "p.print",
+             F.col("p.n_shingles").alias("n")).withColumn("row", F.monotonically_increasing_id()),
+        "printed")
+    step = math.log(1 / share) * (1 + 1e-9)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    distinct = materialize(rows.groupBy("key").agg(
+        F.min("print").alias("print"), F.min("n").alias("n"), first.alias("first")).withColumn(
+        "zone", F.when(F.col("n") > 0, F.floor(F.log("n") / step)).otherwise(-1).cast("int")),
+        "distinct")
+    near = materialize(near_links(distinct.select("key", "print", "zone"), radius, 2, beside=True),
+                       "near")
+    ends = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
+    some = ends.join(distinct, "key").select("key", "print", "zone", F.col("first.row").alias("row"))
+    said = f"doc.`{text}`"
+    sets = materialize(some.join(rows.select("row", F.col(said).alias("said")), "row").select(
+        "key", "print", "zone", prints("said", words, 2, sets=True).alias("p")).select(
+        "key", "print", "zone", "p.shingle_set"), "sets")
+    roots = components(near_links(sets, radius, 2, share, beside=True)).withColumnRenamed("node", "key")
+    grouped = distinct.select("key", "first").join(roots, "key", "left").withColumn(
+        "root", F.coalesce("root", "key"))
+    kept = materialize(grouped.groupBy("root").agg(F.min("first").alias("first")), "kept")
+    named = grouped.select("key", "root").join(kept, "root").select(
+        "key", F.col("first.row").alias("group"))
+    return rows.join(named, "key").select("doc", "group", (F.col("row") == F.col("group")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that `near_duplicates` keeps."""
+    return near_duplicates(docs, **options).where("kept").select("doc.*")
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark, sf_dir):
     found = simhash_components(table(spark, sf_dir, "documents"), "doc_id")
