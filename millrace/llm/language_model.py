@@ -76,56 +76,74 @@ def first_params(counts: np.ndarray, other: float) -> Params:
     return params
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def _step(params: Params, h: np.ndarray, ids: np.ndarray):
-    """One step of the recurrent unit; what the way back needs comes along."""
-    x, g = params["inputs"][ids], h @ params["turn"]
-    gates = _sigmoid(x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN])
+def _gates(params: Params, h: np.ndarray, x: np.ndarray):
+    """One step of the recurrent unit from the gathered inputs `x`: the next state and what the way
+    back needs (both gates, the inner part of the candidate, the candidate)."""
+    g = h @ params["turn"]
+    gates = x[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]
+    np.negative(gates, out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
     r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    inner = g[:, 2 * HIDDEN:] + params["turn_bias"]
-    n = np.tanh(x[:, 2 * HIDDEN:] + r * inner)
-    return n + z * (h - n), (r, z, inner, n)
-
-
-def _log_share(logits: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logarithm of the softmax at one column of each row, and the softmax (in place of logits)."""
-    logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[np.arange(len(logits)), columns]
+    inner = g[:, 2 * HIDDEN:]
+    inner += params["turn_bias"]
+    n = r * inner
+    n += x[:, 2 * HIDDEN:]
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return after, gates, inner, n
+
+
+def _step(params: Params, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return _gates(params, h, params["inputs"][ids])[0]
+
+
+def _log_share(logits: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithm of each column's softmax at one row, and the softmax (in place of logits). Columns
+    are tokens, so that sums run along whole rows."""
+    logits -= logits.max(axis=0)
+    picked = logits[rows, np.arange(logits.shape[1])]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    logits /= total[:, None]
+    total = logits.sum(axis=0)
+    logits /= total
     return picked - np.log(total), logits
 
 
 def _output(params: Params, h: np.ndarray, ids: np.ndarray, grads: Params | None = None):
     """Natural logarithm of each token's share; with `grads` also d(-sum)/dh, and adds to them."""
+    # By class, so that what belongs to one is a slice; tokens are columns.
+    order = np.argsort(ids // CLASS_WORDS, kind="stable")
+    h, ids = np.ascontiguousarray(h[order].T), ids[order]
     of = ids // CLASS_WORDS
-    rows = np.arange(len(ids))
-    out, share = _log_share(h @ params["classes"] + params["class_bias"], of)
+    borders = np.searchsorted(of, np.arange(CLASSES + 1)).tolist()
+    logits = params["classes"].T @ h
+    logits += params["class_bias"][:, None]
+    out, share = _log_share(logits, of)
     back = None
     if grads is not None:
-        share[rows, of] -= 1
-        grads["classes"] += h.T @ share
-        grads["class_bias"] += share.sum(axis=0)
-        back = share @ params["classes"].T
-    order = np.argsort(of, kind="stable")
-    borders = np.searchsorted(of[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        own = order[borders[c]:borders[c + 1]]
-        if not len(own):
+        share[of, np.arange(len(ids))] -= 1
+        grads["classes"] += h @ share.T
+        grads["class_bias"] += share.sum(axis=1)
+        back = params["classes"] @ share
+    for c, (low, high) in enumerate(zip(borders, borders[1:])):
+        if low == high:
             continue
-        column = ids[own] - c * CLASS_WORDS
-        logs, share = _log_share(h[own] @ params["words"][c] + params["word_bias"][c], column)
-        out[own] += logs
+        own, row = h[:, low:high], ids[low:high] - c * CLASS_WORDS
+        logits = params["words"][c].T @ own
+        logits += params["word_bias"][c][:, None]
+        logs, share = _log_share(logits, row)
+        out[low:high] += logs
         if grads is not None:
-            share[rows[:len(own)], column] -= 1
-            grads["words"][c] += h[own].T @ share
-            grads["word_bias"][c] += share.sum(axis=0)
-            back[own] += share @ params["words"][c].T
-    return out, back
+            share[row, np.arange(high - low)] -= 1
+            grads["words"][c] += own @ share.T
+            grads["word_bias"][c] += share.sum(axis=1)
+            back[:, low:high] += params["words"][c] @ share
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return out[place], None if back is None else back.T[place]
 
 
 @dataclass
@@ -175,10 +193,11 @@ def score_pool(params: Params, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray
     for steps, n in windows(laid, WIDE_WINDOW):
         block, starts, seen = laid.ids[steps, :n], laid.starts[steps, :n], []
         h = h[:n]
+        x, goes_on = params["inputs"][block], (~starts).astype(np.float32)[:, :, None]
         for t in range(len(block)):
-            h = np.where(starts[t][:, None], np.float32(0), h)
+            h = h * goes_on[t]
             seen.append(h)
-            h, _ = _step(params, h, block[t])
+            h = _gates(params, h, x[t])[0]
         valid = np.arange(steps.start, steps.stop)[:, None] < laid.ends[:n]
         out, _ = _output(params, np.stack(seen)[valid], block[valid].astype(np.int64))
         part = np.zeros(block.shape, np.float32)
@@ -212,29 +231,42 @@ class Trainer:
     def _window(self, h, block, starts, valid) -> np.ndarray:
         params, steps = self.params, len(block)
         grads = {k: np.zeros_like(v) for k, v in params.items()}
-        seen, kept = [], []
+        shape = (*block.shape, HIDDEN)
+        states, inner, n = (np.empty(shape, np.float32) for _ in range(3))
+        gates = np.empty((*block.shape, 2 * HIDDEN), np.float32)
+        x, goes_on = params["inputs"][block], (~starts).astype(np.float32)[:, :, None]
         for t in range(steps):
-            h = np.where(starts[t][:, None], np.float32(0), h)
-            seen.append(h)
-            h, inner = _step(params, h, block[t])
-            kept.append(inner)
-        states = np.stack(seen)
-        _, back = _output(params, states[valid], block[valid].astype(np.int64), grads)
-        outer = np.zeros_like(states)
-        outer[valid] = back
+            states[t] = h * goes_on[t]
+            h, gates[t], inner[t], n[t] = _gates(params, states[t], x[t])
+        if valid.all():
+            _, outer = _output(params, states.reshape(-1, HIDDEN), block.ravel().astype(np.int64),
+                               grads)
+            outer = outer.reshape(shape)
+        else:
+            _, back = _output(params, states[valid], block[valid].astype(np.int64), grads)
+            outer = np.zeros_like(states)
+            outer[valid] = back
+        r, z = gates[..., :HIDDEN], gates[..., HIDDEN:]
+        # What a gradient of the next state is multiplied by on its way into each gate.
+        to_n = (1 - z) * (1 - n * n)
+        to_r, to_z = inner * r * (1 - r), (states - n) * z * (1 - z)
         above = np.zeros_like(h)  # gradient of the state after step t
-        into = np.empty((*block.shape, 3 * HIDDEN), np.float32)
+        into, turned = (np.empty((*block.shape, 3 * HIDDEN), np.float32) for _ in range(2))
+        turn = np.ascontiguousarray(params["turn"].T)
         for t in range(steps - 1, -1, -1):
-            r, z, inner, n = kept[t]
-            d_n = above * (1 - z) * (1 - n * n)
+            d_n = above * to_n[t]
+            np.multiply(d_n, to_r[t], out=turned[t, :, :HIDDEN])
+            np.multiply(above, to_z[t], out=turned[t, :, HIDDEN:2 * HIDDEN])
+            np.multiply(d_n, r[t], out=turned[t, :, 2 * HIDDEN:])
             into[t, :, 2 * HIDDEN:] = d_n
-            into[t, :, :HIDDEN] = d_n * inner * r * (1 - r)
-            into[t, :, HIDDEN:2 * HIDDEN] = above * (seen[t] - n) * z * (1 - z)
-            turned = into[t].copy()
-            turned[:, 2 * HIDDEN:] = d_n * r
-            grads["turn"] += seen[t].T @ turned
-            grads["turn_bias"] += turned[:, 2 * HIDDEN:].sum(axis=0)
-            above = (above * z + turned @ params["turn"].T + outer[t]) * ~starts[t][:, None]
+            above = above * z[t]
+            above += turned[t] @ turn
+            above += outer[t]
+            above *= goes_on[t]
+        into[..., :2 * HIDDEN] = turned[..., :2 * HIDDEN]
+        turned = turned.reshape(-1, 3 * HIDDEN)
+        grads["turn"] += states.reshape(-1, HIDDEN).T @ turned
+        grads["turn_bias"] += turned[:, 2 * HIDDEN:].sum(axis=0)
         flat = block.ravel()
         order = np.argsort(flat, kind="stable")
         heads = np.flatnonzero(np.diff(flat[order], prepend=-1))
@@ -245,15 +277,23 @@ class Trainer:
 
     def _update(self, grads: Params, n: int) -> None:
         self.turns += 1
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads.values())) / n
-        scale = min(1.0, CLIP / max(size, 1e-12)) / n
-        rate = RATE * np.sqrt(1 - 0.999**self.turns) / (1 - 0.9**self.turns)
+        size = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values())) / n
+        scale = np.float32(min(1.0, CLIP / max(size, 1e-12)) / n)
+        rate = np.float32(RATE * np.sqrt(1 - 0.999**self.turns) / (1 - 0.9**self.turns))
         for k, g in grads.items():
-            g = g * np.float32(scale)
-            self.mean[k] += np.float32(0.1) * (g - self.mean[k])
-            self.square[k] += np.float32(0.001) * (g * g - self.square[k])
-            self.params[k] -= np.float32(rate) * self.mean[k] / (np.sqrt(self.square[k])
-                                                                 + np.float32(1e-6))
+            g *= scale
+            mean, square = self.mean[k], self.square[k]
+            mean *= np.float32(0.9)
+            mean += np.float32(0.1) * g
+            square *= np.float32(0.999)
+            g *= g
+            g *= np.float32(0.001)
+            square += g
+            np.sqrt(square, out=g)
+            g += np.float32(1e-6)
+            np.divide(mean, g, out=g)
+            g *= rate
+            self.params[k] -= g
 
 
 def fold(doc_id: Column) -> Column:
@@ -263,6 +303,8 @@ def fold(doc_id: Column) -> Column:
 
 def token_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Lower-cased words of all texts, flat, and the number of words of each."""
+    if texts.offset:  # the functions below are wrong on a slice that begins within its buffers
+        texts = texts.take(pa.array(np.arange(len(texts))))
     parts = pc.ascii_split_whitespace(pc.ascii_lower(
         pc.fill_null(texts, "").cast(pa.large_string())))
     flat = parts.flatten()
@@ -274,37 +316,60 @@ def token_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over `text`; every text ends with END."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat, _ = token_lists(batch.column(0))
-            found = pc.value_counts(flat)
-            yield pa.RecordBatch.from_arrays(
+        held, ends = [], 0
+
+        def flush() -> pa.RecordBatch:
+            found = pc.value_counts(pa.concat_arrays(held))
+            return pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([found.field(0).cast(pa.string()), pa.array([END])]),
-                 pa.concat_arrays([found.field(1), pa.array([batch.num_rows], pa.int64())])],
-                ["word", "n"])
+                 pa.concat_arrays([found.field(1), pa.array([ends], pa.int64())])], ["word", "n"])
+
+        for batch in batches:
+            held.append(token_lists(batch.column(0))[0])
+            ends += batch.num_rows
+            if sum(map(len, held)) >= POOL:
+                yield flush()
+                held, ends = [], 0
+        if ends:
+            yield flush()
 
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(
         F.sum("n").alias("n")).where("n > 0")
 
 
+def frequent_words(counts: DataFrame, most: int) -> list:
+    """The (word, n) rows of highest count, by count and word: `most` at most, and all of a size
+    class (a sixteenth of an octave of the count) or none of it.
+
+    Only the rows that are wanted come to the driver, not as many from every task.
+    """
+    classed = counts.withColumn("class", F.floor(F.log2("n") * 16))
+    taken, least = 0, None
+    for r in sorted(classed.groupBy("class").agg(F.count(F.lit(1)).alias("v")).collect(),
+                    key=lambda r: -r["class"]):
+        taken += r["v"]
+        if taken > most:
+            break
+        least = r["class"]
+    if least is None:
+        return []
+    found = classed.where(F.col("class") >= least).select("word", "n").collect()
+    return sorted(found, key=lambda r: (-r["n"], r["word"]))
+
+
 class Numbers:
     """Ranks of the frequent words by count; the end of a text always has rank 0."""
 
     def __init__(self, words: list[str], counts: list[int]):
-        self.words, self.counts = words, np.array(counts, np.float64)
-        self._rank: dict[str, int] | None = None
-
-    def __getstate__(self):
-        return {"words": self.words, "counts": self.counts, "_rank": None}
+        self.words, self.counts = pa.array(words, pa.large_string()), np.array(counts, np.float64)
 
     def ranks(self, texts: pa.Array):
         """(rank of each token with the end of every text, -1 if not frequent; tokens per text;
         place of each token in the words; the words)."""
-        if self._rank is None:
-            self._rank = {w: i for i, w in enumerate(self.words)}
         flat, sizes = token_lists(texts)
         coded = flat.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        of_word = np.fromiter((self._rank.get(w, -1) for w in words), np.int64, len(words))
+        words = coded.dictionary
+        of_word = np.asarray(pc.fill_null(pc.index_in(words, self.words), -1), np.int64)
         sizes = sizes + 1
         ends = np.cumsum(sizes) - 1
         inner = np.ones(int(sizes.sum()), bool)
@@ -312,7 +377,7 @@ class Numbers:
         rank, place = np.zeros(len(inner), np.int64), np.full(len(inner), -1)
         place[inner] = np.asarray(coded.indices, np.int64)
         rank[inner] = of_word[place[inner]] if len(words) else 0
-        return rank, sizes, place, coded.dictionary
+        return rank, sizes, place, words
 
 
 def model_ids(rank: np.ndarray) -> np.ndarray:
@@ -392,7 +457,7 @@ def learn(docs: DataFrame, rounds: int = ROUNDS) -> Language:
     spark = docs.sparkSession
     counts = materialize(word_counts(docs), "counts")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(FREQUENT - 1).collect()
+    top = frequent_words(counts.where(F.col("word") != END), FREQUENT - 1)
     ends = sum(r["n"] for r in counts.where(F.col("word") == END).collect())
     numbers = Numbers([END] + [r["word"] for r in top], [ends] + [r["n"] for r in top])
     told = int(numbers.counts[:WORDS].sum())

@@ -78,7 +78,7 @@ def test_lanes_and_windows_do_not_change_the_score(monkeypatch):
         h, total = np.zeros((1, lm.HIDDEN), np.float32), 0.0
         for token in part:
             out, _ = lm._output(own, h, np.array([token]))
-            total, (h, _) = total + float(out[0]), lm._step(own, h, np.array([token]))
+            total, h = total + float(out[0]), lm._step(own, h, np.array([token]))
         want.append(total)
     for lanes, window in ((512, 32), (3, 7), (1, 1)):
         monkeypatch.setattr(lm, "WIDE_LANES", lanes)
@@ -103,8 +103,17 @@ def test_gradients(monkeypatch):
         assert (losses[0] - losses[1]) / 0.02 == pytest.approx(grad.ravel()[at], rel=0.02)
 
 
+def test_frequent_words_take_whole_classes(spark):
+    rows = [("a", 90), ("b", 40), ("c", 40), ("d", 39), ("e", 2), ("f", 2), ("g", 1)]
+    counts = spark.createDataFrame(rows, "word string, n long")
+    names = lambda most: "".join(r["word"] for r in lm.frequent_words(counts, most))
+    assert [names(n) for n in (0, 1, 2, 4, 5, 6, 7)] == [
+        "", "a", "a", "abcd", "abcd", "abcdef", "abcdefg"]
+
+
 def test_tokens():
-    flat, sizes = lm.token_lists(pa.array(["A b\x0bc\x0c\x1fd  E É", None, "", "  x "]))
+    said = pa.array(["long ago", "A b\x0bc\x0c\x1fd  E É", None, "", "  x "])
+    flat, sizes = lm.token_lists(said.slice(1))
     assert flat.to_pylist() == ["a", "b", "c", "\x1fd", "e", "É", "x"]
     assert sizes.tolist() == [6, 0, 0, 1]
 
