@@ -116,14 +116,16 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source",
     rules = failures()
     measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                            F.col(host).cast("string").alias("host"), measures(text).alias("m"))
-    judged = materialize(measured.select(
+    judged = measured.select(
         "doc", "host", "m",
         F.filter(F.array(*[F.when(r, F.lit(n)) for n, r in rules.items()]),
                  F.isnotnull).alias("failed"),
         (rules["short"] | rules["repeating"]).alias("base_failed"),
-    ).withColumn("n_failed", F.size("failed")), "quality")
-    hosts = host_rates(judged, host_limit).select(
-        F.col("host").alias("of"), "host_rate", "host_bad")
+    ).withColumn("n_failed", F.size("failed"))
+    # Two passes over the texts: measuring again costs less than a written copy of all documents.
+    # The verdicts are written, so that their size is known when the join is planned.
+    hosts = materialize(host_rates(judged, host_limit).select(
+        F.col("host").alias("of"), "host_rate", "host_bad"), "hosts")
     return judged.join(hosts, F.col("host").eqNullSafe(F.col("of"))).select(
         "doc", "m", "failed", "base_failed", "host_rate", "host_bad",
         (~F.col("base_failed") & (F.col("n_failed") < F.when(F.col("host_bad"), 1).otherwise(2))
