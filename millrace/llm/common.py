@@ -59,10 +59,17 @@ def const_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame
     return one.select(F.inline(F.array(*made)))
 
 
+def join_small(rows: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+               most: int = 100_000) -> DataFrame:
+    """Join with a written table that is usually small: broadcast if it has `most` rows at most
+    (which the file footers say), else an ordinary join, which Spark splits where a key is skewed."""
+    return rows.join(F.broadcast(small) if small.count() <= most else small, on, how)
+
+
 def unsigned_part(hexed: Column, first: int, digits: int) -> Column:
     """`digits` (up to 15) hexadecimal digits from `first` (from 1) as a long."""
     return F.conv(F.substring(hexed, first, digits), 16, 10).cast("long")
 
 
-__all__ = ["LOWER_BYTES", "ORACLES", "QUERIES", "WORD", "ascii_lower", "const_rows",
+__all__ = ["LOWER_BYTES", "ORACLES", "QUERIES", "WORD", "ascii_lower", "const_rows", "join_small",
            "materialize", "query", "set_up", "table", "unsigned_part"]

@@ -16,7 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, const_rows, materialize, query, table, unsigned_part
+from millrace.llm.common import (
+    WORD,
+    const_rows,
+    join_small,
+    materialize,
+    query,
+    table,
+    unsigned_part,
+)
 
 BUCKET_ROWS = 4096   # rows of a leaf that one task orders
 ORDER_DIGITS = 15    # hexadecimal digits of the seeded order: 60 bits
@@ -121,7 +129,7 @@ def mix_sources(docs: DataFrame, levels: dict[str, Column], weights: list[dict[s
         "buckets": F.expr(f"1 + docs DIV {BUCKET_ROWS}")}), "leaves")
     # The place at which the prefix of each leaf's last epoch ends.
     at = seeded_order(seed, F.col("whole"), F.col("key"))
-    cut = narrow.join(leaves.where("rest > 0"), names).withColumn("at", at).withColumn(
+    cut = join_small(narrow, leaves, names).where("rest > 0").withColumn("at", at).withColumn(
         "bucket", F.shiftright(F.shiftright("at", 20) * F.col("buckets"), 40))
     sums = cut.groupBy(*names, "bucket").agg(F.sum("n").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy(*names).orderBy("bucket").rowsBetween(
@@ -130,7 +138,7 @@ def mix_sources(docs: DataFrame, levels: dict[str, Column], weights: list[dict[s
         leaves.select(*names, "rest"), names).where("before < rest").groupBy(*names).agg(
         F.max(F.struct("bucket", "before")).alias("end")).select(
         *names, F.col("end.bucket").alias("bucket"), "end.before")
-    within = cut.join(ends, [*names, "bucket"]).groupBy(*names, "at", "rest", "before").agg(
+    within = join_small(cut, materialize(ends, "ends"), [*names, "bucket"]).groupBy(*names, "at", "rest", "before").agg(
         F.sum("n").alias("n"))
     taken = F.coalesce(F.sum("n").over(Window.partitionBy(*names).orderBy("at").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0)) + F.col("before")
@@ -139,7 +147,7 @@ def mix_sources(docs: DataFrame, levels: dict[str, Column], weights: list[dict[s
     plan = materialize(leaves.join(last, names, "left").select(
         *names, "tokens", "budget", "whole", F.coalesce("last", F.lit(-1)).alias("last")), "plan")
     reads = F.col("whole") + F.when(at <= F.col("last"), 1).otherwise(0)
-    return placed.drop("n").join(plan, names).withColumn("reads", reads).where("reads > 0").select(
+    return join_small(placed.drop("n"), plan, names).withColumn("reads", reads).where("reads > 0").select(
         "doc", *names, F.explode(F.sequence(F.lit(0), F.col("reads") - 1)).alias("epoch"),
         F.col("budget").alias("leaf_budget"), F.col("tokens").alias("leaf_tokens"))
 
