@@ -25,6 +25,7 @@ from millrace.llm.common import query, table
 MARK = "▁"
 NONE = np.int32(2**31 - 1)
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
+PORTION = 2 << 20  # bytes of text that the flat arrays of a task stand for, about
 MEMORY = 300_000  # distinct words a task remembers before it starts anew
 
 
@@ -309,6 +310,14 @@ def codec(proto: bytes) -> Codec:
     return Codec(proto)
 
 
+def portions(texts: pa.Array) -> list[pa.Array]:
+    """The texts in stretches of about PORTION bytes, or of one text that is longer."""
+    ends = np.cumsum(np.asarray(pc.binary_length(texts), np.int64))
+    cuts = np.flatnonzero(np.diff(ends // PORTION)) + 1
+    borders = [0, *cuts.tolist(), len(texts)]
+    return [texts.slice(a, b - a) for a, b in zip(borders, borders[1:]) if b > a]
+
+
 def binary_array(data: np.ndarray, borders: np.ndarray) -> pa.Array:
     """Little-endian unsigned 32-bit ids of each text."""
     return pa.Array.from_buffers(pa.binary(), len(borders) - 1, [
@@ -326,10 +335,12 @@ def encode_decode(text: str, model: str):
     proto = Path(model).read_bytes()
 
     def both(texts: pa.Array) -> pa.Array:
-        own = codec(proto)
-        ids, borders = own.encode(pc.fill_null(texts, ""))
-        return pa.StructArray.from_arrays([binary_array(ids, borders), own.decode(ids, borders)],
-                                          ["ids", "decoded"])
+        own, texts = codec(proto), pc.fill_null(texts, "")
+        done = [(binary_array(ids, borders), own.decode(ids, borders))
+                for ids, borders in map(own.encode, portions(texts))]
+        columns = [pa.concat_arrays(part) for part in zip(*done)] or [
+            pa.array([], pa.binary()), pa.array([], pa.string())]
+        return pa.StructArray.from_arrays(columns, ["ids", "decoded"])
 
     return F.arrow_udf(both, "ids binary, decoded string")(F.col(text).cast("string"))
 
