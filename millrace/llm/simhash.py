@@ -27,6 +27,7 @@ from millrace.llm.components import components
 
 SAMPLE = 1 << 16       # fingerprints, at most about so many, that the top tree is fitted on
 SHARD_ROWS = 4096      # home fingerprints of a shard that the top tree aims at
+WIDE_ROWS = 1 << 16    # the same where the radius is so wide that the top tree leaves out no shard
 SHARD_HASHES = 1 << 22  # shingle hashes that the home rows of a shard hold, aimed at
 LEAF_ROWS = 128        # fingerprints in a leaf within a shard
 BLOCK = 512            # visitors compared at once
@@ -231,14 +232,15 @@ class Shard:
             homes = homes[1:]
 
 
-def _depths(counts: dict[int, int], sampled: dict[int, np.ndarray]) -> dict[int, int]:
-    return {zone: max(0, min(math.ceil(math.log2(max(1, n) / SHARD_ROWS)),
+def _depths(counts: dict[int, int], sampled: dict[int, np.ndarray],
+            shard_rows: int) -> dict[int, int]:
+    return {zone: max(0, min(math.ceil(math.log2(max(1, n) / shard_rows)),
                              int(math.log2(max(1, len(sampled.get(zone, ())) / DRAWN)))))
             for zone, n in counts.items()}
 
 
 def near_links(found: DataFrame, radius: int, width: int = 1, share: float | None = None,
-               beside: bool = False) -> DataFrame:
+               beside: bool = False, shard_rows: int | None = None) -> DataFrame:
     """Edges (a, b) of a forest that has the components of all links.
 
     `found` holds distinct keys with their `print`, a `zone` (few values) and, for `share`, their
@@ -258,8 +260,9 @@ def near_links(found: DataFrame, radius: int, width: int = 1, share: float | Non
         drawn.setdefault(r["zone"], []).append(bytes(r["print"]))
     sampled = {zone: np.frombuffer(b"".join(sorted(p)), ">u8").astype(np.uint64).reshape(-1, width)
                for zone, p in drawn.items()}
-    depths = _depths({z: max(n, heavy[z] * SHARD_ROWS // SHARD_HASHES) for z, n in sized.items()},
-                     sampled)
+    shard_rows = shard_rows or SHARD_ROWS
+    depths = _depths({z: max(n, heavy[z] * shard_rows // SHARD_HASHES) for z, n in sized.items()},
+                     sampled, shard_rows)
     trees, offsets, total = {}, {}, 0
     for zone in sorted(sized):
         trees[zone] = Tree(sampled.get(zone, np.zeros((0, width), np.uint64)), depths[zone])
@@ -412,8 +415,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         F.min("print").alias("print"), F.min("n").alias("n"), first.alias("first")).withColumn(
         "zone", F.when(F.col("n") > 0, F.floor(F.log("n") / step)).otherwise(-1).cast("int")),
         "distinct")
-    near = materialize(near_links(distinct.select("key", "print", "zone"), radius, 2, beside=True),
-                       "near")
+    # A radius of a quarter of the bits reaches every shard, so a fingerprint is sent to all of its
+    # two zones; shards as large as a task can hold keep that small.
+    near = materialize(near_links(distinct.select("key", "print", "zone"), radius, 2, beside=True,
+                                  shard_rows=WIDE_ROWS), "near")
     ends = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
     some = ends.join(distinct, "key").select("key", "print", "zone", F.col("first.row").alias("row"))
     said = f"doc.`{text}`"
