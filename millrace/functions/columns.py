@@ -168,3 +168,10 @@ def apply_filters(df: DataFrame, *, date: str = "order_date", product: str = "pr
     if amount_range:
         df = df.where(between(amount, *amount_range))
     return df
+
+
+def nan_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
+    """NaN in floating-point columns among `cols` becomes null."""
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType))
+                           for c in dict.fromkeys(cols) if c in floats})

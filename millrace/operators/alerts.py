@@ -1,7 +1,8 @@
 """Alerting over metric samples (metric, labels, ts, value).
 
-Rules are evaluated on a grid of `step` seconds. Samples are summed up per series and step before
-any window, so a window holds at most one row per step of a series, however dense the samples.
+Rules are evaluated on a grid of `step` seconds, at every step while a range still holds a sample of
+the series. Samples are summed up per series and step before any window, so a window holds one row
+per step of a series, however dense or sparse the samples.
 A series is (metric, series), where `series` is the label text.
 """
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import over_series
+from millrace.session import materialize
 
 STEP = 15
 _SERIES = ["metric", "series"]
@@ -42,33 +44,79 @@ def _range(keys: list[str], seconds: int, step: int) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy("evaluated_at").rangeBetween(-(seconds - step), 0)
 
 
-def counter_rate(samples: DataFrame, seconds: int, step: int = STEP, *, order=("ts",),
-                 keys: list[str] = _SERIES, **limits: int) -> DataFrame:
-    """Per-second increase over the range up to each evaluation.
+def step_sums(samples: DataFrame, step: int = STEP, *, order=("ts",), keys: list[str] = _SERIES,
+              bounds: list[float] | None = None, **limits: int) -> DataFrame:
+    """One row per series and step with samples: `n`, the increase of a counter and that of the
+    step's first sample, first and last value, and cumulative bucket counts for `bounds`.
 
-    A falling counter was reset, so its whole value is the increase. The increase is not
-    extrapolated to the borders of the range.
+    A falling counter was reset, so its whole value is the increase.
     """
     def increase(d: DataFrame, w: WindowSpec) -> DataFrame:
         before = F.lag("value").over(w)
         grown = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
         return d.withColumn("_inc", F.coalesce(grown, F.lit(0.0)))
 
+    place = F.struct(*order)
     deltas = over_series(samples, keys, list(order), lambda s: s.rolling(1, increase), **limits)
-    steps = deltas.groupBy(*keys, _step_end("ts", step).alias("evaluated_at")).agg(
-        F.sum("_inc").alias("_inc"))
-    grown = F.sum("_inc").over(_range(keys, seconds, step))
-    return steps.select(*keys, "evaluated_at", (grown / seconds).alias("rate"))
+    counts = [] if bounds is None else [F.array(*[
+        F.count_if(F.col("value") <= edge).cast("double") for edge in [*bounds, float("inf")]
+    ]).alias("buckets")]
+    return deltas.groupBy(*keys, _step_end("ts", step).alias("evaluated_at")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_inc").alias("increase"),
+        F.min_by("_inc", place).alias("first_increase"), F.min_by("value", place).alias("first"),
+        F.max_by("value", place).alias("last"), *counts)
+
+
+def on_grid(steps: DataFrame, seconds: int, step: int = STEP, *,
+            keys: list[str] = _SERIES) -> DataFrame:
+    """Every step of a series from its first sample until a range of `seconds` no longer holds its
+    last; steps without samples have nulls."""
+    spans = steps.groupBy(*keys).agg(F.min("evaluated_at").alias("_from"),
+                                     (F.max("evaluated_at") + seconds - step).alias("_to"))
+    grid = spans.select(*keys, F.explode(F.sequence("_from", "_to", F.lit(step).cast("long")))
+                        .alias("evaluated_at"))
+    return grid.join(steps, [*keys, "evaluated_at"], "left")
+
+
+def _rate(steps: DataFrame, seconds: int, step: int, keys: list[str]) -> DataFrame:
+    over = _range(keys, seconds, step)
+    # The first sample of the range has its predecessor outside, which a range does not see.
+    grown = F.sum("increase").over(over) - F.first("first_increase", True).over(over)
+    return on_grid(steps, seconds, step, keys=keys).select(
+        *keys, "evaluated_at", F.sum("n").over(over).alias("_n"), (grown / seconds).alias("rate")
+    ).where("_n >= 2").drop("_n")
+
+
+def _delta(steps: DataFrame, seconds: int, step: int, keys: list[str]) -> DataFrame:
+    over = _range(keys, seconds, step)
+    change = F.last("last", True).over(over) - F.first("first", True).over(over)
+    return on_grid(steps, seconds, step, keys=keys).select(
+        *keys, "evaluated_at", F.sum("n").over(over).alias("_n"), change.alias("delta")
+    ).where("_n >= 2").drop("_n")
+
+
+def _quantile(steps: DataFrame, q: float, bounds: list[float], seconds: int, step: int,
+              keys: list[str]) -> DataFrame:
+    over, edges = _range(keys, seconds, step), [*bounds, float("inf")]
+    seen = on_grid(steps, seconds, step, keys=keys).select(*keys, "evaluated_at", *[
+        F.sum(F.get("buckets", F.lit(i))).over(over).alias(f"_b{i}") for i in range(len(edges))])
+    entries = [F.struct(F.lit(edge).alias("le"), F.col(f"_b{i}").alias("value"))
+               for i, edge in enumerate(edges)]
+    return histogram_quantile(seen.select(*keys, "evaluated_at", F.inline(F.array(*entries))), q,
+                              keys=[*keys, "evaluated_at"])
+
+
+def counter_rate(samples: DataFrame, seconds: int, step: int = STEP, *, order=("ts",),
+                 keys: list[str] = _SERIES, **limits: int) -> DataFrame:
+    """Per-second increase over the range up to each evaluation, where it holds two samples at
+    least. The increase is not extrapolated to the borders of the range."""
+    return _rate(step_sums(samples, step, order=order, keys=keys, **limits), seconds, step, keys)
 
 
 def gauge_delta(samples: DataFrame, seconds: int, step: int = STEP, *, order=("ts",),
-                keys: list[str] = _SERIES) -> DataFrame:
-    """Last minus first value in the range up to each evaluation."""
-    place = F.struct(*order)
-    steps = samples.groupBy(*keys, _step_end("ts", step).alias("evaluated_at")).agg(
-        F.min_by("value", place).alias("_first"), F.max_by("value", place).alias("_last"))
-    first = F.first("_first").over(_range(keys, seconds, step))
-    return steps.select(*keys, "evaluated_at", (F.col("_last") - first).alias("delta"))
+                keys: list[str] = _SERIES, **limits: int) -> DataFrame:
+    """Last minus first value in the range up to each evaluation, where it holds two samples."""
+    return _delta(step_sums(samples, step, order=order, keys=keys, **limits), seconds, step, keys)
 
 
 def duration_histogram(df: DataFrame, value: str, bounds: list[float], *,
@@ -143,46 +191,57 @@ RULES = [
 
 
 def window_quantile(samples: DataFrame, q: float, bounds: list[float], seconds: int,
-                    step: int = STEP, *, keys: list[str] = _SERIES) -> DataFrame:
+                    step: int = STEP, *, order=("ts",), keys: list[str] = _SERIES,
+                    **limits: int) -> DataFrame:
     """Histogram quantile of the values seen in the range up to each evaluation."""
-    placed = samples.withColumn("evaluated_at", _step_end("ts", step))
-    buckets = duration_histogram(placed, "value", bounds, keys=[*keys, "evaluated_at"])
-    over = _range([*keys, "le"], seconds, step)
-    seen = buckets.withColumn("value", F.sum("value").over(over))
-    return histogram_quantile(seen, q, keys=[*keys, "evaluated_at"])
+    steps = step_sums(samples, step, order=order, keys=keys, bounds=bounds, **limits)
+    return _quantile(steps, q, bounds, seconds, step, keys)
 
 
 def evaluate_alerts(samples: DataFrame, rules: list[Rule] = RULES, *, bounds: list[float],
-                    order=("ts",), step: int = STEP, gap: int | None = None) -> DataFrame:
-    """All rules over one sample table: (alertname, severity, metric,
-    series, evaluated_at, reading, firing)."""
+                    order=("ts",), step: int = STEP, **limits: int) -> DataFrame:
+    """All rules over one sample table: (alertname, severity, metric, series, evaluated_at,
+    reading, firing).
+
+    The samples are read once, into sums per series and step; every rule works on those.
+    """
+    wanted = samples.where(F.col("metric").isin(sorted({r.metric for r in rules})))
+    steps = materialize(step_sums(wanted, step, order=order, bounds=bounds, **limits), "steps")
     results = []
     for rule in rules:
-        chosen = samples.where(F.col("metric") == rule.metric)
+        own = steps.where(F.col("metric") == rule.metric)
         if rule.measure == "rate":
-            read = counter_rate(chosen, rule.seconds, step, order=order)
-            read = read.withColumnRenamed("rate", "reading")
+            read = _rate(own, rule.seconds, step, _SERIES).withColumnRenamed("rate", "reading")
         elif rule.measure == "delta":
-            read = gauge_delta(chosen, rule.seconds, step, order=order)
+            read = _delta(own, rule.seconds, step, _SERIES)
             read = read.withColumn("reading", F.abs("delta")).drop("delta")
         else:
-            read = window_quantile(chosen, 0.95, bounds, rule.seconds, step)
+            read = _quantile(own, 0.95, bounds, rule.seconds, step, _SERIES)
             read = read.withColumnRenamed("quantile", "reading")
-        fired = alert_for(read, F.col("reading") > rule.limit, rule.hold, gap=gap or step)
+        fired = alert_for(read, F.col("reading") > rule.limit, rule.hold, gap=step)
         results.append(fired.select(
             F.lit(rule.name).alias("alertname"), F.lit(rule.severity).alias("severity"),
             *_SERIES, "evaluated_at", "reading", "firing"))
     return reduce(DataFrame.unionByName, results)
 
 
-def group_alerts(alerts: DataFrame, repeat: int = 3600) -> DataFrame:
-    """Notifications per alert name: one per repeat interval in which it fires."""
-    slot = F.floor(F.col("evaluated_at") / repeat) * repeat
-    return (
-        alerts.where("firing").groupBy("alertname", slot.alias("interval_start"))
-        .agg(F.min("evaluated_at").alias("sent_at"),
-             F.count_distinct("metric", "series").alias("firing_series"))
-    )
+def group_alerts(alerts: DataFrame, repeat: int = 3600, *, step: int = STEP) -> DataFrame:
+    """Notifications per alert name: one when any of its series begins to fire, and while that goes
+    on one more per full `repeat` interval since. `firing_series` counts those that fire until the
+    next one."""
+    line = Window.partitionBy("alertname").orderBy("evaluated_at")
+    firing = alerts.where("firing").select("alertname", "metric", "series", "evaluated_at")
+    times = firing.select("alertname", "evaluated_at").distinct()
+    before = F.lag("evaluated_at").over(line)
+    begins = before.isNull() | (F.col("evaluated_at") - before > step)
+    runs = times.withColumn("_start", F.when(begins, F.col("evaluated_at"))).withColumn(
+        "started", F.last("_start", True).over(
+            line.rowsBetween(Window.unboundedPreceding, 0))).drop("_start")
+    turn = F.floor((F.col("evaluated_at") - F.col("started")) / repeat)
+    return firing.join(runs, ["alertname", "evaluated_at"]).groupBy(
+        "alertname", "started", turn.alias("_turn")).agg(
+        F.min("evaluated_at").alias("sent_at"),
+        F.count_distinct("metric", "series").alias("firing_series")).drop("_turn")
 
 
 def inhibit(alerts: DataFrame) -> DataFrame:

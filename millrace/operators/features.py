@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,8 @@ def get_historical_features(entities: DataFrame, refs: list[str] | FeatureServic
                             views: dict[str, tuple[FeatureView, DataFrame]], *,
                             timestamp: str = "event_timestamp", full_names: bool = False,
                             **limits: int) -> DataFrame:
-    """Entity rows with, per view, the newest feature row at or before their time.
+    """Entity rows with, per view, the newest feature row at or before their time; a null key
+    matches nothing.
 
     A newest row older than the view's ttl gives nulls; there is no step back to an older one. All
     views and the entity rows go through one ordered pass per set of keys, so they are shuffled
@@ -61,6 +63,8 @@ def get_historical_features(entities: DataFrame, refs: list[str] | FeatureServic
 
 
 def _one_pass(entities, keys, group, views, timestamp, full_names, limits) -> DataFrame:
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyless, entities = entities.where(~known), entities.where(known)
     carried = [c for c in entities.columns if c not in keys]
     shape = entities.select(F.struct(*carried).alias("_e")).schema["_e"].dataType
     kinds = {}
@@ -81,7 +85,7 @@ def _one_pass(entities, keys, group, views, timestamp, full_names, limits) -> Da
     for name, features in group:
         view, source = views[name]
         payload = F.struct(F.col(view.timestamp).cast("timestamp").alias("at"), *features)
-        rows = rows.unionByName(source.select(
+        rows = rows.unionByName(source.where(known).select(
             *keys, F.col(view.timestamp).cast("timestamp").alias("_ts"), F.lit(0).alias("_side"),
             F.col(view.created).cast("timestamp").alias("_made"),
             F.lit(None).cast(shape).alias("_e"),
@@ -89,9 +93,12 @@ def _one_pass(entities, keys, group, views, timestamp, full_names, limits) -> Da
               for n, _ in group],
         ))
     newest = {f"_v_{name}": F.col(f"_v_{name}") for name, _ in group}
-    known = over_series(rows, keys, ["_ts", "_side", "_made"], lambda s: s.last_known(**newest),
-                        **limits).where("_side = 1")
-    columns = []
+    # Feature rows of equal time and creation are settled by their values.
+    values = [F.to_json(F.col(f"_v_{name}")) for name, _ in group]
+    rows = rows.withColumn("_tie", F.concat_ws(",", *values))
+    matched = over_series(rows, keys, ["_ts", "_side", "_made", "_tie"],
+                          lambda s: s.last_known(**newest), **limits).where("_side = 1")
+    columns, empties = [], []
     for name, features in group:
         seen = F.col(f"_v_{name}")
         oldest = F.col("_ts") - F.expr(f"interval {int(views[name][0].ttl.total_seconds())} second")
@@ -99,7 +106,10 @@ def _one_pass(entities, keys, group, views, timestamp, full_names, limits) -> Da
             F.when(seen["at"] >= oldest, seen[f])
             .alias(f"{name}__{f}" if full_names else f) for f in features
         ]
-    return known.select(*keys, *[F.col("_e")[c].alias(c) for c in carried], *columns)
+        empties += [F.lit(None).cast(kinds[name][f].dataType)
+                    .alias(f"{name}__{f}" if full_names else f) for f in features]
+    return matched.select(*keys, *[F.col("_e")[c].alias(c) for c in carried], *columns).unionByName(
+        keyless.select(*keys, *carried, *empties))
 
 
 def pit_join(entities: DataFrame, features: DataFrame, keys: list[str], cols: list[str],

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,16 +70,38 @@ def create_daily_sales(base: DataFrame, path: str, *, date: str = "sale_date",
 
 def refresh_daily_sales(base: DataFrame, changed: DataFrame, path: str, *,
                         date: str = "sale_date", high: float = 500) -> None:
-    """Recompute the months touched by the changed rows and overwrite only those.
+    """Recompute the months touched by the changed rows and overwrite only those; a month that has
+    no rows left goes.
 
-    The base is read for the touched months alone: the list of months, bounded by the calendar,
-    is joined to it as a broadcast.
+    The touched months, a list bounded by the calendar, become date ranges on the bare column, so
+    the base is read for them alone.
     """
-    months = _with_month(changed, date).select("sale_month").distinct()
-    touched = _with_month(base, date).join(F.broadcast(months), "sale_month", "left_semi")
-    stats = _with_month(daily_sales_stats(touched.drop("sale_month"), date=date, high=high), date)
+    months = sorted(r[0] for r in changed.select(F.trunc(F.col(date).cast("date"), "month"))
+                    .distinct().collect() if r[0] is not None)
+    if not months:
+        return
+    ranges = []
+    for first in months:
+        after = (first + datetime.timedelta(days=32)).replace(day=1)
+        if ranges and ranges[-1][1] == first:
+            ranges[-1][1] = after
+        else:
+            ranges.append([first, after])
+    inside = reduce(lambda a, b: a | b, [(F.col(date) >= F.lit(low)) & (F.col(date) < F.lit(high))
+                                         for low, high in ranges])
+    stats = _with_month(daily_sales_stats(base.where(inside), date=date, high=high), date)
     (stats.hint("rebalance", "sale_month").write.option("partitionOverwriteMode", "dynamic")
      .partitionBy("sale_month").mode("overwrite").parquet(path))
+    # The overwrite replaces months that have rows; the others are taken away.
+    spark = base.sparkSession
+    left = {r[0] for r in spark.read.parquet(path).where(
+        F.col("sale_month").cast("string").isin([f"{m:%Y-%m}" for m in months])).where(inside)
+        .select(F.date_format(date, "yyyy-MM")).distinct().collect()}
+    still = {r[0] for r in stats.select("sale_month").distinct().collect()}
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for month in left - still:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/sale_month={month}"), True)
 
 
 def read_daily_sales(spark: SparkSession, path: str) -> DataFrame:

@@ -20,8 +20,16 @@ def train_test_split(df: DataFrame, keys: list[str], test: float = 0.2,
     return df.where(~mark), df.where(mark)
 
 
+def bounded_rows(df: DataFrame, keys: list[str], rows: int, seed: int = 42) -> DataFrame:
+    """About `rows` rows, all of them if there are fewer, by a hash of the keys."""
+    share = min(1.0, rows / max(1, df.count()))
+    mark = route(F.concat_ws("|", F.lit(f"fit{seed}"), *keys), 1_000_000)
+    return df.where(mark < int(share * 1_000_000))
+
+
 def train_forest(df: DataFrame, features: list[str], label: str, trees: int = 100,
-                 depth: int = 10, seed: int = 42) -> PipelineModel:
+                 depth: int = 30, seed: int = 42) -> PipelineModel:
+    """A random forest; 30 is the deepest that the library grows."""
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc",
                       handleInvalid="keep"),
@@ -50,16 +58,20 @@ def metrics_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return left.join(right, "metric", "full").withColumn("change", F.col("new") - F.col("old"))
 
 
-def _text(df: DataFrame, col: str) -> Column:
-    """The value as text, with null told apart from an empty text."""
-    return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit("-"))
+def _text(col: str) -> Column:
+    """The value as text behind its length, so that neither null nor a separator within a value can
+    be taken for something else."""
+    said = F.col(f"`{col}`").cast("string")
+    return F.coalesce(F.concat(F.length(said).cast("string"), F.lit(":"), said), F.lit("-"))
 
 
 def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Identity of a dataset version that does not depend on row order: the row count and the sum
-    of 60-bit row digests. Duplicated rows count."""
+    """Identity of a dataset version that does not depend on row order: the row count, the sum of
+    60-bit row digests, and a digest of column names and types. Duplicated rows count."""
     cols = cols or df.columns
-    digest = F.md5(F.concat_ws("\u0001", *[_text(df, c) for c in cols]).cast("binary"))
+    shape = ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in cols)
+    digest = F.md5(F.concat(*[_text(c) for c in cols]).cast("binary"))
     number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.md5(F.lit(shape).cast("binary")).alias("schema_digest"),
                   F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("digest"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import mean_of
+from millrace.functions.columns import mean_of, nan_to_null
 from millrace.operators.ordered import over_series
 from millrace.operators.series import ffill_bfill
 from millrace.session import materialize
@@ -16,13 +16,16 @@ from millrace.session import materialize
 def unpivot(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
     """One row per id and column, as (column, value)."""
     typed = df.select(*(ids or []), *[F.col(c).cast("double").alias(c) for c in cols])
+    typed = nan_to_null(typed, cols)
     return typed.unpivot([F.col(i) for i in ids or []], [F.col(c) for c in cols],
                          "column", "value")
 
 
 def missing_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Missing count and share per column, and for the whole dataset as column `*`; one pass."""
+    """Missing count and share per column, and for the whole dataset as column `*`; one pass. NaN
+    is missing, here and in all figures below."""
     cols = cols or df.columns
+    df = nan_to_null(df, cols)
     counts = df.agg(F.count(F.lit(1)).alias("_n"),
                     *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     total = reduce(lambda a, b: a + b, [F.col(c) for c in cols])
@@ -38,6 +41,7 @@ def missing_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def profile(df: DataFrame, cols: list[str], *, keys: list[str], order: list[str],
             **limits: int) -> DataFrame:
     """Mean and sample deviation after filling both ways, missing share before it."""
+    df = nan_to_null(df, cols)
     marked = df.withColumns({f"_raw_{c}": F.col(c) for c in cols})
     filled = ffill_bfill(marked, cols, keys=keys, order=order, **limits)
     figures = filled.groupBy(*keys).agg(*[
@@ -54,6 +58,7 @@ def profile(df: DataFrame, cols: list[str], *, keys: list[str], order: list[str]
 
 def row_metrics(df: DataFrame, key: str, cols: list[str], volume: str = "volume") -> DataFrame:
     """Rows, missing cells and rows with volume per key."""
+    df = nan_to_null(df, [*cols, volume])
     missing: Column = reduce(
         lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in cols]
     )
@@ -117,13 +122,13 @@ def kolmogorov_p(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
 
 
 def column_drift(reference: DataFrame, current: DataFrame, cols: list[str], *,
-                 by: list[str] | None = None, small: int = 1000, alpha: float = 0.05,
+                 test: str, by: list[str] | None = None, alpha: float = 0.05,
                  distance: float = 0.1, **limits: int) -> DataFrame:
     """Drift per numeric column, and per value of `by` such as a symbol.
 
-    Up to `small` reference values the test is Kolmogorov-Smirnov at `alpha`; above, the
-    Wasserstein distance in units of the reference deviation against `distance`. Both come from the
-    two distribution functions over distinct values. Columns with fewer than two values on a side
+    `test` is "ks", Kolmogorov-Smirnov at `alpha`, or "wasserstein", the distance in units of the
+    reference deviation against `distance`. Both figures come from the two distribution functions
+    over distinct values; the test decides. Columns with fewer than two values on a side
     are skipped; the score is kept only where drift was found.
     """
     by = list(by or [])
@@ -161,13 +166,12 @@ def column_drift(reference: DataFrame, current: DataFrame, cols: list[str], *,
         "p_value": kolmogorov_p(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")),
         "wasserstein": F.coalesce("_area", F.lit(0.0)) / F.greatest("_std", F.lit(0.001)),
     })
-    by_ks = F.col("n_ref") <= small
-    drifted = F.when(by_ks, F.col("p_value") < alpha).otherwise(F.col("wasserstein") >= distance)
+    score = F.col({"ks": "p_value", "wasserstein": "wasserstein"}[test])
+    drifted = score < alpha if test == "ks" else score >= distance
     return scored.select(
         *keys, "n_ref", "n_cur", "ks_statistic", "p_value", "wasserstein",
-        F.when(by_ks, "ks").otherwise("wasserstein").alias("test"), drifted.alias("drifted"),
-        F.when(drifted, F.when(by_ks, F.col("p_value")).otherwise(F.col("wasserstein")))
-        .alias("drift_score"),
+        F.lit(test).alias("test"), drifted.alias("drifted"),
+        F.when(drifted, score).alias("drift_score"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import seconds_between
+from millrace.functions.columns import nan_to_null, seconds_between
 from millrace.operators.ordered import Series, number_rows, over_series
 
 
@@ -133,7 +133,9 @@ def first_n(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFra
 
 def ffill_bfill(df: DataFrame, cols: list[str], *, keys: list[str], order: list[str],
                 **limits: int) -> DataFrame:
-    """Nulls take the value before them, leading nulls the first value after them."""
+    """Nulls and NaN take the value before them, leading ones the first value after them."""
+    df = nan_to_null(df, cols)
+
     def fills(series: Series) -> Series:
         return series.last_known(**{f"_f_{c}": F.col(c) for c in cols}).next_known(
             **{f"_b_{c}": F.col(c) for c in cols})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import join_unique
+from millrace.session import materialize
 
 # The seasons of the northern hemisphere by month.
 SEASONS = {"Winter": (12, 1, 2), "Spring": (3, 4, 5), "Summer": (6, 7, 8), "Autumn": (9, 10, 11)}
@@ -42,26 +42,30 @@ def build_dim_date(bounds: DataFrame, holidays: DataFrame | None = None, *, low:
         "is_holiday", F.coalesce("_holiday", F.lit(False))).drop("_holiday")
 
 
-def category_paths(categories: DataFrame, max_depth: int = 32) -> DataFrame:
-    """Root, depth and path of every category of a parent hierarchy.
+def category_paths(categories: DataFrame) -> DataFrame:
+    """Root, depth and path of every category of a parent hierarchy, however deep.
 
-    Spark stops with an error when the tree is deeper than `max_depth`, so nothing is lost
-    silently.
+    Every round each category takes over the path of the one its own path hangs from, so the paths
+    double and the number of rounds is the logarithm of the depth. Categories that no root reaches
+    (below a missing parent, in a ring or below one) are left out.
     """
-    spark = categories.sparkSession
-    return spark.sql(
-        f"""
-        WITH RECURSIVE tree (category_id, category_name, root_name, depth, path)
-             MAX RECURSION LEVEL {int(max_depth)} AS (
-            SELECT category_id, category_name, category_name, 0, category_name
-            FROM {{categories}} WHERE parent_category_id IS NULL
-            UNION ALL
-            SELECT c.category_id, c.category_name, t.root_name, t.depth + 1,
-                   concat(t.path, ' > ', c.category_name)
-            FROM {{categories}} c JOIN tree t ON c.parent_category_id = t.category_id
-        )
-        SELECT * FROM tree
-        """, categories=categories)
+    tree = materialize(categories.select(
+        "category_id", "category_name", F.col("category_name").alias("root_name"),
+        F.lit(0).alias("depth"), F.col("category_name").alias("path"),
+        F.col("parent_category_id").alias("_up")), "tree")
+    for _ in range(tree.count().bit_length() + 1):
+        if tree.where("_up is not null").isEmpty():
+            break
+        above = tree.select(
+            F.col("category_id").alias("_up"), F.col("root_name").alias("_root"),
+            F.col("depth").alias("_depth"), F.col("path").alias("_path"),
+            F.col("_up").alias("_next"))
+        lifted = tree.join(above, "_up").select(
+            "category_id", "category_name", F.col("_root").alias("root_name"),
+            (F.col("depth") + F.col("_depth") + 1).alias("depth"),
+            F.concat("_path", F.lit(" > "), "path").alias("path"), F.col("_next").alias("_up"))
+        tree = materialize(tree.where("_up is null").unionByName(lifted), "tree")
+    return tree.where("_up is null").drop("_up")
 
 
 def build_dim_product(products: DataFrame, categories: DataFrame, brands: DataFrame,
@@ -75,6 +79,11 @@ def build_dim_product(products: DataFrame, categories: DataFrame, brands: DataFr
         "category_id", "brand_id")
 
 
+def build_dim_supplier(suppliers: DataFrame, nations: DataFrame, *, key: str = "nation_id") -> DataFrame:
+    """Suppliers with the name of their nation."""
+    return suppliers.join(nations, key, "left").drop(key)
+
+
 def build_dim_customer(customers: DataFrame, segments: DataFrame) -> DataFrame:
     return customers.join(segments, "segment_id", "left").drop("segment_id")
 
@@ -91,13 +100,13 @@ def build_dim_location(locations: DataFrame, countries: DataFrame, regions: Data
     )
 
 
-def build_fact_sales(orders: DataFrame, items: DataFrame, statuses: DataFrame,
-                     **limits: int) -> DataFrame:
+def build_fact_sales(orders: DataFrame, items: DataFrame, statuses: DataFrame) -> DataFrame:
     """One row per item. Shipping and tax of an order are shared by line amount, so their sums over
     lines are those of the orders.
 
     Line amounts are summed per order by a grouped aggregate instead of a window, so an order with
-    very many lines is combined on the map side, and its lines meet its head by broadcast.
+    very many lines is combined on the map side; the join of lines and heads is one that Spark
+    splits where a key is skewed.
     """
     amounts = items.groupBy("order_id").agg(F.sum("total_price").alias("_order_amount"))
     heads = (
@@ -107,7 +116,7 @@ def build_fact_sales(orders: DataFrame, items: DataFrame, statuses: DataFrame,
     )
     share = F.try_divide(F.col("total_price").cast("double"),
                          F.col("_order_amount").cast("double"))
-    return join_unique(items, heads, "order_id", **limits).select(
+    return items.join(heads, "order_id").select(
         "order_item_id", "order_date_id", "customer_id", "product_id", "location_id", "quantity",
         "unit_price", "discount_amount", F.col("total_price").alias("total_amount"),
         (F.col("shipping_cost").cast("double") * share).alias("shipping_cost"),
@@ -116,6 +125,14 @@ def build_fact_sales(orders: DataFrame, items: DataFrame, statuses: DataFrame,
     )
 
 
+def sales_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """The columns of the sales fact that need no sharing of order costs."""
+    heads = orders.select("order_id", "order_date_id", "customer_id", "location_id")
+    return items.join(heads, "order_id").select(
+        "order_date_id", "customer_id", "product_id", "location_id", "quantity",
+        F.col("total_price").alias("total_amount"))
+
+
 def build_fact_inventory(inventory: DataFrame, warehouses: DataFrame,
                          products: DataFrame) -> DataFrame:
     """Stock at a location and day. Received and shipped have no source and stay null."""

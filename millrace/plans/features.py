@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import is_weekend, money
 from millrace.operators import features as ft
 from millrace.operators import learning, series
-from millrace.plans.registry import query, table, table_stream
+from millrace.plans.registry import query, table
 from millrace.session import materialize, scratch
-from millrace.streaming.ingest import run_available
+from millrace.streaming.ingest import land_in_batches, run_available
 from millrace.streaming.store import read_current, upsert_latest
 
 CLICKS = ft.FeatureView("clicks", ("customer_id",), ("click_value", "click_id"),
@@ -60,6 +60,21 @@ def pit_join(spark, sf_dir):
                        ["view_value"], timedelta(days=1))
 
 
+@query("pit_join_null_keys", f"""
+    SELECT CASE WHEN e.event_id % 5 > 0 THEN e.user_id END AS customer_id, e.ts AS event_timestamp,
+           e.event_id, CASE WHEN e.event_id % 5 > 0 THEN {_fresh('view', 1, 'value')} END AS view_value
+    FROM events e {_asof('view', 1)} WHERE e.event_type = 'purchase'
+""")
+def pit_join_null_keys(spark, sf_dir):
+    """Entities of unknown key, next to feature rows of unknown key."""
+    known = F.when(F.col("event_id") % 5 > 0, F.col("customer_id"))
+    views = view_rows(spark, sf_dir)
+    lost = views.where(F.col("event_id") % 7 == 0).withColumn(
+        "customer_id", F.lit(None).cast("long"))
+    return ft.pit_join(buyers(spark, sf_dir).withColumn("customer_id", known),
+                       views.unionByName(lost), ["customer_id"], ["view_value"], timedelta(days=1))
+
+
 @query("historical_features", f"""
     SELECT e.user_id AS customer_id, e.ts AS event_timestamp, e.event_id,
            {_fresh('click', 90, 'value')} AS click_value,
@@ -96,13 +111,14 @@ def materialize_views(spark, sf_dir):
 def stream_materialize(spark, sf_dir):
     """The same store kept by a stream of feature rows."""
     path, keys, order = scratch(spark, "store"), ["customer_id"], ["event_timestamp", "created"]
-    rows = table_stream(spark, sf_dir, "events").where(
+    rows = table(spark, sf_dir, "events").where(
         (F.col("event_type") == "click") & (F.col("ts") <= _time(_END))).select(
         F.col("user_id").alias("customer_id"), F.col("ts").alias("event_timestamp"),
         F.col("ts").alias("created"), F.col("value").alias("click_value"),
         F.col("event_id").alias("click_id"))
-    run_available(upsert_latest(rows, path, keys, order, scratch(spark, "checkpoint")))
-    return read_current(spark, path, keys, order)
+    run_available(upsert_latest(land_in_batches(rows, scratch(spark, "feature_rows")), path, keys,
+                                order, scratch(spark, "checkpoint")))
+    return read_current(spark, path, keys, order, by_arrival=False)
 
 
 @query("latest_features", f"""
@@ -133,11 +149,14 @@ def is_weekend_feature(spark, sf_dir):
 # -- data and model versions ------------------------------------------------------------------
 
 @query("dataset_fingerprint", """
-    SELECT count(*) AS rows, sum(('0x' || substr(md5(
-               '=' || o_orderkey || chr(1) || '=' || o_custkey || chr(1) || '=' || o_orderstatus
-               || chr(1) || '=' || o_totalprice::DECIMAL(18,2) || chr(1) || '=' || o_orderpriority),
+    SELECT count(*) AS rows,
+           md5('o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:decimal(18,2),'
+               || 'o_orderpriority:string') AS schema_digest,
+           sum(('0x' || substr(md5(length(a) || ':' || a || length(b) || ':' || b
+               || length(c) || ':' || c || length(d) || ':' || d || length(e) || ':' || e),
                1, 15))::BIGINT)::VARCHAR AS digest
-    FROM orders
+    FROM (SELECT o_orderkey::VARCHAR AS a, o_custkey::VARCHAR AS b, o_orderstatus AS c,
+                 o_totalprice::DECIMAL(18,2)::VARCHAR AS d, o_orderpriority AS e FROM orders)
 """)
 def dataset_fingerprint(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
@@ -197,15 +216,49 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("line_age"), F.col("l_returnflag").alias("target"))
 
 
-@query("train_forest")
+FIT_ROWS = 1000  # labelled rows that the forest is fitted on, about
+
+
+@query("train_forest", """
+    WITH s AS (SELECT ('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber || '|'
+                   || l_partkey), 1, 8))::BIGINT % 1000000 < 200000 AS test,
+                   CASE WHEN l_extendedprice * (1 - l_discount) < 20000 THEN 'small'
+                        WHEN l_extendedprice * (1 - l_discount) < 60000 THEN 'medium'
+                        ELSE 'large' END AS target
+               FROM lineitem)
+    SELECT 'train_rows' AS metric, (count(*) FILTER (WHERE NOT test))::DOUBLE AS value FROM s
+    UNION ALL SELECT 'test_rows', (count(*) FILTER (WHERE test))::DOUBLE FROM s
+    UNION ALL SELECT 'classes', count(DISTINCT target)::DOUBLE FROM s
+    UNION ALL SELECT 'train_beats_majority', 1 UNION ALL SELECT 'test_beats_majority', 1
+    UNION ALL SELECT 'reloaded_agrees', 1
+""")
 def train_forest(spark, sf_dir):
-    """Fit, evaluate, store and reload the classifier; its accuracy as metric rows."""
-    train, test = learning.train_test_split(_lines(spark, sf_dir), _KEYS)
+    """Fit, evaluate, store and reload the classifier: sizes, whether it is better on both sides
+    than the most frequent class, and whether the reloaded model says the same (of 100 fitted rows
+    99 at least: classes of equal votes are told apart by the last digits)."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    sized = _lines(spark, sf_dir).withColumn(
+        "target", F.when(net < 20000, "small").when(net < 60000, "medium").otherwise("large"))
+    train, test = learning.train_test_split(sized, _KEYS)
     train = train.persist()
     try:
-        model = learning.train_forest(train, _FEATURES, "target", trees=20, depth=5)
-        path = scratch(spark, "model")
+        fitted = learning.bounded_rows(train, _KEYS, FIT_ROWS)
+        model, path = learning.train_forest(fitted, _FEATURES, "target"), scratch(spark, "model")
         learning.save_model(model, path)
-        return learning.evaluate(learning.PipelineModel.load(path), train, test)
+        loaded = learning.PipelineModel.load(path)
+        accuracy = {r["metric"]: r["value"] for r in learning.evaluate(loaded, train, test).collect()}
+        counts = {name: dict(side.groupBy("target").count().collect())
+                  for name, side in (("train", train), ("test", test))}
+        said = [m.transform(fitted).select(*_KEYS, F.col("prediction").alias(f"p{i}"))
+                for i, m in enumerate((model, loaded))]
+        same = said[0].join(said[1], _KEYS).agg(
+            F.avg((F.col("p0") == F.col("p1")).cast("double"))).first()[0]
+        rows = [(f"{name}_rows", float(sum(c.values()))) for name, c in counts.items()]
+        rows += [(f"{name}_beats_majority", float(
+            accuracy[f"{name}_accuracy"] > max(c.values()) / sum(c.values())))
+            for name, c in counts.items()]
+        rows += [("classes", float(len(counts["train"].keys() | counts["test"].keys()))),
+                 ("reloaded_agrees", float(same >= 0.99))]
+        return spark.createDataFrame(rows, "metric string, value double")
     finally:
         train.unpersist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from millrace.operators import aggregates as agg
 from millrace.operators import joins
 from millrace.operators.layout import write_partitioned
 from millrace.plans.registry import query, table
-from millrace.session import scratch
+from millrace.session import materialize, scratch
 from millrace.sources import lake
 from millrace.sources.files import write_curated
 from millrace.streaming import ingest
@@ -136,10 +138,15 @@ def department_salary_stats(spark, sf_dir):
 
 @query("catalog_partition_scan", f"SELECT employee_id, name, department, salary FROM {EMPLOYEES} e")
 def catalog_partition_scan(spark, sf_dir):
-    path = scratch(spark, "raw")
+    """A partition of a catalog entry over landed files; the entry goes when its rows are kept."""
+    path, entry = scratch(spark, "raw"), f"raw_{uuid.uuid4().hex}"
     write_partitioned(raw_table(spark, sf_dir), ["partition_0"], path)
-    return lake.read_partition(spark, path, "partition_0 = 'employees'").select(
-        "employee_id", "name", "department", "salary")
+    lake.register_table(spark, path, entry, spark.read.parquet(path).schema, ["partition_0"])
+    try:
+        return materialize(lake.read_partition(spark, entry, "partition_0 = 'employees'").select(
+            "employee_id", "name", "department", "salary"), "curated")
+    finally:
+        spark.sql(f"DROP TABLE {entry}")
 
 
 @query("save_query_result", f"""

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import money, to_zone
 from millrace.operators import aggregates as agg
 from millrace.operators import quality, series
-from millrace.plans.registry import query, rounded, table, table_stream
+from millrace.plans.registry import query, rounded, table
 from millrace.session import scratch
 from millrace.sources.payloads import parse_trades
-from millrace.streaming import ingest, store, ticks
+from millrace.streaming import ingest, ticks
 
 ORDER = ["timestamp", "event_id"]
 
@@ -205,12 +205,13 @@ def trade_message_parse(spark, sf_dir):
         "timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event files as a stream; a stream's watermark needs a timestamp with time zone."""
-    return table_stream(spark, sf_dir, "events").select(
+def _tick_stream(spark: SparkSession, sf_dir: str, order: str | None = None) -> DataFrame:
+    """The events as a stream of several files; a watermark needs a timestamp with time zone."""
+    rows = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("timestamp"),
         "event_id", F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("double").alias("volume"))
+    return ingest.land_in_batches(rows, scratch(spark, "ticks"), order=order)
 
 
 @query("stream_tick_windows", f"""
@@ -221,17 +222,11 @@ def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM {TICKS} t GROUP BY 1, 2, 3
 """)
 def stream_tick_windows(spark, sf_dir):
-    """Hourly windows; each batch upserts the windows it changed."""
-    path, keys = scratch(spark, "windows"), ["symbol", "window_start"]
-    windows = ticks.tick_windows(_tick_stream(spark, sf_dir), 3600, 5)
-
-    def write(batch, batch_id):
-        store.upsert(batch, batch_id, path, keys, ["points"])
-
-    ingest.run_available(windows.writeStream.outputMode("update").foreachBatch(write).option(
-        "checkpointLocation", scratch(spark, "checkpoint")))
-    current = store.read_current(spark, path, keys, ["points"])
-    return current.withColumns({
+    """Hourly windows over batches of mixed times."""
+    path = scratch(spark, "windows")
+    ingest.run_available(ticks.window_table(_tick_stream(spark, sf_dir), path,
+                                            scratch(spark, "checkpoint"), 3600))
+    return ticks.read_windows(spark, path, 5).withColumns({
         c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
@@ -244,6 +239,6 @@ def stream_tick_windows(spark, sf_dir):
 """)
 def stream_vwap(spark, sf_dir):
     path = scratch(spark, "vwap")
-    ingest.run_available(ticks.stream_vwap(_tick_stream(spark, sf_dir), path,
+    ingest.run_available(ticks.stream_vwap(_tick_stream(spark, sf_dir, "timestamp"), path,
                                            scratch(spark, "checkpoint"), order=ORDER))
     return rounded(spark.read.parquet(f"{path}/rows").drop("batch_id", "timestamp"), "vwap")

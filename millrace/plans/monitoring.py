@@ -29,6 +29,22 @@ def missing_values(spark, sf_dir):
     return quality.missing_report(sparse_rows(spark, sf_dir), ["price", "volume", "event_id"])
 
 
+@query("missing_values_nan", f"""
+    SELECT 'reading' AS "column", count(*) FILTER (WHERE event_id % 3 = 0 OR value IS NULL) AS missing,
+           count(*) AS cells,
+           (count(*) FILTER (WHERE event_id % 3 = 0 OR value IS NULL))::DOUBLE / count(*)
+             AS missing_ratio FROM events
+    UNION ALL SELECT '*', count(*) FILTER (WHERE event_id % 3 = 0 OR value IS NULL), count(*),
+           (count(*) FILTER (WHERE event_id % 3 = 0 OR value IS NULL))::DOUBLE / count(*) FROM events
+""")
+def missing_values_nan(spark, sf_dir):
+    """Every third reading is NaN, which counts as missing."""
+    reading = F.when(F.col("event_id") % 3 == 0, F.lit(float("nan"))).otherwise(
+        F.col("value").cast("double"))
+    return quality.missing_report(
+        table(spark, sf_dir, "events").select(reading.alias("reading")), ["reading"])
+
+
 @query("column_profile", f"""
     WITH f AS (
         SELECT symbol, price AS raw_p, volume AS raw_v,
@@ -84,11 +100,12 @@ def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(early), late_load
 
 
-def _drift_sql(small: int, by: str = "") -> str:
+def _drift_sql(test: str, by: str = "") -> str:
     """`by` is a column of events that the drift is told apart by."""
     keep, key = (f"{by} AS symbol, ", "symbol, ") if by else ("", "")
     same = "g.symbol = t.symbol AND g.c = t.c" if by else "g.c = t.c"
     g_key = "g.symbol, " if by else ""
+    score, drifted = ("pv", "pv < 0.05") if test == "ks" else ("ws", "ws >= 0.1")
     return rf"""
     WITH k AS (SELECT {keep}ts, value, regexp_extract(props, '(\d+)', 1)::BIGINT AS k FROM events),
     l AS (SELECT {key}'price' AS c, value AS v, ts < DATE '{SPLIT}' AS r FROM k
@@ -117,41 +134,39 @@ def _drift_sql(small: int, by: str = "") -> str:
               AS pv FROM q)
     SELECT {key}c AS "column", nr AS n_ref, nc AS n_cur, ks AS ks_statistic,
            pv::DECIMAL(30,6)::DOUBLE AS p_value, ws::DECIMAL(30,6)::DOUBLE AS wasserstein,
-           CASE WHEN nr <= {small} THEN 'ks' ELSE 'wasserstein' END AS test,
-           CASE WHEN nr <= {small} THEN pv < 0.05 ELSE ws >= 0.1 END AS drifted,
-           (CASE WHEN nr <= {small} THEN (CASE WHEN pv < 0.05 THEN pv END)
-                ELSE (CASE WHEN ws >= 0.1 THEN ws END) END)::DECIMAL(30,6)::DOUBLE AS drift_score
+           '{test}' AS test, {drifted} AS drifted,
+           (CASE WHEN {drifted} THEN {score} END)::DECIMAL(30,6)::DOUBLE AS drift_score
     FROM p
     """
 
 
-def _drift(spark, sf_dir, small, by=None):
+def _drift(spark, sf_dir, test, by=None):
     reference, current = _halves(spark, sf_dir)
     found = quality.column_drift(reference, current, ["price", "volume", "load"], by=by,
-                                 small=small)
+                                 test=test)
     return rounded(found, "p_value", "wasserstein", "drift_score")
 
 
-@query("column_drift", _drift_sql(1000))
+@query("column_drift", _drift_sql("wasserstein"))
 def column_drift(spark, sf_dir):
-    return _drift(spark, sf_dir, 1000)
+    return _drift(spark, sf_dir, "wasserstein")
 
 
-@query("column_drift_ks", _drift_sql(10**12))
+@query("column_drift_ks", _drift_sql("ks"))
 def column_drift_ks(spark, sf_dir):
-    return _drift(spark, sf_dir, 10**12)
+    return _drift(spark, sf_dir, "ks")
 
 
-@query("column_drift_by_symbol", _drift_sql(1000, "user_id"))
+@query("column_drift_by_symbol", _drift_sql("ks", "user_id"))
 def column_drift_by_symbol(spark, sf_dir):
-    return _drift(spark, sf_dir, 1000, ["symbol"])
+    return _drift(spark, sf_dir, "ks", ["symbol"])
 
 
 @query("dataset_drift_by_symbol", f"""
     SELECT symbol, count(*) AS "columns", count(*) FILTER (WHERE drifted) AS drifted_columns,
            (count(*) FILTER (WHERE drifted))::DOUBLE / count(*) AS drift_share,
            (count(*) FILTER (WHERE drifted))::DOUBLE / count(*) >= 0.5 AS dataset_drift
-    FROM ({_drift_sql(1000, "user_id")}) d GROUP BY 1
+    FROM ({_drift_sql("ks", "user_id")}) d GROUP BY 1
 """)
 def dataset_drift_by_symbol(spark, sf_dir):
     return quality.dataset_drift(column_drift_by_symbol(spark, sf_dir), by=["symbol"])
@@ -161,7 +176,7 @@ def dataset_drift_by_symbol(spark, sf_dir):
     SELECT count(*) AS "columns", count(*) FILTER (WHERE drifted) AS drifted_columns,
            (count(*) FILTER (WHERE drifted))::DOUBLE / count(*) AS drift_share,
            (count(*) FILTER (WHERE drifted))::DOUBLE / count(*) >= 0.5 AS dataset_drift
-    FROM ({_drift_sql(1000)}) d
+    FROM ({_drift_sql("wasserstein")}) d
 """)
 def dataset_drift(spark, sf_dir):
     return quality.dataset_drift(column_drift(spark, sf_dir))
@@ -203,24 +218,40 @@ SAMPLES = rf"""(SELECT CASE event_type {_NAMES} END AS metric, 'event_type=' ||
     ((epoch_us(ts) + 3599999999) // 3600000000 * 3600)::BIGINT AS evaluated_at FROM events)"""
 
 
+STEPS = f"""(SELECT metric, series, evaluated_at, count(*) AS n, sum(x) AS x,
+    arg_min(x, ts) AS first_x, arg_min(value, ts) AS f, arg_max(value, ts) AS l
+    FROM (SELECT *, CASE WHEN p IS NULL THEN 0 WHEN value < p THEN value ELSE value - p END AS x
+          FROM (SELECT *, lag(value) OVER (PARTITION BY metric, series ORDER BY ts) AS p
+                FROM {SAMPLES} s))
+    GROUP BY 1, 2, 3)"""
+
+
+def _grid_sql(steps: str, hours: int) -> str:
+    """Every step of a series from its first sample until the range no longer holds its last."""
+    return f"""(SELECT g.metric, g.series, g.evaluated_at, s.* EXCLUDE (metric, series, evaluated_at)
+    FROM (SELECT metric, series, unnest(range(min(evaluated_at),
+              max(evaluated_at) + {hours * HOUR}, {HOUR})) AS evaluated_at
+          FROM {steps} b GROUP BY 1, 2) g
+    LEFT JOIN {steps} s ON s.metric = g.metric AND s.series = g.series
+                       AND s.evaluated_at = g.evaluated_at)"""
+
+
+def _over(hours: int) -> str:
+    return f"""WINDOW w AS (PARTITION BY metric, series ORDER BY evaluated_at
+        RANGE BETWEEN {(hours - 1) * HOUR} PRECEDING AND CURRENT ROW)"""
+
+
 def _rate_sql(hours: int) -> str:
-    return f"""(
-    WITH d AS (SELECT metric, series, evaluated_at, value, lag(value) OVER (
-                   PARTITION BY metric, series ORDER BY ts) AS p FROM {SAMPLES} s),
-    i AS (SELECT metric, series, evaluated_at,
-                 sum(CASE WHEN p IS NULL THEN 0 WHEN value < p THEN value ELSE value - p END) AS x
-          FROM d GROUP BY 1, 2, 3)
-    SELECT metric, series, evaluated_at, sum(x) OVER (PARTITION BY metric, series ORDER BY evaluated_at
-               RANGE BETWEEN {(hours - 1) * HOUR} PRECEDING AND CURRENT ROW)
-               / {hours * HOUR}::DOUBLE AS rate FROM i)"""
-
-
-DELTA_SQL = f"""(
-    WITH s AS (SELECT metric, series, evaluated_at, arg_min(value, ts) AS f, arg_max(value, ts) AS l
-               FROM {SAMPLES} s GROUP BY 1, 2, 3)
-    SELECT metric, series, evaluated_at, l - first_value(f) OVER (
-               PARTITION BY metric, series ORDER BY evaluated_at
-               RANGE BETWEEN {5 * HOUR} PRECEDING AND CURRENT ROW) AS delta FROM s)"""
+    return f"""(SELECT metric, series, evaluated_at, rate FROM (
+    SELECT metric, series, evaluated_at, sum(n) OVER w AS n, (sum(x) OVER w
+               - first_value(first_x IGNORE NULLS) OVER w) / {hours * HOUR}::DOUBLE AS rate
+    FROM {_grid_sql(STEPS, hours)} i {_over(hours)}) WHERE n >= 2)"""
+
+
+DELTA_SQL = f"""(SELECT metric, series, evaluated_at, delta FROM (
+    SELECT metric, series, evaluated_at, sum(n) OVER w AS n,
+           last_value(l IGNORE NULLS) OVER w - first_value(f IGNORE NULLS) OVER w AS delta
+    FROM {_grid_sql(STEPS, 6)} s {_over(6)}) WHERE n >= 2)"""
 _COUNTS = ", ".join(f"count(*) FILTER (WHERE value <= {b}) AS c{i}"
                     for i, b in enumerate([*BOUNDS, 1e300]))
 _SUMS = ", ".join(f"sum(c{i}) OVER w AS s{i}" for i in range(len(BOUNDS) + 1))
@@ -238,9 +269,7 @@ def _quantile_case(q: float) -> str:
 
 QUANTILE_SQL = f"""(
     WITH b AS (SELECT metric, series, evaluated_at, {_COUNTS} FROM {SAMPLES} s GROUP BY 1, 2, 3),
-    r AS (SELECT metric, series, evaluated_at, {_SUMS} FROM b
-          WINDOW w AS (PARTITION BY metric, series ORDER BY evaluated_at
-                       RANGE BETWEEN {5 * HOUR} PRECEDING AND CURRENT ROW))
+    r AS (SELECT metric, series, evaluated_at, {_SUMS} FROM {_grid_sql("b", 6)} g {_over(6)})
     SELECT metric, series, evaluated_at, {_quantile_case(0.95)} AS quantile FROM r)"""
 
 
@@ -318,13 +347,20 @@ def alert_rules(spark, sf_dir):
 
 
 @query("alert_group", f"""
-    SELECT alertname, (evaluated_at // {4 * HOUR} * {4 * HOUR})::BIGINT AS interval_start,
-           min(evaluated_at) AS sent_at,
+    WITH f AS (SELECT DISTINCT alertname, metric, series, evaluated_at FROM {ALERTS} a WHERE firing),
+    t AS (SELECT alertname, evaluated_at, CASE WHEN lag(evaluated_at) OVER o IS NULL
+                 OR evaluated_at - lag(evaluated_at) OVER o > {HOUR} THEN evaluated_at END AS start
+          FROM (SELECT DISTINCT alertname, evaluated_at FROM f)
+          WINDOW o AS (PARTITION BY alertname ORDER BY evaluated_at)),
+    r AS (SELECT alertname, evaluated_at, last_value(start IGNORE NULLS) OVER (
+              PARTITION BY alertname ORDER BY evaluated_at) AS started FROM t)
+    SELECT alertname, started, min(evaluated_at) AS sent_at,
            count(DISTINCT metric || series) AS firing_series
-    FROM {ALERTS} a WHERE firing GROUP BY 1, 2
+    FROM r JOIN f USING (alertname, evaluated_at)
+    GROUP BY alertname, started, (evaluated_at - started) // {4 * HOUR}
 """)
 def alert_group(spark, sf_dir):
-    return alerts.group_alerts(_alerts(spark, sf_dir), 4 * HOUR)
+    return alerts.group_alerts(_alerts(spark, sf_dir), 4 * HOUR, step=HOUR)
 
 
 @query("alert_inhibit", f"""

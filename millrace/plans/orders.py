@@ -9,13 +9,14 @@ from millrace.functions.columns import line_total as total_of
 from millrace.functions.columns import money, parse_ts, route
 from millrace.operators.aggregates import partition_counts as count_partitions
 from millrace.operators.series import first_n
-from millrace.plans.registry import query, table, table_stream
+from millrace.plans.registry import query, table
 from millrace.plans.sales import HIGH, STATS_SQL
 from millrace.session import scratch
 from millrace.streaming import ingest, store
 from millrace.streaming import orders as stream
 
 _FORMAT = "yyyy-MM-dd HH:mm:ss"
+BATCHES = 4
 
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,9 +53,10 @@ STORED = f"""(SELECT order_id, partition, customer_name, product, category, quan
 def _landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders as landed JSON lines, read as a stream."""
     path = scratch(spark, "orders_topic")
-    stream.to_messages(order_rows(spark, sf_dir), "product").select("value").write.text(path)
-    # All files in one batch: the tables give no order of arrival.
-    return stream.order_stream(spark, {"format": "text", "path": path}, 1_000_000)
+    # Dealt out at random, so every batch mixes times and copies meet across batches.
+    stream.to_messages(order_rows(spark, sf_dir), "product").select("value").repartition(
+        BATCHES).write.text(path)
+    return stream.order_stream(spark, {"format": "text", "path": path}, 1)
 
 
 def _run_upsert(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -66,7 +68,7 @@ def _run_upsert(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = _run_upsert(spark, sf_dir)
-    current = store.read_current(spark, path, stream.KEYS, stream.ORDER_BY)
+    current = store.read_current(spark, path, stream.KEYS, stream.ORDER_BY, by_arrival=False)
     return current.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
@@ -125,7 +127,7 @@ def stream_order_enrich(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     path = scratch(spark, "unique_orders")
     good, _ = stream.split_bad(_landed_messages(spark, sf_dir))
-    unique = stream.dedup(stream.enrich_orders(good), "order_id", ("timestamp", "10 minutes"))
+    unique = stream.dedup(stream.enrich_orders(good), "order_id", "1 hour")
     ingest.run_available(unique.select("order_id").writeStream.format("parquet").option(
         "path", path).option("checkpointLocation", scratch(spark, "checkpoint")))
     return spark.read.parquet(path)
@@ -148,8 +150,9 @@ def stream_publish(spark, sf_dir):
 @query("stream_daily_stats", STATS_SQL)
 def stream_daily_stats(spark, sf_dir):
     path = scratch(spark, "daily_stats")
-    rows = table_stream(spark, sf_dir, "orders").select(
-        F.to_date("o_orderdate").alias("sale_date"), money("o_totalprice").alias("amount"))
+    rows = ingest.land_in_batches(table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("sale_date"), money("o_totalprice").alias("amount")),
+        scratch(spark, "order_files"), BATCHES)
     ingest.run_available(stream.stream_daily_stats(rows, path, scratch(spark, "checkpoint"),
                                                    high=HIGH))
     return store.read_current(spark, path, ["sale_date"], ["transaction_count"])

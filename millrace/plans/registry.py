@@ -32,13 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The files of a table as a stream. The pattern matches a single file as well as a folder of
-    files, which a plain stream path does not."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
-
-
 def rounded(df: DataFrame, *cols: str, scale: int = 6) -> DataFrame:
     """Measures whose last digits depend on the order of additions, to a fixed scale."""
     return df.withColumns({c: F.col(c).cast(f"decimal(30,{scale})").cast("double") for c in cols})

@@ -175,6 +175,47 @@ def daily_sales_refreshed(spark, sf_dir):
     return layout.read_daily_sales(spark, path)
 
 
+@query("daily_sales_emptied", f"""
+    SELECT * FROM ({STATS_SQL}) s WHERE date_trunc('month', sale_date) <> DATE '1997-03-01'
+""")
+def daily_sales_emptied(spark, sf_dir):
+    """The daily table after all orders of a month were taken back and the month was refreshed."""
+    path, base = scratch(spark, "daily_sales"), transactions(spark, sf_dir)
+    gone = (F.col("sale_date") >= F.lit("1997-03-01").cast("date")) & (
+        F.col("sale_date") < F.lit("1997-04-01").cast("date"))
+    layout.create_daily_sales(base, path, high=HIGH)
+    layout.refresh_daily_sales(base.where(~gone), base.where(gone), path, high=HIGH)
+    return layout.read_daily_sales(spark, path)
+
+
+@query("layout_compare", """
+    SELECT l AS layout, (SELECT count(*) FROM orders WHERE o_orderdate >= DATE '1997-12-01'
+                         AND o_orderdate < DATE '1998-01-01') AS rows, TRUE AS same,
+           TRUE AS fewer_bytes
+    FROM (VALUES ('clustered'), ('partitioned')) v(l)
+""")
+def layout_compare(spark, sf_dir):
+    """One month read from plain, clustered and partitioned copies: equal rows, and bytes read."""
+    root = scratch(spark, "layouts")
+    dated = transactions(spark, sf_dir).withColumns({
+        "year": F.year("sale_date"), "month": F.month("sale_date")})
+    dated.repartition(8).write.parquet(f"{root}/plain")
+    layout.write_clustered(dated, ["sale_date"], f"{root}/clustered", 8)
+    layout.write_partitioned(dated, ["year", "month"], f"{root}/partitioned")
+    first, after = (F.lit(d).cast("date") for d in ("1997-12-01", "1998-01-01"))
+    days = (F.col("sale_date") >= first) & (F.col("sale_date") < after)
+    filters = {"clustered": days, "partitioned": days & F.expr("year = 1997 and month = 12")}
+    rows = []
+    for name, condition in filters.items():
+        report = layout.compare(
+            spark.read.parquet(f"{root}/plain").where(days).select(*dated.columns),
+            spark.read.parquet(f"{root}/{name}").where(condition).select(*dated.columns))
+        read = [report[side]["bytes"] for side in ("optimised", "plain")]
+        rows.append((name, report["optimised"]["rows"], report["same"],
+                     name == "clustered" or read[0] < read[1]))
+    return spark.createDataFrame(rows, "layout string, rows long, same boolean, fewer_bytes boolean")
+
+
 @query("fan_out_load", """
     SELECT t AS "table", (SELECT count(*) FROM orders) AS source_rows,
            (SELECT count(*) FROM orders) AS sink_rows, 0::BIGINT AS missing

@@ -147,6 +147,35 @@ def dim_date(spark, sf_dir):
     return _dates(spark, sf_dir)
 
 
+@query("dim_supplier", """
+    SELECT s_suppkey AS supplier_id, s_name AS supplier_name, s_acctbal AS account_balance,
+           n_name AS country_name
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+""")
+def dim_supplier(spark, sf_dir):
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
+        F.col("s_acctbal").alias("account_balance"), F.col("s_nationkey").alias("nation_id"))
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("country_name"))
+    return wh.build_dim_supplier(suppliers, nations)
+
+
+@query("category_closure_deep", """
+    SELECT p_partkey AS category_id, p_name AS category_name,
+           CASE WHEN p_partkey % 50 = 0 THEN p_name ELSE (SELECT q.p_name FROM part q
+                WHERE q.p_partkey = p.p_partkey // 50 * 50) END AS root_name,
+           (p_partkey % 50)::INT AS depth
+    FROM part p WHERE p_partkey // 50 * 50 IN (SELECT p_partkey FROM part)
+""")
+def category_closure_deep(spark, sf_dir):
+    """Chains of fifty categories; one without its first link is left out."""
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("category_id"), F.col("p_name").alias("category_name"),
+        F.when(F.col("p_partkey") % 50 > 0, F.col("p_partkey") - 1).alias("parent_category_id"))
+    return wh.category_paths(parts).drop("path")
+
+
 @query("category_closure", """
     SELECT DISTINCT p_type AS category_id, p_type AS category_name, p_type AS root_name, 0 AS depth,
            p_type AS path FROM part
@@ -220,7 +249,7 @@ def _star(spark, sf_dir, keys):
               "location_id": dims["location"], "order_date_id": _dates(spark, sf_dir)}
     used = [(dim, key, "date_id" if key == "order_date_id" else key)
             for key, dim in joined.items() if set(keys) & set(dim.columns)]
-    return wh.sales_by(_fact(m), used, keys)
+    return wh.sales_by(wh.sales_lines(m["orders"], m["items"]), used, keys)
 
 
 for _name, _keys in ROLLUPS.items():

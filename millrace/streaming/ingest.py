@@ -12,6 +12,30 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
+def land_in_batches(df: DataFrame, path: str, batches: int = 4, *,
+                    order: str | None = None) -> DataFrame:
+    """Write `df` in `batches` goes and read it back as a stream that takes one file at a time.
+
+    With `order` the goes are ranges of that column, one after the other, and the files of a go
+    are ranges of it as well; without it, every file holds rows from everywhere.
+    """
+    spark, schema = df.sparkSession, df.schema
+    if order is None:
+        df.repartition(batches).write.parquet(path)
+    else:
+        seconds = F.unix_micros(F.col(order).cast("timestamp"))
+        cuts = df.select(F.percentile_approx(
+            seconds, [i / batches for i in range(1, batches)])).first()[0] or []
+        edges = [None, *cuts, None]
+        for low, high in zip(edges, edges[1:]):
+            part = df
+            part = part if low is None else part.where(seconds > low)
+            part = part if high is None else part.where(seconds <= high)
+            # One file a go: the order of files within a go would be left to chance.
+            part.coalesce(1).write.mode("append").parquet(path)
+    return file_stream(spark, path, schema, maxFilesPerTrigger=1)
+
+
 def with_source(df: DataFrame) -> DataFrame:
     """Processing time, bucket and key of the file a row came from."""
     path = F.col("_metadata.file_path")

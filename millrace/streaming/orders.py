@@ -16,8 +16,10 @@ KEYS = ["partition", "order_id"]
 ORDER_BY = ["timestamp", "total_amount", "product", "customer_name"]
 
 
-def order_stream(spark: SparkSession, transport: dict, max_per_trigger: int = 100) -> DataFrame:
-    """Messages as a `value` text column.
+def order_stream(spark: SparkSession, transport: dict,
+                 max_per_trigger: int | None = None) -> DataFrame:
+    """Messages as a `value` text column; `max_per_trigger` files, or messages of a topic, make a
+    batch at most.
 
     transport {"format": "kafka", "kafka.bootstrap.servers": ..., "subscribe": ...} reads a topic
     from its start; {"format": "text", "path": ...} reads files as they arrive.
@@ -26,11 +28,14 @@ def order_stream(spark: SparkSession, transport: dict, max_per_trigger: int = 10
     fmt = options.pop("format")
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
-        options = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": max_per_trigger,
-                   **options}
+        options = {"startingOffsets": "earliest", **options}
+        if max_per_trigger:
+            options = {"maxOffsetsPerTrigger": max_per_trigger, **options}
         return reader.options(**options).load().select(
             F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
-    return reader.option("maxFilesPerTrigger", max_per_trigger).options(**options).load()
+    if max_per_trigger:
+        options = {"maxFilesPerTrigger": max_per_trigger, **options}
+    return reader.options(**options).load()
 
 
 def to_messages(df: DataFrame, key: str) -> DataFrame:
@@ -97,17 +102,19 @@ def upsert_stream(messages: DataFrame, path: str, dead_letters: str,
     return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def dedup(stream: DataFrame, key: str, watermark: tuple[str, str], salts: int = 16) -> DataFrame:
-    """One row per key among rows that arrive within the watermark delay.
+def dedup(stream: DataFrame, key: str, within: str = "10 minutes", salts: int = 16) -> DataFrame:
+    """One row per key; a copy is a row of the same key that arrives `within` that time of the one
+    before it.
 
-    Copies are first dropped among the input partitions of the same salt, so a row that was sent
-    very often reaches the task of its key `salts` times at most.
+    The watermark is on the time of arrival, so it bounds the state, and no row is ever late: an
+    old event that arrives for the first time is kept. Copies are first dropped among the input
+    partitions of the same salt, so a row that was sent very often reaches the task of its key
+    `salts` times at most.
     """
-    column, delay = watermark
-    salted = stream.withWatermark(column, delay).withColumn(
-        "_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    salted = stream.withColumn("_arrived", F.current_timestamp()).withWatermark(
+        "_arrived", within).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     return salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop(
-        "_salt").dropDuplicatesWithinWatermark([key])
+        "_salt").dropDuplicatesWithinWatermark([key]).drop("_arrived")
 
 
 def sample_partition(df: DataFrame, partition: int, n: int, unique: str = "order_id") -> DataFrame:

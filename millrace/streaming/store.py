@@ -39,27 +39,49 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
         "batch_id", F.col("batch_id").cast("long"))
 
 
-def read_current(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest row per key: a later batch wins, within a batch the larger `order`."""
-    changes = read_changes(spark, path)
+def read_current(spark: SparkSession, path: str, keys: list[str], order: list[str], *,
+                 by_arrival: bool = True) -> DataFrame:
+    """Newest row per key: a later batch wins, within a batch the larger `order`. Without
+    `by_arrival` the larger `order` wins whenever it arrived."""
     upto = _snapshot(spark, path)
+    changes = read_changes(spark, path)
     if upto is not None:
         base = spark.read.parquet(f"{path}/snapshots/upto={upto}").withColumn(
             "batch_id", F.lit(upto).cast("long"))
         changes = base.unionByName(changes.where(F.col("batch_id") > upto))
-    return latest_per_key(changes, keys, ["batch_id", *order]).drop("batch_id")
+    rank = ["batch_id", *order] if by_arrival else [*order, "batch_id"]
+    return latest_per_key(changes, keys, rank).drop("batch_id")
+
 
+def compact(spark: SparkSession, path: str, keys: list[str], order: list[str], *,
+            by_arrival: bool = True) -> int:
+    """Write the current state as a snapshot; returns the last batch it holds.
 
-def compact(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> int:
-    """Write the current state as a snapshot; returns the last batch it holds."""
+    The batches that the snapshot before it had already taken in are deleted, and so are all
+    snapshots but the last two; a reader that is at work on the one before is not disturbed.
+    """
+    before = _snapshot(spark, path)
     upto = read_changes(spark, path).agg(F.max("batch_id")).first()[0]
-    if _snapshot(spark, path) == upto:
-        return upto
-    read_current(spark, path, keys, order).write.mode("overwrite").parquet(
+    if upto is None or before == upto:
+        return before
+    read_current(spark, path, keys, order, by_arrival=by_arrival).write.mode("overwrite").parquet(
         f"{path}/snapshots/upto={upto}")
+    if before is not None:
+        _delete(spark, f"{path}/changes", "batch_id", before)
+        _delete(spark, f"{path}/snapshots", "upto", before - 1)
     return upto
 
 
+def _delete(spark: SparkSession, root: str, label: str, upto: int) -> None:
+    """Delete the directories `label=n` with n up to `upto`."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith(f"{label}=") and int(name.split("=")[1]) <= upto:
+            fs.delete(status.getPath(), True)
+
+
 def upsert_latest(stream: DataFrame, path: str, keys: list[str], order: list[str],
                   checkpoint: str) -> DataStreamWriter:
     """Keep the newest row per key of a stream, such as the rows of a feature view."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -25,6 +25,27 @@ def tick_windows(ticks: DataFrame, seconds: int = 60, minimum: int = 5, *,
              (F.col("points") >= minimum).alias("sufficient"))
 
 
+WINDOW_KEYS = ["symbol", "window_start", "window_end"]
+
+
+def window_table(ticks: DataFrame, path: str, checkpoint: str, seconds: int = 60
+                 ) -> DataStreamWriter:
+    """Writer of collection windows that loses no late tick: every batch writes what it adds to
+    each window to a directory of its own, which a replay replaces."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tick_windows(batch, seconds, watermark=None).drop("sufficient").write.mode(
+            "overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return ticks.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def read_windows(spark: SparkSession, path: str, minimum: int = 5) -> DataFrame:
+    """The windows over all batches so far."""
+    return spark.read.parquet(path).groupBy(*WINDOW_KEYS).agg(
+        F.sum("points").alias("points"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.sum("volume").alias("volume")).withColumn("sufficient", F.col("points") >= minimum)
+
+
 def vwap_batch(batch: DataFrame, batch_id: int, path: str, *, order: list[str],
                **limits: int) -> None:
     """Running VWAP of one micro-batch, continued from the totals of the batches before it.

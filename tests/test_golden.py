@@ -1,6 +1,6 @@
 """Small inputs with answers worked out by hand."""
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -203,14 +203,46 @@ def test_counter_reset_and_hold(spark):
     values = [0, 30, 60, 5, 35, 65]
     rows = [("m", "s", at + timedelta(seconds=15 * i), float(v)) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "metric string, series string, ts timestamp, value double")
-    rate = alerts.counter_rate(df, 30)
-    found = [r["rate"] * 30 for r in rate.orderBy("evaluated_at").collect()]
-    assert found == pytest.approx([0, 30, 60, 35, 35, 60])
-    held = alerts.alert_for(rate, F.col("rate") > 1, 45).orderBy("evaluated_at").collect()
-    assert [r["active_seconds"] for r in held] == [None, None, 0, 15, 30, 45]
-    assert [r["firing"] for r in held] == [False, False, False, False, False, True]
-    held = alerts.alert_for(rate, F.col("rate") >= 1, 60).orderBy("evaluated_at").collect()
-    assert [r["firing"] for r in held] == [False, False, False, False, False, True]
+    rate = alerts.counter_rate(df, 45)
+    found = [r["rate"] * 45 for r in rate.orderBy("evaluated_at").collect()]
+    # a range sees the increases between its own samples, and goes on after the last one
+    assert found == pytest.approx([30, 60, 35, 35, 60, 30])
+    held = alerts.alert_for(rate, F.col("rate") > 0.7, 45).orderBy("evaluated_at").collect()
+    assert [r["active_seconds"] for r in held] == [None, 0, 15, 30, 45, None]
+    assert [r["firing"] for r in held] == [False, False, False, False, True, False]
+
+
+def sampled(spark, every, count, rise, metric="stock_current_price"):
+    at = datetime(2024, 1, 1)
+    rows = [(metric, "s", at + timedelta(seconds=every * i), float(rise * i)) for i in range(count)]
+    return spark.createDataFrame(rows, "metric string, series string, ts timestamp, value double")
+
+
+def test_alert_on_samples_sparser_than_the_step(spark):
+    found = alerts.evaluate_alerts(sampled(spark, 60, 31, 10), alerts.RULES, bounds=[5.0])
+    firing = [r["evaluated_at"] for r in found.where("firing").orderBy("evaluated_at").collect()]
+    start = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp())
+    # above the limit from the second sample, then five minutes without a break
+    assert firing[0] - start == 60 + 300
+    assert all(b - a == 15 for a, b in zip(firing, firing[1:]))
+    # the range holds two samples until four minutes after the last one
+    assert firing[-1] - start == 30 * 60 + 3 * 60 + 45
+
+
+def test_notifications_repeat_after_a_full_interval(spark):
+    times = [*range(3540, 7200, 60), *range(20000, 20600, 60)]
+    df = spark.createDataFrame([("a", "m", "s", t, True) for t in times],
+                               "alertname string, metric string, series string, "
+                               "evaluated_at long, firing boolean")
+    found = alerts.group_alerts(df, 3600, step=60).orderBy("sent_at").collect()
+    assert [r["sent_at"] for r in found] == [3540, 7140, 20000]
+
+
+def test_critical_silences_warning_between_samples(spark):
+    rules = [alerts.Rule("X", "m", "delta", 300, 5.0, s, 60) for s in ("critical", "warning")]
+    found = alerts.evaluate_alerts(sampled(spark, 60, 20, 10, "m"), rules, bounds=[5.0])
+    left = alerts.inhibit(found).groupBy("severity").count().collect()
+    assert [r["severity"] for r in left] == ["critical"] and left[0]["count"] > 50
 
 
 def test_alert_gap_starts_anew(spark):
@@ -224,12 +256,12 @@ def test_drift_skips_short_columns_and_flags(spark):
     ref = spark.createDataFrame([(float(i), None if i else 1.0) for i in range(100)],
                                 "a double, b double")
     cur = spark.createDataFrame([(float(i + 60), 1.0) for i in range(100)], "a double, b double")
-    found = {r["column"]: r for r in quality.column_drift(ref, cur, ["a", "b"]).collect()}
+    found = {r["column"]: r for r in quality.column_drift(ref, cur, ["a", "b"], test="ks").collect()}
     assert set(found) == {"a"}
     assert found["a"]["ks_statistic"] == pytest.approx(0.6)
     assert found["a"]["drifted"] and found["a"]["drift_score"] < 1e-9
     assert found["a"]["wasserstein"] * 28.866070047722118 == pytest.approx(60)
-    calm = quality.column_drift(ref, ref, ["a"]).first()
+    calm = quality.column_drift(ref, ref, ["a"], test="ks").first()
     assert calm["p_value"] == 1.0 and not calm["drifted"] and calm["drift_score"] is None
 
 
@@ -268,6 +300,42 @@ def test_category_tree_deeper_than_two(spark):
     assert found["c"] == ("A", 2, "A > B > C") and found["z"] == ("Z", 0, "Z")
 
 
+def test_deep_trees_rings_and_lost_parents(spark):
+    rows = [(f"n{i}", f"n{i - 1}" if i else None, str(i)) for i in range(70)]
+    rows += [("r1", "r2", "R"), ("r2", "r1", "R"), ("below", "r1", "B"), ("lost", "nowhere", "L"),
+             ("under", "lost", "U")]
+    df = spark.createDataFrame(rows, "category_id string, parent_category_id string, "
+                                     "category_name string")
+    found = {r["category_id"]: r for r in warehouse.category_paths(df).collect()}
+    assert set(found) == {f"n{i}" for i in range(70)}
+    assert found["n69"]["depth"] == 69 and found["n69"]["root_name"] == "0"
+    assert found["n69"]["path"] == " > ".join(map(str, range(70)))
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("k", i, v, 1.0) for i, v in enumerate([nan, 1.0, nan, None, 4.0])],
+                               "k string, t int, v double, volume double")
+    report = {r["column"]: r["missing"] for r in quality.missing_report(df, ["v", "t"]).collect()}
+    assert report == {"v": 3, "t": 0, "*": 3}
+    assert quality.row_metrics(df, "k", ["v"]).first()["missing_values"] == 3
+    filled = series.ffill_bfill(df, ["v"], keys=["k"], order=["t"]).orderBy("t").collect()
+    assert [r["v"] for r in filled] == [1.0, 1.0, 1.0, 1.0, 4.0]
+    drift = quality.column_drift(df, df, ["v"], test="wasserstein").first()
+    assert drift["n_ref"] == 2 and drift["wasserstein"] == 0.0
+
+
+def test_null_keys_match_nothing(spark):
+    at = datetime(2024, 1, 1)
+    entities = spark.createDataFrame([(None, at, 1), ("a", at, 2)],
+                                     "k string, event_timestamp timestamp, n int")
+    rows = spark.createDataFrame([(None, at, at, 9.0), ("a", at, at, 5.0), ("a", at, at, 6.0)],
+                                 "k string, event_timestamp timestamp, created timestamp, f double")
+    found = {r["n"]: r["f"] for r in
+             features.pit_join(entities, rows, ["k"], ["f"], timedelta(days=1)).collect()}
+    assert found == {1: None, 2: 6.0}
+
+
 def test_fact_sales_shares_order_costs(spark):
     orders = spark.createDataFrame([(1, 20240101, 7, 3, "O", 10.0, 4.0)],
                                    "order_id long, order_date_id int, customer_id long, "
@@ -300,6 +368,11 @@ def test_fingerprint_ignores_order_only(spark):
     swapped = spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "i int, s string")
     assert learning.fingerprint(swapped).first() != base
     assert learning.fingerprint(df.union(df.limit(1))).first() != base
+    assert learning.fingerprint(df.withColumnRenamed("i", "j")).first() != base
+    assert learning.fingerprint(df.select(F.col("i").cast("long"), "s")).first() != base
+    split = spark.createDataFrame([("a\u0001=b", "c")], "x string, y string")
+    other = spark.createDataFrame([("a", "b\u0001=c")], "x string, y string")
+    assert learning.fingerprint(split).first() != learning.fingerprint(other).first()
 
 
 def test_split_is_stable(spark):

@@ -165,6 +165,14 @@ def test_refresh_rewrites_touched_months_only(spark, sales, tmp_path):
     from millrace.operators.aggregates import daily_sales_stats
     direct, stored = daily_sales_stats(grown), layout.read_daily_sales(spark, path)
     assert direct.exceptAll(stored.select(*direct.columns)).isEmpty()
+    # a month that lost all its rows goes, and the base is read for the touched days alone
+    july = F.col("sale_date") >= F.lit("2023-07-01").cast("date")
+    august = F.col("sale_date") >= F.lit("2023-08-01").cast("date")
+    rest = grown.where(~(july & ~august))
+    layout.refresh_daily_sales(rest, grown.where(july & ~august), path)
+    direct, stored = daily_sales_stats(rest), layout.read_daily_sales(spark, path)
+    assert direct.exceptAll(stored.select(*direct.columns)).isEmpty()
+    assert stored.select(*direct.columns).exceptAll(direct).isEmpty()
 
 
 def test_bucketed_join_has_no_exchange(spark, tmp_path):
