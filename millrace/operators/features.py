@@ -95,8 +95,8 @@ def _one_pass(entities, keys, group, views, timestamp, full_names, limits) -> Da
     newest = {f"_v_{name}": F.col(f"_v_{name}") for name, _ in group}
     # Feature rows of equal time and creation are settled by their values.
     values = [F.to_json(F.col(f"_v_{name}")) for name, _ in group]
-    rows = rows.withColumn("_tie", F.concat_ws(",", *values))
-    matched = over_series(rows, keys, ["_ts", "_side", "_made", "_tie"],
+    rows = rows.withColumn("_value", F.concat_ws(",", *values))
+    matched = over_series(rows, keys, ["_ts", "_side", "_made", "_value"],
                           lambda s: s.last_known(**newest), **limits).where("_side = 1")
     columns, empties = [], []
     for name, features in group:

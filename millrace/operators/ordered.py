@@ -59,7 +59,9 @@ def _known(carried: DataFrame) -> DataFrame:
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = ROW,
                 parts: int | None = None) -> DataFrame:
     """Exact row numbers 1..n per key in `order`, without collecting a key in one task."""
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # As many ranges as blocks, so that no task sorts more than a block however many rows there are.
+    parts = parts or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                         -(-df.count() // BLOCK_ROWS))
     # The last sort column lets rows that are equal in `order` be split between partitions too.
     ranged = materialize(
         df.withColumn("_tie", F.monotonically_increasing_id())
@@ -254,7 +256,8 @@ def split_large(df: DataFrame, keys: list[str],
                 max_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows of keys up to max_rows rows, rows of larger keys, and those keys (as _large_<key>).
 
-    There are fewer than rows / max_rows large keys, so their list can be broadcast.
+    There are fewer than rows / max_rows large keys; their list is written, so Spark knows its size
+    and broadcasts it if that is small.
     """
     large = materialize(
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
@@ -262,19 +265,20 @@ def split_large(df: DataFrame, keys: list[str],
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_large_{key}"))
-    return (df.join(F.broadcast(large), same, "left_anti"),
-            df.join(F.broadcast(large), same, "left_semi"), large)
+    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi"), large
 
 
 def join_unique(rows: DataFrame, unique: DataFrame, key: str,
                 max_rows: int = MAX_ROWS) -> DataFrame:
-    """Inner join to a side with one row per key. Rows of a key with more than max_rows rows stay
-    where they are and get a broadcast of that key's one row, so they are not sent to one task."""
+    """Inner join to a side with one row per key. The one rows of keys with more than max_rows rows
+    are written by themselves; where they are few, Spark broadcasts them, and else it splits the
+    skewed side of the join."""
     if largest_key(rows, [key]) <= max_rows:
         return rows.join(unique, key)
     few, many, large = split_large(rows, [key], max_rows)
-    wanted = unique.join(F.broadcast(large), F.col(key) == F.col(f"_large_{key}"), "left_semi")
-    return few.join(unique, key).unionByName(many.join(F.broadcast(wanted), key))
+    wanted = materialize(unique.join(large, F.col(key) == F.col(f"_large_{key}"), "left_semi"),
+                         "large_rows")
+    return few.join(unique, key).unionByName(many.join(wanted, key))
 
 
 def over_series(df: DataFrame, keys: list[str], order: list[str],

@@ -264,7 +264,7 @@ def _quantile_case(q: float) -> str:
         cases.append(f"WHEN s{i} >= {total} * {q}::DOUBLE THEN {lower}::DOUBLE + ({bound} - {lower})"
                      f"::DOUBLE * (({total} * {q}::DOUBLE - {below}) / (s{i} - {below})::DOUBLE)")
         below, lower = f"s{i}", bound
-    return f"CASE WHEN {total} = 0 THEN NULL {' '.join(cases)} ELSE {BOUNDS[-1]}::DOUBLE END"
+    return f"CASE WHEN coalesce({total}, 0) = 0 THEN NULL {' '.join(cases)} ELSE {BOUNDS[-1]}::DOUBLE END"
 
 
 QUANTILE_SQL = f"""(
