@@ -46,11 +46,13 @@ class Counter:
         known = self.known
         if len(known) > MEMORY:
             known.clear()
-        new = [p for p in dict.fromkeys(parts) if p not in known]
-        if new:
-            coded = self.encoding.encode_ordinary_batch(new, num_threads=1)
-            known.update(zip(new, map(len, coded)))
-        return [known[p] for p in parts]
+        found = list(map(known.get, parts))
+        if None in found:
+            new = list({p for p, n in zip(parts, found) if n is None})
+            # One call each: the library's batch call hands every short text to a thread pool.
+            known.update(zip(new, map(len, map(self.encoding.encode_ordinary, new))))
+            found = list(map(known.get, parts))
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -75,8 +77,11 @@ class SumTree:
         self.width = 1 << max(0, int(len(values) - 1).bit_length())
         self.sums = np.zeros(2 * self.width, np.int64)
         self.sums[self.width:self.width + len(values)] = values
-        for node in range(self.width - 1, 0, -1):
-            self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
+        level = self.width
+        while level > 1:
+            below = self.sums[level:2 * level]
+            level //= 2
+            self.sums[level:2 * level] = below[::2] + below[1::2]
 
     def replace(self, leaf: int, value: int) -> None:
         node = self.width + leaf
@@ -108,9 +113,9 @@ def apply_edits(own: Counter, text: str, chars: np.ndarray, tokens: np.ndarray,
     A changed stretch becomes one leaf, and the other leaves of it become empty.
     """
     edits = clean_edits(edits, len(text))
-    tree = SumTree(tokens)
     if not edits:
-        return text, chars, tokens, tree.total, 0
+        return text, chars, tokens, int(tokens.sum()), 0
+    tree = SumTree(tokens)
     pieces, at, shifts, shift = [], 0, [], 0
     for start, stop, new in edits:
         pieces += [text[at:start], new]
@@ -223,11 +228,17 @@ def masking_edits(text: str):
     """Edits that mask e-mail addresses and long numbers."""
     import re
 
-    found = re.compile("|".join(f"({p})" for p, _ in MASKS))
+    email, number = (p for p, _ in MASKS)
+    both, only_number = re.compile(f"({email})|({number})"), re.compile(f"(?!)()|({number})")
+
+    def edits(text: str) -> list[dict]:
+        # Without an @ there is no address, and no need to try one at every letter.
+        found = both if "@" in text else only_number
+        return [{"start": m.start(), "stop": m.end(), "text": MASKS[m.lastindex - 1][1]}
+                for m in found.finditer(text)]
 
     def mask(texts: pa.Array) -> pa.Array:
-        rows = [[{"start": m.start(), "stop": m.end(), "text": MASKS[m.lastindex - 1][1]}
-                 for m in found.finditer(t)] for t in pc.fill_null(texts, "").to_pylist()]
+        rows = [edits(t) for t in pc.fill_null(texts, "").to_pylist()]
         return pa.array(rows, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()),
                                                   ("text", pa.string())])))
 
