@@ -15,7 +15,7 @@ import sys
 import time
 
 from millrace.plans import QUERIES
-from millrace.session import build_session
+from millrace.session import build_session, intermediates
 
 HEADLINE = """
 daily_sales_stats daily_stats_summary daily_revenue_variance daily_revenue_in_range
@@ -30,8 +30,9 @@ alert_for fact_sales fact_inventory sales_by_product_level sales_by_geography di
 
 def timed(spark, name: str, folder: str) -> float:
     start = time.perf_counter()
-    QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with intermediates(spark):
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:

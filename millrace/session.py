@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,7 @@ RUNTIME = {
 }
 
 _local_folders: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "millrace", master: str | None = None, **extra: str) -> SparkSession:
@@ -61,7 +64,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was written below the shared folder since entering.
+
+        with intermediates(spark):
+            query(spark, folder).write.parquet(result)
+
+    Frames are lazy and read their intermediate tables when they are written, so the result has to
+    be written (or collected) inside.
+    """
+    made = _made.setdefault(spark.sparkContext.applicationId, [])
+    first = len(made)
+    try:
+        yield
+    finally:
+        for path in made[first:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del made[first:]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import SMALL
+
 from millrace import session
 from millrace.operators import layout
 from millrace.sources import files, jdbc, lake, payloads
@@ -190,3 +192,17 @@ def test_bucketed_join_has_no_exchange(spark, tmp_path):
 def test_shared_folder_follows_the_session(spark):
     assert session.scratch(spark, "x").startswith(
         spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_intermediates_are_deleted(spark, tmp_path):
+    from pathlib import Path
+
+    from millrace.plans import QUERIES
+
+    root = Path(session.shared_folder(spark).removeprefix("file:"))
+    before = set(root.glob("*"))
+    with session.intermediates(spark):
+        QUERIES["customer_segments"](spark, SMALL).write.parquet(str(tmp_path / "out"))
+        assert set(root.glob("*")) > before
+    assert set(root.glob("*")) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() > 0
