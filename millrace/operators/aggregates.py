@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import mean_of, seconds_between
 from millrace.operators.joins import with_global
 from millrace.operators.ordered import number_rows
+from millrace.session import materialize
 
 
 # -- sales by day -----------------------------------------------------------------------------
@@ -55,7 +56,11 @@ def daily_stats_summary(stats: DataFrame) -> DataFrame:
 
 def daily_revenue_variance(stats: DataFrame, limit: int = 100, *,
                            date: str = "sale_date") -> DataFrame:
-    """Days above half the mean revenue and count with a high-value sale, best revenue first."""
+    """Days above half the mean revenue and count with a high-value sale, best revenue first.
+
+    The days are written once, so that their means do not aggregate the sales a second time.
+    """
+    stats = materialize(stats, "days")
     means = stats.agg(mean_of("daily_revenue").alias("_revenue"),
                       mean_of("transaction_count").alias("_count"))
     revenue, count = F.col("daily_revenue").cast("double"), F.col("transaction_count")
@@ -101,7 +106,8 @@ def customer_distribution(df: DataFrame, *, customer: str = "customer_id") -> Da
 
 def sales_summary(df: DataFrame, *, date: str = "order_date", amount: str = "amount") -> DataFrame:
     """Grand total with the daily trend line; the running total runs over days, not rows."""
-    days = df.groupBy(F.to_date(date).alias("day")).agg(F.sum(amount).alias("day_amount"))
+    days = materialize(df.groupBy(F.to_date(date).alias("day")).agg(
+        F.sum(amount).alias("day_amount")), "days")
     trend = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = days.agg(F.sum("day_amount").alias("total_amount"))
     return with_global(

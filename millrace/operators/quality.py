@@ -91,19 +91,44 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def check_refs(model: dict[str, DataFrame], refs: list[tuple[str, str, str, str]]) -> DataFrame:
-    """Rows and orphans per reference (child, child key, parent, parent key), from the counts per
-    key."""
-    reports = []
+    """Rows and orphans per reference (child, child key, parent, parent key).
+
+    Every child is read once for all its references, every parent once for all its keys; what meets
+    are counts per key and distinct keys, compared as text.
+    """
+    def entries(items: list[tuple[str, str]]) -> F.Column:
+        return F.explode(F.array(*[F.struct(F.lit(name).alias("_of"),
+                                            F.col(key).cast("string").alias("_key"))
+                                   for name, key in items])).alias("_e")
+
+    children: dict[str, list[tuple[str, str]]] = {}
+    parents: dict[str, set[str]] = {}
+    names = []
     for child, key, parent, parent_key in refs:
-        counts = model[child].where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
-            F.count(F.lit(1)).alias("_n"))
-        known = model[parent].select(F.col(parent_key).alias("_parent")).distinct()
-        lost = F.when(F.col("_parent").isNull(), F.col("_n")).otherwise(0)
-        reports.append(counts.join(known, F.col("_key") == F.col("_parent"), "left").agg(
-            F.lit(f"{child}.{key} > {parent}.{parent_key}").alias("ref"),
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(lost), F.lit(0)).alias("orphans")))
-    return reduce(DataFrame.unionByName, reports)
+        name = f"{child}.{key} > {parent}.{parent_key}"
+        names.append((name, f"{parent}.{parent_key}"))
+        children.setdefault(child, []).append((name, key))
+        parents.setdefault(parent, set()).add(parent_key)
+    counts = reduce(DataFrame.unionByName, [
+        model[child].select(entries(items)).select("_e.*").where("_key is not null")
+        .groupBy("_of", "_key").agg(F.count(F.lit(1)).alias("_n"))
+        for child, items in children.items()])
+    known = reduce(DataFrame.unionByName, [
+        model[parent].select(entries([(f"{parent}.{k}", k) for k in sorted(keys)])).select("_e.*")
+        .where("_key is not null").distinct() for parent, keys in parents.items()])
+    target = F.lit(None).cast("string")
+    for name, parent in names:
+        target = F.when(F.col("_of") == name, parent).otherwise(target)
+    found = counts.withColumn("_to", target).join(
+        known.select(F.col("_of").alias("_to"), "_key", F.lit(True).alias("_there")),
+        ["_to", "_key"], "left").groupBy("_of").agg(
+        F.sum("_n").alias("rows"),
+        F.sum(F.when(F.col("_there").isNull(), F.col("_n")).otherwise(0)).alias("orphans"))
+    listed = known.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(name) for name, _ in names])).alias("ref"))
+    return listed.join(found, F.col("ref") == F.col("_of"), "left").select(
+        "ref", F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.coalesce("orphans", F.lit(0)).alias("orphans"))
 
 
 # -- drift ------------------------------------------------------------------------------------

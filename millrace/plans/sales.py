@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,9 @@ from millrace.functions.columns import (
 )
 from millrace.operators import aggregates as agg
 from millrace.operators import layout
+from millrace.operators.learning import fingerprint
 from millrace.plans.registry import query, table
-from millrace.session import scratch
+from millrace.session import materialize, scratch
 from millrace.sources.files import reconcile
 
 HIGH = 200_000
@@ -218,11 +221,12 @@ def layout_compare(spark, sf_dir):
 
 @query("fan_out_load", """
     SELECT t AS "table", (SELECT count(*) FROM orders) AS source_rows,
-           (SELECT count(*) FROM orders) AS sink_rows, 0::BIGINT AS missing
+           (SELECT count(*) FROM orders) AS sink_rows, 0::BIGINT AS missing, TRUE AS same
     FROM (VALUES ('sales_clustered'), ('sales_non_clustered'), ('sales_partitioned'),
                  ('sales_non_partitioned'), ('sales_transactions')) v(t)
 """)
 def fan_out_load(spark, sf_dir):
+    """One source, computed once, in five layouts; counts and contents are compared."""
     root = scratch(spark, "fan_out")
     source = transactions(spark, sf_dir).withColumns({
         "year": F.year("sale_date"), "month": F.month("sale_date")})
@@ -234,9 +238,16 @@ def fan_out_load(spark, sf_dir):
         "sales_non_partitioned": (plain[:3], {}),
         "sales_transactions": (plain, {}),
     }
+    source = materialize(source, "source")
     layout.fan_out(source, targets, root)
-    return reconcile({t: source for t in targets},
-                     {t: spark.read.parquet(f"{root}/{t}") for t in targets})
+    stored = {t: spark.read.parquet(f"{root}/{t}") for t in targets}
+    digests = [fingerprint(source, cols).select(F.lit(t).alias("table"), F.col("digest").alias("_a"))
+               .join(fingerprint(stored[t].select(*cols)).select(
+                   F.lit(t).alias("table"), F.col("digest").alias("_b")), "table")
+               for t, (cols, _) in targets.items()]
+    same = reduce(DataFrame.unionByName, digests).select(
+        "table", (F.col("_a") == F.col("_b")).alias("same"))
+    return reconcile({t: source for t in targets}, stored).join(same, "table")
 
 
 # -- dashboard --------------------------------------------------------------------------------
