@@ -69,6 +69,7 @@ def failures() -> dict[str, F.Column]:
         "short": m["n_words"] < 50,
         "repeating": 100 * m["n_repeat_words"] > 50 * m["n_words"],
         "symbols": 10 * m["n_symbols"] > m["n_words"],
+        "noise": m["n_symbols"] > m["n_words"],
         "lines": 10 * m["n_dup_lines"] > 3 * m["n_lines"],
         "word_length": (m["word_chars"] < 3 * m["n_words"])
                        | (m["word_chars"] > 12 * m["n_words"]),
@@ -104,8 +105,8 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source",
     """Judge documents: struct `doc` (the input row) with `m` (measures), `failed` (names of failed
     rules), `base_failed`, `host_rate`, `host_bad` and `kept`.
 
-    A document is rejected if it is short or repeats itself, if it fails two rules of the five, or
-    if it fails one and its host is bad. A document that fails no rule is always kept.
+    A document is rejected if it is short or repeats itself, if it fails two rules of the six (more
+    symbols than words fail two at once), or if it fails one and its host is bad. A document that fails no rule is always kept.
 
     A null text is an empty one and fails. Documents with a null host form one host. Repeated rows
     are judged alike. No rows give no rows. Input columns stay inside `doc`, so their names cannot
@@ -158,7 +159,7 @@ m AS (
 j AS (
   SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
     (n_words < 50)::INT + (100 * n_repeat_words > 50 * n_words)::INT
-    + (10 * n_symbols > n_words)::INT + (10 * n_dup_lines > 3 * n_lines)::INT
+    + (10 * n_symbols > n_words)::INT + (n_symbols > n_words)::INT + (10 * n_dup_lines > 3 * n_lines)::INT
     + (word_chars < 3 * n_words OR word_chars > 12 * n_words)::INT AS n_failed FROM m),
 h AS (
   SELECT source, count(*)::DOUBLE AS d, count(*) FILTER (n_failed > 0)::DOUBLE AS f

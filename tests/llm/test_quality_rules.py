@@ -28,7 +28,7 @@ def judged(spark, rows, **options):
 
 
 def test_host_verdict_only_hits_failing_documents(spark):
-    odd = CLEAN.replace("and", "a#n#d")  # fails the symbol rule alone
+    odd = CLEAN.replace("and", "a#nd")  # fails the symbol rule alone
     rows = [(i, odd, "bad", "x") for i in range(40)] + [(40, CLEAN, "bad", "x")]
     rows += [(100 + i, CLEAN, "good", "x") for i in range(40)] + [(140, odd, "good", "x")]
     got = judged(spark, rows)
@@ -40,11 +40,17 @@ def test_host_verdict_only_hits_failing_documents(spark):
 
 
 def test_one_failure_in_a_tiny_host_is_not_a_bad_host(spark):
-    odd = CLEAN.replace("and", "a#n#d")
+    odd = CLEAN.replace("and", "a#nd")
     rows = [(i, CLEAN, f"h{i % 7}", None) for i in range(70)] + [(99, odd, "tiny", None)]
     assert judged(spark, rows)[99].kept
 
 
+def test_more_symbols_than_words_are_rejected_anywhere(spark):
+    noise = CLEAN.replace("and", "a##nd##")
+    got = judged(spark, [(i, CLEAN, "good", None) for i in range(30)] + [(30, noise, "good", None)])
+    assert not got[30].kept and got[30].failed == ["symbols", "noise"] and not got[30].host_bad
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None, None), (2, "", "a", None), (None, CLEAN, None, "y"),
             (3, CLEAN, "a", "z"), (3, CLEAN, "a", "z"), (4, "word " * 200000, "a", None)]
