@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,21 +39,25 @@ _ARROW = pa.schema([
 
 
 def order_patterns_grouped(hours: DataFrame) -> DataFrame:
-    """Grouped-map form of the order patterns.
+    """Python form of the order patterns over Arrow batches.
 
-    Takes the per-hour partials of `aggregates.order_hours`, so a group has at most 24 rows however
-    many orders a customer placed.
+    Takes the per-hour partials of `aggregates.order_hours`. Those of a customer, 24 at most, are
+    gathered into one row, so a batch holds many customers and Python is called once for all.
     """
-    def patterns(group: pa.Table) -> pa.Table:
-        rows = group.to_pydict()
-        orders, spent = sum(rows["orders"]), float(sum(rows["spent"]))
-        span = (max(rows["last_at"]) - min(rows["first_at"])).total_seconds() / 86400
-        gap = span / (orders - 1) if orders > 1 else None
-        peak = min(zip(rows["orders"], rows["hour"]), key=lambda p: (-p[0], p[1]))[1]
-        return pa.Table.from_pylist([{
-            "customer_id": rows["customer_id"][0], "total_orders": orders, "total_spent": spent,
-            "avg_order_value": spent / orders, "avg_days_between_orders": gap or None,
-            "peak_order_hour": peak,
-        }], schema=_ARROW)
-
-    return hours.groupBy("customer_id").applyInArrow(patterns, PATTERNS)
+    def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for customer, parts in zip(batch.column("customer_id").to_pylist(),
+                                       batch.column("parts").to_pylist()):
+                orders = sum(p["orders"] for p in parts)
+                spent = float(sum(p["spent"] for p in parts))
+                span = max(p["last_at"] for p in parts) - min(p["first_at"] for p in parts)
+                gap = span.total_seconds() / 86400 / (orders - 1) if orders > 1 else None
+                peak = min(parts, key=lambda p: (-p["orders"], p["hour"]))["hour"]
+                rows.append((customer, orders, spent, spent / orders, gap or None, peak))
+            columns = zip(*rows) if rows else [()] * len(_ARROW)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+
+    parts = F.collect_list(F.struct("hour", "orders", "spent", "first_at", "last_at"))
+    return hours.groupBy("customer_id").agg(parts.alias("parts")).mapInArrow(patterns, PATTERNS)
