@@ -125,8 +125,8 @@ def check_refs(model: dict[str, DataFrame], refs: list[tuple[str, str, str, str]
         F.sum("_n").alias("rows"),
         F.sum(F.when(F.col("_there").isNull(), F.col("_n")).otherwise(0)).alias("orphans"))
     listed = known.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(name) for name, _ in names])).alias("ref"))
-    return listed.join(found, F.col("ref") == F.col("_of"), "left").select(
+        F.posexplode(F.array(*[F.lit(name) for name, _ in names])).alias("_at", "ref"))
+    return listed.join(found, F.col("ref") == F.col("_of"), "left").orderBy("_at").select(
         "ref", F.coalesce("rows", F.lit(0)).alias("rows"),
         F.coalesce("orphans", F.lit(0)).alias("orphans"))
 
