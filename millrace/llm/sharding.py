@@ -1,25 +1,26 @@
 """Sharding by balanced label propagation.
 
-Documents with equal texts are linked. Rows start in shards by hash; in each round a linked document
-wants to go where most of its neighbours are, and shards admit whole groups, smaller ones first, as
-far as their quota allows; of the size class at the limit a share of the rows. Documents without
-links have no wish and fill what is left, so in the end all shards hold the same number of rows, to
-one, and a link is cut only where a group had no room.
-
-Rounds work on (group, shard) counts, the joins are equi-joins of plain columns which Spark splits
-for a hot group, and places within a shard are numbered by buckets, never by one window per shard.
+Documents with equal texts are linked. Rows start in shards by hash; a linked document wants to go
+where most of its neighbours are. As all rows of a text are neighbours of each other, one round tells
+every wish; what is left is room. Shards admit whole groups, larger ones first, as far as their quota
+allows, counted without the rows that leave; a group refused there goes to a shard that has room for
+all of it, and is cut only if there is none, which happens to fewer groups than there are shards.
+Documents without links have no wish and fill what is left, so in the end all shards hold the same
+number of rows, to one.
+
+Work goes on (group, shard) counts, the joins are equi-joins of plain columns which Spark splits for
+a hot group, and places are numbered by buckets, never by one window per shard.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import materialize, query, table
 
 BUCKET_ROWS = 1024  # rows that one window numbers, about
-ROUNDS = 4
-FINE = 1 << 20      # steps of the share of a size class that is admitted
 
 
 def hashed(*columns: Column | str) -> Column:
@@ -46,40 +47,92 @@ def numbered(rows: DataFrame, by: list[str], order: list[str], tier: Column, tot
         "_spread", "_bucket", "_before", "_within")
 
 
-def propagate(linked: DataFrame, quota: int, rounds: int) -> DataFrame:
-    """`linked` (row columns, group, h, shard) after the moves."""
-    for turn in range(rounds):
-        held = linked.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
-        wishes = materialize(held.groupBy("group").agg(
-            F.max(F.struct("n", hashed("group", "shard").alias("x"), "shard")).alias("best"),
-            F.sum("n").alias("members")).select(
-            "group", F.col("best.shard").alias("wish"),
-            (F.col("members") - F.col("best.n")).alias("movers"),
-            F.floor(F.log2("members")).cast("int").alias("class")).where("movers > 0"), "wishes")
-        if wishes.isEmpty():
-            break
-        # What a shard admits: its quota less the linked rows it has, smaller groups first.
-        asked = wishes.groupBy("wish", "class").agg(F.sum("movers").alias("movers"))
-        here = linked.groupBy(F.col("shard").alias("wish")).agg(F.count(F.lit(1)).alias("here"))
-        line = Window.partitionBy("wish").orderBy("class").rowsBetween(
-            Window.unboundedPreceding, -1)
-        room = F.greatest(F.lit(0), F.lit(quota) - F.coalesce("here", F.lit(0))
-                          - F.coalesce(F.sum("movers").over(line), F.lit(0)))
-        admitted = asked.join(here, "wish", "left").select(
-            "wish", "class", F.least(F.lit(FINE).cast("long"), F.expr("0L") + F.floor(
-                F.lit(FINE) * room / F.col("movers"))).alias("share"))
-        admitted = materialize(admitted, "admitted")
-        # One row per size class and shard: a table of a few hundred rows at any size.
-        going = wishes.join(F.broadcast(admitted), ["wish", "class"]).select("group", "wish", "share")
-        lucky = F.pmod(hashed("h", F.lit(turn)), F.lit(FINE)) < F.col("share")
-        linked = materialize(linked.join(going, "group", "left").withColumn(
-            "shard", F.when(F.col("wish").isNotNull() & (F.col("wish") != F.col("shard")) & lucky,
-                            F.col("wish")).otherwise(F.col("shard"))).drop("wish", "share"), "moved")
-    return linked
-
-
-def balanced_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 8,
-                    rounds: int = ROUNDS) -> DataFrame:
+def allot(kinds: list[tuple[int, int, int]], rooms: list[int]) -> tuple[list, list]:
+    """Shards for `kinds`, (members, wish, groups): whole groups as (members, wish, low, high, shard)
+    for the groups numbered low to high - 1 of a kind, and what is cut as (members, wish, place, low,
+    high, shard) for the rows numbered low to high - 1 of one group.
+
+    Larger groups first; a shard takes those that wish it, then those refused elsewhere, the
+    fullest shard that has room first. A group is cut only when no shard has room for all of it.
+    Less than `members` is then free in each shard, and that is all that the rows not placed yet
+    have, earlier cut groups (none smaller) among them: fewer groups than shards are ever cut.
+    """
+    rooms, by_size, whole, cut = list(rooms), {}, [], []
+    for members, wish, n in kinds:
+        by_size.setdefault(members, []).append((wish, n))
+    for members in sorted(by_size, reverse=True):
+        refused = []
+        for wish, n in sorted(by_size[members]):
+            own = min(n, rooms[wish] // members)
+            rooms[wish] -= own * members
+            if own:
+                whole.append((members, wish, 0, own, wish))
+            if own < n:
+                refused.append((wish, own, n))
+        for wish, at, n in refused:
+            for _, shard in sorted((room, i) for i, room in enumerate(rooms) if room >= members):
+                more = min(n - at, rooms[shard] // members)
+                if more:
+                    rooms[shard] -= more * members
+                    whole.append((members, wish, at, at + more, shard))
+                    at += more
+            cut += [(members, wish, place) for place in range(at, n)]
+    pieces = []
+    for members, wish, place in cut:  # after all whole groups, into the fewest shards
+        at = 0
+        for room, shard in sorted(((room, i) for i, room in enumerate(rooms)), reverse=True):
+            more = min(members - at, room)
+            if more:
+                rooms[shard] -= more
+                pieces.append((members, wish, place, at, at + more, shard))
+                at += more
+    return whole, pieces
+
+
+def small_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A broadcast table of whole numbers, from Arrow (no Python rows)."""
+    columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * len(names))]
+    return F.broadcast(spark.createDataFrame(pa.Table.from_arrays(columns, names)))
+
+
+def settle(rows: DataFrame, rooms: list[int]) -> DataFrame:
+    """`rows` (row columns, group, h, shard) with `members`, and the shard of linked rows settled."""
+    spark = rows.sparkSession
+    held = rows.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
+    wishes = materialize(held.groupBy("group").agg(
+        F.max(F.struct("n", hashed("group", "shard").alias("x"), "shard")).alias("best"),
+        F.sum("n").alias("members")).where("members > 1").select(
+        "group", "members", F.col("best.shard").alias("wish")), "wishes")
+    # Sizes that differ are as many as the root of twice the rows at most.
+    kinds = [(r["members"], r["wish"], r["n"]) for r in wishes.groupBy("members", "wish").agg(
+        F.count(F.lit(1)).alias("n")).collect()]
+    whole, pieces = allot(kinds, rooms)
+    places = numbered(wishes, ["members", "wish"], ["group"], F.lit(0), sum(k[2] for k in kinds),
+                      "at").withColumnRenamed("wish", "first")
+    bound = small_table(spark, whole, ["_members", "_first", "_low", "_high", "target"])
+    going = materialize(places.join(bound, (F.col("members") == F.col("_members")) & (
+        F.col("first") == F.col("_first")) & (F.col("at") >= F.col("_low")) & (
+        F.col("at") < F.col("_high")), "left").select("group", "members", "first", "at", "target"),
+        "going")
+    linked = materialize(rows.join(going, "group", "left").withColumn(
+        "members", F.coalesce("members", F.lit(1).cast("long"))).withColumn(
+        "shard", F.coalesce(F.col("target").cast("int"), F.col("shard"))), "settled")
+    columns = [*rows.columns, "members"]
+    done = linked.where("members = 1 or target is not null").select(*columns)
+    if not pieces:
+        return done
+    torn = numbered(linked.where("members > 1 and target is null"), ["group"],
+                    ["h", "id", "group"], F.lit(0), sum(p[4] - p[3] for p in pieces), "row")
+    parts = small_table(spark, pieces, ["_members", "_first", "_at", "_low", "_high", "_shard"])
+    torn = torn.join(parts, (F.col("members") == F.col("_members")) & (
+        F.col("first") == F.col("_first")) & (F.col("at") == F.col("_at")) & (
+        F.col("row") >= F.col("_low")) & (F.col("row") < F.col("_high"))).withColumn(
+        "shard", F.col("_shard").cast("int"))
+    return done.unionByName(torn.select(*columns))
+
+
+def balanced_shards(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                    shards: int = 8) -> DataFrame:
     """(id, size, text_crc32, members, shard, slot) per row; counts of shards are at most one apart
     and slots run from 0 without a gap.
 
@@ -96,14 +149,11 @@ def balanced_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         "h", hashed("id", "group")).withColumn(
         "shard", F.pmod(hashed("h", F.lit("first")), F.lit(shards)).cast("int")), "rows")
     total = rows.count()
-    sizes = materialize(rows.groupBy("group").agg(F.count(F.lit(1)).alias("members")), "sizes")
-    rows = materialize(rows.join(sizes, "group"), "sized")
-    quota = -(-total // shards)
-    linked = propagate(rows.where("members > 1"), total // shards, rounds)
-    tier = F.when(F.col("members") == 1, 2).when(F.col("members") > quota, 1).otherwise(0)
+    rooms = [total // shards + (i < total % shards) for i in range(shards)]
+    settled = settle(rows, rooms)
+    tier = F.when(F.col("members") == 1, 1).otherwise(0)
     order = ["h", "id", "group"]
-    placed = materialize(numbered(linked.unionByName(rows.where("members = 1")), ["shard"], order,
-                                  tier, total, "place"), "placed")
+    placed = materialize(numbered(settled, ["shard"], order, tier, total, "place"), "placed")
     own_quota = F.lit(total // shards) + F.when(F.col("shard") < total % shards, 1).otherwise(0)
     kept = placed.where(F.col("place") < own_quota).withColumn("slot", F.col("place"))
     # Shards with room left, as one row that holds `shards` entries.

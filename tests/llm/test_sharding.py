@@ -1,5 +1,6 @@
 """Shards: the law, gapless slots, and fewer cut groups than by hash."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -69,3 +70,38 @@ def test_repeated_rows(spark):
     rows = sharding.balanced_shards(docs).collect()
     law_holds(rows)
     assert Counter(r.id for r in rows) == {1: 40, 2: 3}
+
+
+@pytest.mark.parametrize("sizes", [[2] * 800, [10] * 160, [10] * 144 + [1] * 160,
+                                   [533] + [10] * 96 + [1] * 107, [110] * 14 + [2] * 30])
+def test_groups_stay_whole_where_most_rows_are_linked(spark, sizes):
+    texts = [f"g{i}" for i, n in enumerate(sizes) for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sharding.balanced_shards(docs).collect()
+    law_holds(rows)
+    where = defaultdict(set)
+    for r in rows:
+        where[texts[r.id]].add(r.shard)
+    cut = [t for t, found in where.items() if len(found) > 1]
+    assert len(cut) < 8 and (len(set(sizes)) > 1 or not cut)
+
+
+def test_allotment_fills_the_rooms():
+    chance = random.Random(5)
+    for _ in range(300):
+        shards = chance.randint(1, 9)
+        kinds = [(n, w, chance.randint(1, 9)) for n in chance.sample(range(2, 99), chance.randint(0, 9))
+                 for w in range(shards) if chance.random() < 0.6]
+        total = sum(n * g for n, _, g in kinds) + chance.randint(0, 50)
+        rooms = [total // shards + (i < total % shards) for i in range(shards)]
+        whole, pieces = sharding.allot(kinds, rooms)
+        left = list(rooms)
+        got = Counter()
+        for n, w, low, high, shard in whole:
+            left[shard] -= n * (high - low)
+            got[n, w] += n * (high - low)
+        for n, w, _, low, high, shard in pieces:
+            left[shard] -= high - low
+            got[n, w] += high - low
+        assert min(left) >= 0 and got == Counter({(n, w): n * g for n, w, g in kinds})
+        assert len({p[:3] for p in pieces}) < max(shards, 1) + (shards == 1 and bool(pieces))
