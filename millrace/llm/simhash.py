@@ -31,6 +31,7 @@ WIDE_ROWS = 1 << 16    # the same where the radius is so wide that the top tree
 SHARD_HASHES = 1 << 22  # shingle hashes that the home rows of a shard hold, aimed at
 LEAF_ROWS = 128        # fingerprints in a leaf within a shard
 BLOCK = 512            # visitors compared at once
+PRINT = 4              # 64-bit words of the fingerprints of near copies
 DRAWN = 16             # sampled fingerprints that a border of the top tree rests on, at least
 
 
@@ -57,6 +58,17 @@ def hashes(found: list[bytes], width: int) -> np.ndarray:
     return np.frombuffer(raw, ">u8").astype(np.uint64).reshape(len(found), width)
 
 
+def widened(hashed: np.ndarray, width: int) -> np.ndarray:
+    """Rows of `width` numbers: the given ones, then mixed copies of them (splitmix64)."""
+    parts = [hashed]
+    for turn in range(1, -(-width // hashed.shape[1])):
+        x = hashed + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        parts.append(x ^ (x >> np.uint64(31)))
+    return np.concatenate(parts, axis=1)[:, :width]
+
+
 def fingerprint(hashed: np.ndarray) -> np.ndarray:
     """Bits that over half of the rows have, as `width` unsigned numbers; zero without rows."""
     width = hashed.shape[1]
@@ -78,13 +90,13 @@ def prints(text: str, words: int, width: int = 1, sets: bool = False):
     def print_texts(texts: pa.Array) -> pa.Array:
         rows, counts, keys, held = [], [], [], []
         for text in pc.fill_null(texts, "").cast(pa.large_binary()).to_pylist():
-            hashed = hashes(shingles(text, words), width)
+            hashed = hashes(shingles(text, words), min(width, 2))
             if sets:
                 hashed = np.unique(hashed, axis=0)
                 own = np.sort(hashed[:, 0]).view(np.int64)
                 held.append(own)
                 keys.append(hashlib.md5(own.tobytes()).digest())
-            rows.append(fingerprint(hashed).astype(">u8").tobytes())
+            rows.append(fingerprint(widened(hashed, width)).astype(">u8").tobytes())
             counts.append(len(hashed))
         columns = [pa.array(rows, pa.binary()), pa.array(counts, pa.int64())]
         if sets:
@@ -101,7 +113,10 @@ def numbers(column: pa.Array, width: int) -> np.ndarray:
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int16)
+    found = np.bitwise_count(a[..., 0] ^ b[..., 0]).astype(np.int16)
+    for i in range(1, a.shape[-1]):  # a sum over so short an axis takes several times as long
+        found += np.bitwise_count(a[..., i] ^ b[..., i])
+    return found
 
 
 class Tree:
@@ -387,15 +402,16 @@ def _named(printed: DataFrame, key: str, edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
-                    share: float = 0.8, radius: int = 32) -> DataFrame:
+                    share: float = 0.8, radius: int = 84) -> DataFrame:
     """Struct `doc` (the input row), `group` (the row number that stands for it) and `kept`: one row
     of each group is kept, that of the smallest key.
 
     Documents link if the sets of their shingles have a Jaccard similarity of `share` or more; a
-    group is what links reach. Candidates are found by 128-bit fingerprints of the sets: at a
-    similarity of 0.8 the expected distance is 19 bits with a deviation of 4, so a radius of 32
-    misses one link in a thousand at the very border and none well above it, and two unrelated texts
-    meet once in 10^8. The sets of candidates alone are then compared exactly. Sets that similar
+    group is what links reach. Candidates are found by 256-bit fingerprints of the sets: at a
+    similarity of 0.8 each bit differs with a chance of 0.19 at most (sets of 4 and 5 shingles; 0.16
+    or less for 60 common ones and more), so a radius of 84 misses three links in 10^8 for those and
+    one in 10^12 for long texts, and two unrelated texts meet twice in 10^8. A smaller `share` wants
+    a wider radius. The sets of candidates alone are then compared exactly. Sets that similar
     have sizes that differ by a factor of 1 / share at most, so fingerprints meet those of their own
     and the neighbouring size zones only.
 
@@ -405,7 +421,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     """
     rows = materialize(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(key).alias("id"),
-        prints(text, words, 2, sets=True).alias("p")
+        prints(text, words, PRINT, sets=True).alias("p")
     ).select("doc", "id", F.col("p.set_key").alias("key"), "p.print",
              F.col("p.n_shingles").alias("n")).withColumn("row", F.monotonically_increasing_id()),
         "printed")
@@ -415,17 +431,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         F.min("print").alias("print"), F.min("n").alias("n"), first.alias("first")).withColumn(
         "zone", F.when(F.col("n") > 0, F.floor(F.log("n") / step)).otherwise(-1).cast("int")),
         "distinct")
-    # A radius of a quarter of the bits reaches every shard, so a fingerprint is sent to all of its
+    # A radius of a third of the bits reaches every shard, so a fingerprint is sent to all of its
     # two zones; shards as large as a task can hold keep that small.
-    near = materialize(near_links(distinct.select("key", "print", "zone"), radius, 2, beside=True,
+    near = materialize(near_links(distinct.select("key", "print", "zone"), radius, PRINT, beside=True,
                                   shard_rows=WIDE_ROWS), "near")
     ends = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
     some = ends.join(distinct, "key").select("key", "print", "zone", F.col("first.row").alias("row"))
     said = f"doc.`{text}`"
     sets = materialize(some.join(rows.select("row", F.col(said).alias("said")), "row").select(
-        "key", "print", "zone", prints("said", words, 2, sets=True).alias("p")).select(
+        "key", "print", "zone", prints("said", words, PRINT, sets=True).alias("p")).select(
         "key", "print", "zone", "p.shingle_set"), "sets")
-    roots = components(near_links(sets, radius, 2, share, beside=True)).withColumnRenamed("node", "key")
+    roots = components(near_links(sets, radius, PRINT, share, beside=True)).withColumnRenamed("node", "key")
     grouped = distinct.select("key", "first").join(roots, "key", "left").withColumn(
         "root", F.coalesce("root", "key"))
     kept = materialize(grouped.groupBy("root").agg(F.min("first").alias("first")), "kept")

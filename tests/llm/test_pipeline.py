@@ -59,6 +59,17 @@ def near_copies(n, seed):
     return texts[:n]
 
 
+def test_no_link_is_lost_at_the_border(spark):
+    """Pairs of a similarity of 0.8 exactly, of 5 and 4 shingles, whose fingerprints differ most."""
+    texts = []
+    for i in range(600):
+        found = [f"w{i}x{k}" for k in range(9)]
+        texts += [" ".join(found), " ".join(found[:8])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = simhash.drop_near_duplicates(docs).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 1200, 2))
+
+
 @pytest.mark.parametrize("shards", [None, 8])
 def test_near_duplicates_against_all_pairs(spark, monkeypatch, shards):
     if shards:
