@@ -23,7 +23,7 @@ SHARD_ROWS = 16384   # vectors a shard aims at
 SHARDS = 32          # shards at least, so that small tables are spread as well
 LEAF_ROWS = 128
 BLOCK = 256          # queries worked at once
-LARGEST = 1 << 26    # larger components could take a score beyond 64 bits
+LARGEST = 1 << 63    # whole numbers from here on do not fit into a long
 LOW = -(1 << 63)
 
 
@@ -94,11 +94,18 @@ class Best:
 
 
 def scores(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exactly: in doubles where they hold every sum."""
+    """Inner products of whole numbers, exactly: in doubles where they hold every sum, then in longs,
+    then in Python's integers, which is an error if a score does not fit into a long."""
     top = np.abs(queries).max(initial=0.0) * np.abs(points).max(initial=0.0) * queries.shape[1]
     if top < 2.0**53:
         return (queries @ points.T).astype(np.int64)
-    return queries.astype(np.int64) @ points.T.astype(np.int64)
+    queries, points = queries.astype(np.int64), points.astype(np.int64)
+    if top < 2.0**62:
+        return queries @ points.T
+    found = queries.astype(object) @ points.T.astype(object)
+    if found.size and not LOW <= found.min() <= found.max() < -LOW:
+        raise OverflowError("an inner product of whole numbers does not fit into 64 bits")
+    return found.astype(np.int64)
 
 
 def search_block(tree: BallTree, ids: np.ndarray, queries: np.ndarray, own: np.ndarray,
@@ -130,10 +137,16 @@ def search_block(tree: BallTree, ids: np.ndarray, queries: np.ndarray, own: np.n
 
 
 def whole_numbers(vector: Column) -> Column:
-    """floor(64 x) of every component; null if the vector or any component cannot be taken."""
+    """floor(64 x) of every component; null if the vector or a component is null or not finite. A
+    finite component whose floor(64 x) does not fit into a long is an error."""
+    def all_below(limit: float) -> Column:
+        return F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) * 64 < limit, F.lit(False)))
+
     scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * 64))
-    fits = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) * 64 < LARGEST, F.lit(False)))
-    return F.when(fits, scaled)
+    finite = F.forall(vector, lambda x: F.coalesce(
+        F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    too_large = F.raise_error(F.lit("floor(64 x) of a component does not fit into a long"))
+    return F.when(all_below(float(LARGEST)), scaled).when(finite, too_large.cast("array<long>"))
 
 
 def _searcher(k: int):

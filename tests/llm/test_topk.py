@@ -1,5 +1,7 @@
 """Exact top-k: SQL twin and brute force."""
 
+import math
+
 import numpy as np
 import pytest
 from conftest import SMALL
@@ -57,6 +59,24 @@ def test_large_whole_numbers_stay_exact():
     assert topk.scores(a, a)[0, 0] == 64 * (2**25 + 1) ** 2
 
 
+def test_large_components_take_part(spark):
+    big = [2.0**20, 2.0**22 + 0.5, -(2.0**21), 2.0**25 + 0.25, 3.0, -7.5, 0.25, 2.0**23]
+    rows = [(i, [x, 1.0, -x / 3]) for i, x in enumerate(big)]
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    want = []
+    for q in (0, 3, 6):
+        found = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q)
+        want += [(q, rank, i, -score) for rank, (score, i) in enumerate(found, 1)]
+    assert ours(spark, rows, 20) == want
+
+
+def test_scores_beyond_doubles_and_longs():
+    a, b = np.array([[2.0**40, 2.0**40, 3.0]]), np.array([[2.0**30, -(2.0**30), 5.0]])
+    assert topk.scores(a, b)[0, 0] == 15
+    with pytest.raises(OverflowError):
+        topk.scores(a, a)
+
+
 def test_a_bound_is_never_below_a_score():
     chance = np.random.default_rng(1)
     points, queries = chance.integers(-99, 99, (500, 9)) * 1.0, chance.integers(-99, 99, (40, 9)) * 1.0
