@@ -1,7 +1,8 @@
 """The queries of this package: importing the operators registers them."""
 
 from millrace.llm import (  # noqa: F401
-    language_model, licences, mixing, pieces, quality_rules, sharding, simhash, token_counts, topk, urls,
+    byte_bpe, language_model, licences, mixing, pieces, quality_rules, sharding, simhash,
+    token_counts, topk, urls,
 )
 from millrace.llm.common import ORACLES, QUERIES
 
