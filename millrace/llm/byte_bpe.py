@@ -23,7 +23,7 @@ from millrace.llm.common import query, table
 SEGMENT = 1 << 16    # characters that are encoded in one call, up to the next safe place
 LONG_RUN = 1 << 12   # white space of so many characters is a segment of its own
 # The characters of the Unicode property White_Space, which is what \s stands for.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SAFE = re.compile(f"[^{SPACE}](?=[{SPACE}])")
 
 
