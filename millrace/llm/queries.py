@@ -1,8 +1,8 @@
 """The queries of this package: importing the operators registers them."""
 
 from millrace.llm import (  # noqa: F401
-    byte_bpe, language_model, licences, mixing, pieces, quality_rules, resampling, sharding, simhash,
-    token_counts, topk, urls,
+    byte_bpe, collocations, language_model, licences, mixing, pieces, quality_rules, resampling,
+    sharding, simhash, token_counts, topk, urls,
 )
 from millrace.llm.common import ORACLES, QUERIES
 
