@@ -92,7 +92,7 @@ def _one_pass(entities, keys, group, views, timestamp, full_names, limits) -> Da
             *[payload.cast(kinds[n]).alias(f"_v_{n}") if n == name else empty(n)
               for n, _ in group],
         ))
-    newest = {f"_v_{name}": F.col(f"_v_{name}") for name, _ in group}
+    newest = {f"_n_{name}": F.col(f"_v_{name}") for name, _ in group}
     # Feature rows of equal time and creation are settled by their values.
     values = [F.to_json(F.col(f"_v_{name}")) for name, _ in group]
     rows = rows.withColumn("_value", F.concat_ws(",", *values))
@@ -100,7 +100,7 @@ def _one_pass(entities, keys, group, views, timestamp, full_names, limits) -> Da
                           lambda s: s.last_known(**newest), **limits).where("_side = 1")
     columns, empties = [], []
     for name, features in group:
-        seen = F.col(f"_v_{name}")
+        seen = F.col(f"_n_{name}")
         oldest = F.col("_ts") - F.expr(f"interval {int(views[name][0].ttl.total_seconds())} second")
         columns += [
             F.when(seen["at"] >= oldest, seen[f])

@@ -37,8 +37,7 @@ def stock_indicators(df: DataFrame, *, symbol: str = "symbol", order: list[str],
         )
 
     def indicators(series: Series) -> Series:
-        filled = series.last_known(_filled=F.col(close))
-        return filled.rolling(n, build).ewm(close, n, f"ema_{n}")
+        return series.last_known(_filled=F.col(close)).rolling(n, build).ewm(close, n, f"ema_{n}")
 
     return over_series(df, [symbol], order, indicators, **limits).drop("_filled")
 
@@ -57,8 +56,8 @@ def tick_indicators(df: DataFrame, *, symbol: str = "symbol", order: list[str],
     value = F.col(price) * F.col(volume)
 
     def indicators(series: Series) -> Series:
-        filled = series.last_known(_filled=F.col(price))
-        return filled.running(_pv=value, _v=F.col(volume)).rolling(10, build)
+        return series.scan(known={"_filled": F.col(price)},
+                           running={"_pv": value, "_v": F.col(volume)}).rolling(10, build)
 
     rows = over_series(df, [symbol], order, indicators, **limits)
     vwap = F.try_divide(F.col("_pv").cast("double"), F.col("_v").cast("double"))
@@ -137,8 +136,8 @@ def ffill_bfill(df: DataFrame, cols: list[str], *, keys: list[str], order: list[
     df = nan_to_null(df, cols)
 
     def fills(series: Series) -> Series:
-        return series.last_known(**{f"_f_{c}": F.col(c) for c in cols}).next_known(
-            **{f"_b_{c}": F.col(c) for c in cols})
+        return series.scan(known={f"_f_{c}": F.col(c) for c in cols},
+                           following={f"_b_{c}": F.col(c) for c in cols})
 
     filled = {c: F.coalesce(f"_f_{c}", f"_b_{c}") for c in cols}
     return over_series(df, keys, order, fills, **limits).withColumns(filled).drop(

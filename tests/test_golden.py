@@ -11,7 +11,6 @@ from millrace.functions.udfs import inventory_score_udf
 from millrace.operators import aggregates as agg
 from millrace.operators import alerts, features, joins, learning, quality, series, warehouse
 from millrace.operators.features import FeatureView
-from millrace.operators.ordered import join_unique
 
 
 @pytest.fixture(scope="module")
@@ -352,15 +351,6 @@ def test_fact_sales_shares_order_costs(spark):
     assert [found[i]["tax_amount"] for i in (1, 2)] == [3.0, 1.0]
 
 
-def test_join_of_a_large_key(spark):
-    rows = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 50), (None, 51), (9, 52)],
-                                 "k long, v long")
-    heads = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, name string")
-    plain = rows.join(heads, "k")
-    split = join_unique(rows, heads, "k", max_rows=10)
-    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
-
-
 def test_fingerprint_ignores_order_only(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "")], "i int, s string")
     base = learning.fingerprint(df).first()

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from millrace.operators import features, quality, series
 from millrace.operators.alerts import counter_rate
-from millrace.operators.ordered import Series, largest_key, number_rows, over_series
+from millrace.operators.ordered import Series, number_rows, over_series
 from millrace.plans import features as feature_plans
 from millrace.plans import markets, monitoring
 
-HOT = {"max_rows": 0, "block_rows": 32}
+HOT = {"block_rows": 32}
 
 
 @pytest.fixture(scope="module")
@@ -53,47 +53,70 @@ def expect(pdf, compute):
 
 
 def both(df):
-    return [Series.whole(df, ["k"], ["t"]),
-            Series.blocks(df, ["k"], ["t"], HOT["block_rows"])]
+    return [Series.of(df, ["k"], ["t"]), Series.of(df, ["k"], ["t"], HOT["block_rows"])]
 
 
-def test_only_large_keys_go_through_blocks(skewed):
+def test_only_large_keys_are_cut(skewed):
     df, pdf = skewed
-    hot_rows = int((pdf["k"] == "hot").sum())
-    assert largest_key(df, ["k"]) == hot_rows
-    seen = []
-
-    def build(s):
-        seen.append((s.split, {r["k"] for r in s.df.select("k").distinct().collect()}))
-        return s.last_known(f=F.col("x")).rolling(
-            1, lambda d, w: d.withColumn("p", F.lag("x").over(w)))
-
-    rows = over_series(df, ["k"], ["t"], build, max_rows=hot_rows - 1, block_rows=32)
-    assert seen == [(False, {"a", "b", "c"}), (True, {"hot"})]
-    same(by_row(rows, "f"), expect(pdf, lambda x: x.ffill()))
-    same(by_row(rows, "p"), expect(pdf, lambda x: x.shift()))
-    seen.clear()
-    over_series(df, ["k"], ["t"], build, max_rows=hot_rows)
-    assert [split for split, _ in seen] == [False]
+    sizes = pdf.groupby("k").size()
+    cut = Series.of(df, ["k"], ["t"], 64).df.groupBy("k", "_block").count().collect()
+    assert {r["k"] for r in cut if r["_block"] is None} == set(sizes[sizes <= 64].index)
+    hot = sorted((r["_block"], r["count"]) for r in cut if r["k"] == "hot")
+    full, rest = divmod(int(sizes["hot"]), 64)
+    assert hot == [(i, 64) for i in range(full)] + [(full, rest)]
+
+
+def test_sampled_cuts_are_near_the_size_asked_for(spark):
+    df = spark.range(200_000).selectExpr("id as t", "id % 3 = 0 as k", "xxhash64(id) as noise")
+    sizes = Series.of(df, ["k"], ["noise"], 10_000).df.groupBy("k", "_block").count().toPandas()
+    full = sizes[sizes["_block"] < sizes.groupby("k")["_block"].transform("max")]
+    assert 4_000 < full["count"].min() and full["count"].max() < 18_000
+    assert sizes["count"].sum() == 200_000
+
+
+def test_no_job_before_the_action(spark, skewed):
+    tracker, group = spark.sparkContext.statusTracker(), "no-job-before-the-action"
+    df = skewed[0]
+    spark.sparkContext.setJobGroup(group, "planning")
+    try:
+        over_series(df, ["k"], ["t"], lambda s: s.last_known(f=F.col("x")).running(n=F.lit(1))
+                    .rolling(2, lambda d, w: d.withColumn("p", F.lag("x").over(w)))
+                    .ewm("x", 20, "y"), block_rows=32)
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_without_cuts_the_plan_that_runs_is_a_plain_window(skewed):
+    rows = over_series(skewed[0], ["k"], ["t"], lambda s: s.running(n=F.lit(1)).rolling(
+        1, lambda d, w: d.withColumn("p", F.lag("x").over(w))))
+    rows.collect()
+    final = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" not in final and "Union" not in final
+    assert final.count("ShuffleQueryStage") == 1
 
 
 def test_null_keys_and_copies(spark):
-    """A null key and identical rows are split like any others."""
-    df = spark.createDataFrame([(None, 1)] * 90 + [("a", 1)] * 10, "k string, t int")
-    rows = over_series(df, ["k"], ["t"], lambda s: s.running(n=F.lit(1)), max_rows=20,
-                       block_rows=16)
+    """A null key is cut like any other; rows that are equal in the order stay in one block."""
+    df = spark.createDataFrame([(None, 1)] * 90 + [("a", 1)] * 10 + [("b", i) for i in range(40)],
+                               "k string, t int")
+    rows = over_series(df, ["k"], ["t"], lambda s: s.running(n=F.lit(1)), block_rows=16)
     found = sorted((r["k"] or "", r["n"]) for r in rows.collect())
-    assert found == [("", i) for i in range(1, 91)] + [("a", i) for i in range(1, 11)]
-    parts = number_rows(df, ["k"], ["t"]).groupBy("k").agg(
-        F.max("_row"), F.count_distinct("_row")).collect()
-    assert sorted(tuple(r)[1:] for r in parts) == [(10, 10), (90, 90)]
+    assert found == [("", i) for i in range(1, 91)] + [("a", i) for i in range(1, 11)] + [
+        ("b", i) for i in range(1, 41)]
+    mixed = spark.createDataFrame([(None, i if i % 3 else None) for i in range(90)],
+                                  "k string, t int")
+    parts = number_rows(mixed, ["k"], ["t"], block_rows=16).agg(
+        F.max("_row"), F.count_distinct("_row"), F.max(F.when(F.col("t").isNull(), F.col("_row")))
+    ).first()
+    assert tuple(parts) == (90, 90, 30)
 
 
 def test_number_rows(skewed):
     df, pdf = skewed
     found = by_row(number_rows(df, ["k"], ["t"], "n"), "n")
     same(found, expect(pdf, lambda x: range(1, len(x) + 1)))
-    total = by_row(number_rows(df, [], ["t"], "n"), "n")
+    total = by_row(number_rows(df, [], ["t"], "n", block_rows=50), "n")
     assert sorted(total.values()) == list(range(1, 601))
     assert all(n == t + 1 for t, n in total.items())
 
@@ -129,6 +152,21 @@ def test_rolling(skewed, hot):
     assert rows.count() == len(pdf)
 
 
+def test_ewm_over_long_runs_of_nulls_stays_in_blocks(spark):
+    """5,000 nulls between values and a span of a million rows."""
+    n, block = 20_000, 500
+    pdf = pd.DataFrame({"t": range(n)})
+    pdf["x"] = np.where(pdf["t"] % 5000 == 7, pdf["t"] * 0.5, np.nan)
+    pdf["z"] = np.sin(pdf["t"])
+    df = spark.range(n).selectExpr(
+        "'k' as k", "id as t", "if(id % 5000 = 7, id * 0.5, null) as x", "sin(id) as z")
+    series_ = Series.of(df, ["k"], ["t"], block)
+    assert series_.df.groupBy("_block").count().agg(F.max("count")).first()[0] < 2 * block
+    for col, span in (("x", 20), ("x", 10**6), ("z", 10**6), ("z", 5)):
+        rows = series_.ewm(col, span, "y").rows()
+        same(by_row(rows, "y"), dict(zip(pdf["t"], pdf[col].ewm(span=span, adjust=False).mean())))
+
+
 @pytest.mark.parametrize("span", [3, 20, 400])
 @pytest.mark.parametrize("hot", [0, 1])
 def test_ewm(skewed, hot, span):
