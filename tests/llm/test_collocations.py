@@ -86,7 +86,7 @@ def test_longest_is_a_parameter(spark, rows):
 
 
 def test_prints_are_those_of_the_stretch():
-    text = own.Text([b"ab  ab\tc", b"x ab c"], np.zeros(2, np.uint64), own.Sizes())
+    text = own.Text([b"ab  ab c", b"x ab c"], np.zeros(2, np.uint64), own.Sizes())
     assert text.data.tobytes() == b"ab ab c x ab c "
     first = text.sequences(2)
     assert first.tolist() == [0, 1, 3, 4]
@@ -98,9 +98,9 @@ def test_prints_are_those_of_the_stretch():
 def test_very_long_text_and_empty_table(spark):
     text = "alpha beta gamma. " * 300_000
     got = mined(spark, [(text, "en"), ("word " * 1000, "en")])
-    assert [(r[2], r[3]) for r in got] == [("alpha beta gamma", 300_000), ("word word", 999),
-                                           ("word word word", 998)][:1] + [
-        (r[2], r[3]) for r in got[1:]]
+    assert {r[2]: r[3] for r in got} == {
+        "alpha beta gamma": 300_000, "word word": 999, "word word word": 998,
+        "word word word word": 997, "word word word word word": 996}
     docs = spark.createDataFrame([], "text string, lang string")
     assert own.mine_collocations(docs).collect() == []
 
