@@ -111,19 +111,48 @@ def business_analytics(inventory: DataFrame, items: DataFrame, orders: DataFrame
 _INSIGHT_KEYS = ["product_name", "city", "warehouse_code", "inventory_score", "quantity"]
 
 
-def business_insights(view: DataFrame) -> DataFrame:
-    """Demand per stock position over the rows of `business_analytics`.
+def business_insights(inventory: DataFrame, items: DataFrame, orders: DataFrame,
+                      customers: DataFrame, analytics: DataFrame, *, as_of,
+                      days: int = 30) -> DataFrame:
+    """Demand per stock position, as over the rows of `business_analytics`.
 
     A customer with several rows of analytics repeats each of their items, so the sums count it
     several times; `business_insights_by_customer` counts each item once.
+
+    Nothing is fanned out for that: analytics are summed per customer, items per product and order
+    (which splits a hot product) and then per product, and stock meets one row per product. The
+    orders of a product are counted there; only where products of one name share a position's
+    figures are their orders told apart again.
     """
+    value = F.col("avg_order_value").cast("decimal(18,6)")
+    newest = orders.where(recent("order_date", days, as_of)).select("order_id", "customer_id")
+    figures = analytics.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("_copies"), F.sum(value).alias("_value"),
+        F.count(value).alias("_values")).join(customers.select("customer_id"), "customer_id", "semi")
+    sold = items.select("order_id", "product_id", F.col("quantity").alias("_quantity")).join(
+        newest, "order_id").join(figures, "customer_id", "left")
+    pairs = sold.groupBy("product_id", "order_id").agg(
+        F.sum(F.col("_quantity") * F.coalesce("_copies", F.lit(1))).alias("_quantity"),
+        F.sum("_value").alias("_value"), F.sum("_values").alias("_values"))
+    demand = pairs.groupBy("product_id").agg(
+        *[F.sum(c).alias(c) for c in ("_quantity", "_value", "_values")],
+        F.count(F.lit(1)).alias("_orders"))
+    found = inventory.join(demand, "product_id").groupBy(*_INSIGHT_KEYS).agg(
+        F.sum("_quantity").alias("total_ordered"), F.max("_orders").alias("_orders"),
+        F.try_divide(F.sum("_value").cast("double"), F.sum("_values"))
+        .alias("customer_avg_order_value"),
+        F.min("product_id").alias("_one"), F.max("product_id").alias("_other"))
+
+    keys = F.struct(*_INSIGHT_KEYS)
+    shared = found.where("_one <> _other").select(keys.alias("_keys"))
+    holders = inventory.select("product_id", keys.alias("_keys")).distinct().join(shared, "_keys", "semi")
+    apart = pairs.select("product_id", "order_id").join(holders, "product_id").groupBy("_keys").agg(
+        F.count_distinct("order_id").alias("_apart"))
     return (
-        view.groupBy(*_INSIGHT_KEYS).agg(
-            F.sum("ordered_quantity").alias("total_ordered"),
-            F.count_distinct("order_id").alias("number_of_orders"),
-            mean_of(F.col("avg_order_value").cast("decimal(18,6)"))
-            .alias("customer_avg_order_value"),
-        )
+        found.withColumn("_keys", F.when(F.col("_one") != F.col("_other"), keys))
+        .join(apart, "_keys", "left")
+        .select(*_INSIGHT_KEYS, "total_ordered",
+                F.coalesce("_apart", "_orders").alias("number_of_orders"), "customer_avg_order_value")
         .withColumnRenamed("quantity", "current_stock")
         .orderBy(F.desc("inventory_score"), "product_name", "city", "warehouse_code",
                  "current_stock")

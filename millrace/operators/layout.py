@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import datetime
 import time
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import daily_sales_stats
@@ -19,6 +18,48 @@ def write_clustered(df: DataFrame, cols: list[str], path: str, parts: int | None
     ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
 
 
+RANK_BITS = 8  # bits of a column's rank in the curve
+
+
+def curve_position(df: DataFrame, cols: list[str], bits: int = RANK_BITS) -> DataFrame:
+    """`df` with `_curve`: the bits of the range ranks of numeric, date or time columns interleaved, so
+    that rows near in all columns are near in it.
+
+    The rank of a value is the number of cut points at or before it; the 2**bits - 1 cut points of a
+    column are quantiles, taken in the same plan by one aggregate. A null comes first.
+    """
+    def number(c: str) -> str:
+        kind = df.schema[c].dataType.typeName()
+        if kind == "date":
+            return f"unix_date(`{c}`)"
+        if kind.startswith("timestamp"):
+            return f"unix_micros(cast(`{c}` as timestamp))"
+        return f"cast(`{c}` as double)"
+
+    shares = f"array({', '.join(f'{i / 2 ** bits}D' for i in range(1, 2 ** bits))})"
+    cuts = df.select(F.expr("struct(" + ", ".join(
+        f"array_sort(array_distinct(percentile_approx({number(c)}, {shares}))) as c{i}"
+        for i, c in enumerate(cols)) + ")")).scalar()
+    ranked = df.withColumn("_cuts", cuts)
+    ranks = [f"""coalesce(aggregate(transform(sequence({bits - 1}, 0, -1), b -> shiftleft(1, b)), 0,
+        (at, step) -> if(at + step <= size(_cuts.c{i}) and get(_cuts.c{i}, at + step - 1) <= {number(c)},
+                         at + step, at)), 0)""" for i, c in enumerate(cols)]
+    ranked = ranked.selectExpr("*", *[f"{r} as _rank{i}" for i, r in enumerate(ranks)])
+    mixed = " | ".join(
+        f"shiftleft(cast(shiftright(_rank{i}, {b}) & 1 as bigint), {b * len(cols) + i})"
+        for b in range(bits) for i in range(len(cols)))
+    return ranked.selectExpr(*[f"`{c}`" for c in df.columns], f"{mixed} as _curve")
+
+
+def write_interleaved(df: DataFrame, cols: list[str], path: str, parts: int,
+                      bits: int = RANK_BITS) -> None:
+    """Files hold stretches of a space-filling curve over `cols`, so filters on any of these columns
+    skip row groups; clustering by a list of columns serves the first one only."""
+    placed = curve_position(df, cols, bits)
+    placed.repartitionByRange(parts, "_curve", *cols).sortWithinPartitions("_curve", *cols).drop(
+        "_curve").write.mode("overwrite").parquet(path)
+
+
 def write_partitioned(df: DataFrame, cols: list[str], path: str,
                       max_records: int = 5_000_000) -> None:
     """One directory per value of `cols`. REBALANCE lets AQE split a large value over several tasks
@@ -55,65 +96,117 @@ def fan_out(df: DataFrame, targets: dict[str, tuple[list[str], dict]], root: str
 
 # -- maintained daily statistics --------------------------------------------------------------
 
-def _with_month(df: DataFrame, date: str) -> DataFrame:
-    """Keeps a month column the table is partitioned by, so that a filter on it prunes files."""
-    if "sale_month" in df.columns:
-        return df
-    return df.withColumn("sale_month", F.date_format(date, "yyyy-MM"))
-
-
 def create_daily_sales(base: DataFrame, path: str, *, date: str = "sale_date",
-                       high: float = 500) -> None:
-    stats = _with_month(daily_sales_stats(base, date=date, high=high), date)
-    write_partitioned(stats, ["sale_month"], path)
+                       amount: str = "amount", high: float = 500) -> None:
+    """The daily statistics in one directory per month, with the number of known amounts beside
+    them, so that sums and means can be taken back."""
+    stats = daily_sales_stats(base, date=date, amount=amount, high=high)
+    known = base.groupBy(F.col(date).alias("_day")).agg(F.count(amount).alias("_known"))
+    stats = stats.join(known, F.col(date).eqNullSafe(F.col("_day"))).drop("_day")
+    write_partitioned(stats.withColumn("sale_month", F.date_format(date, "yyyy-MM")),
+                      ["sale_month"], path)
+
+
+def _signed(added: DataFrame, removed: DataFrame, date: str, amount: str, high: float) -> DataFrame:
+    """One row per touched day: what to add to its sums and counts, and the extremes on both sides."""
+    rows = added.select(date, amount, F.lit(1).alias("_sign")).unionByName(
+        removed.select(date, amount, F.lit(-1).alias("_sign")))
+    value, sign = F.col(amount), F.col("_sign")
+    known, big = value.isNotNull().cast("int"), F.coalesce((value > high).cast("int"), F.lit(0))
+    new, old = F.when(sign > 0, value), F.when(sign < 0, value)
+    return rows.groupBy(F.col(date).alias("_day")).agg(
+        F.sum(sign * value).alias("d_revenue"), F.sum(sign).alias("d_count"),
+        F.sum(sign * known).alias("d_known"), F.sum(sign * big).alias("d_high"),
+        F.min(new).alias("new_min"), F.max(new).alias("new_max"),
+        F.min(old).alias("old_min"), F.max(old).alias("old_max"))
+
+
+def _day_ranges(days: list[datetime.date]) -> list[tuple[datetime.date, datetime.date]]:
+    """Runs of days as (first, day after the last)."""
+    runs: list[list[datetime.date]] = []
+    for day in sorted(days):
+        if runs and runs[-1][1] == day:
+            runs[-1][1] = day + datetime.timedelta(days=1)
+        else:
+            runs.append([day, day + datetime.timedelta(days=1)])
+    return [(a, b) for a, b in runs]
 
 
-def refresh_daily_sales(base: DataFrame, changed: DataFrame, path: str, *,
-                        date: str = "sale_date", high: float = 500) -> None:
-    """Recompute the months touched by the changed rows and overwrite only those; a month that has
-    no rows left goes.
+def refresh_daily_sales(base: DataFrame, path: str, *, added: DataFrame | None = None,
+                        removed: DataFrame | None = None, date: str = "sale_date",
+                        amount: str = "amount", high: float = 500) -> list[datetime.date]:
+    """Bring the statistics up to date with rows that came and rows that were taken back.
 
-    The touched months, a list bounded by the calendar, become date ranges on the bare column, so
-    the base is read for them alone.
+    Sums and counts change by signed rows. A smallest or largest amount is worked out again only for
+    days from which it was taken, and only these days of `base`, the table after the change, are
+    read; they are returned. Months that were not touched keep their files, one that has no rows left
+    goes. Amounts should be decimal, as sums of doubles cannot be taken back exactly. Days and months
+    that come to the driver are bounded by the calendar. `date` is a date without nulls.
     """
-    months = sorted(r[0] for r in changed.select(F.trunc(F.col(date).cast("date"), "month"))
-                    .distinct().collect() if r[0] is not None)
+    spark, nothing = base.sparkSession, base.limit(0)
+    deltas = materialize(_signed(nothing if added is None else added,
+                                 nothing if removed is None else removed, date, amount, high), "deltas")
+    months = sorted(r[0] for r in deltas.select(F.date_format("_day", "yyyy-MM")).distinct().collect()
+                    if r[0])
     if not months:
-        return
-    ranges = []
-    for first in months:
-        after = (first + datetime.timedelta(days=32)).replace(day=1)
-        if ranges and ranges[-1][1] == first:
-            ranges[-1][1] = after
-        else:
-            ranges.append([first, after])
-    inside = reduce(lambda a, b: a | b, [(F.col(date) >= F.lit(low)) & (F.col(date) < F.lit(high))
-                                         for low, high in ranges])
-    stats = _with_month(daily_sales_stats(base.where(inside), date=date, high=high), date)
-    (stats.hint("rebalance", "sale_month").write.option("partitionOverwriteMode", "dynamic")
+        return []
+    stored = spark.read.parquet(path)
+    touched = stored.where(F.col("sale_month").cast("string").isin(months)).drop("sale_month")
+    kinds = {f.name: f.dataType for f in touched.schema}
+    both = touched.join(deltas, F.col(date) == F.col("_day"), "full")
+
+    def total(column: str, change: str) -> Column:
+        return (F.coalesce(column, F.lit(0)) + F.coalesce(change, F.lit(0))).cast(
+            kinds[column]).alias(column)
+
+    merged = materialize(both.select(
+        F.coalesce(date, "_day").alias(date),
+        F.when(F.coalesce("_known", F.lit(0)) + F.coalesce("d_known", F.lit(0)) > 0,
+               total("daily_revenue", "d_revenue")).alias("daily_revenue"),
+        total("transaction_count", "d_count"), total("_known", "d_known"),
+        total("high_value_transactions", "d_high"),
+        F.least("min_transaction", "new_min").alias("min_transaction"),
+        F.greatest("max_transaction", "new_max").alias("max_transaction"),
+        ((F.col("old_min") <= F.col("min_transaction"))
+         | (F.col("old_max") >= F.col("max_transaction"))).alias("_lost"),
+    ).where("transaction_count > 0"), "merged")
+    lost = [r[0] for r in merged.where("_lost").select(F.col(date).cast("date")).collect()]
+    if lost:
+        # As text: Spark's parser makes a balanced tree of many ranges.
+        inside = " or ".join(f"(`{date}` >= date'{low}' and `{date}` < date'{after}')"
+                             for low, after in _day_ranges(lost))
+        again = base.where(inside).groupBy(F.col(date).alias("_day")).agg(
+            F.min(amount).alias("_min"), F.max(amount).alias("_max"))
+        merged = merged.join(again, F.col(date) == F.col("_day"), "left").withColumns({
+            "min_transaction": F.when(F.col("_lost"), F.col("_min")).otherwise(F.col("min_transaction")),
+            "max_transaction": F.when(F.col("_lost"), F.col("_max")).otherwise(F.col("max_transaction"))})
+    mean = F.try_divide(F.col("daily_revenue").cast("double"), F.col("_known"))
+    final = materialize(
+        merged.withColumn("avg_transaction_value", mean).select(*touched.columns)
+        .withColumn("sale_month", F.date_format(date, "yyyy-MM")), "refreshed")
+    (final.hint("rebalance", "sale_month").write.option("partitionOverwriteMode", "dynamic")
      .partitionBy("sale_month").mode("overwrite").parquet(path))
     # The overwrite replaces months that have rows; the others are taken away.
-    spark = base.sparkSession
-    left = {r[0] for r in spark.read.parquet(path).where(
-        F.col("sale_month").cast("string").isin([f"{m:%Y-%m}" for m in months])).where(inside)
-        .select(F.date_format(date, "yyyy-MM")).distinct().collect()}
-    still = {r[0] for r in stats.select("sale_month").distinct().collect()}
+    still = {r[0] for r in final.select("sale_month").distinct().collect()}
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for month in left - still:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/sale_month={month}"), True)
+    for month in months:
+        if month not in still:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/sale_month={month}"), True)
+    return sorted(lost)
 
 
 def read_daily_sales(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("sale_month")
+    return spark.read.parquet(path).drop("sale_month", "_known")
 
 
 # -- comparison -------------------------------------------------------------------------------
 
 def _scan_metrics(df: DataFrame) -> dict[str, int]:
-    """Files and bytes of the scans of an executed plan."""
-    totals = {"files": 0, "bytes": 0}
-    names = {"numFiles": "files", "filesSize": "bytes"}
+    """Files and bytes of the scans of an executed plan, and the rows that they handed on: rows of
+    skipped row groups are not among them."""
+    totals = {"files": 0, "bytes": 0, "scanned": 0}
+    names = {"numFiles": "files", "filesSize": "bytes", "numOutputRows": "scanned"}
     todo = [df._jdf.queryExecution().executedPlan()]
     while todo:
         node = todo.pop()
@@ -124,7 +217,7 @@ def _scan_metrics(df: DataFrame) -> dict[str, int]:
             todo.append(node.plan())
         metrics = node.metrics()
         for metric, name in names.items():
-            if metrics.contains(metric):
+            if metrics.contains("numFiles") and metrics.contains(metric):
                 totals[name] += metrics.apply(metric).value()
         children = node.children()
         todo += [children.apply(i) for i in range(children.size())]

@@ -39,11 +39,15 @@ def train_forest(df: DataFrame, features: list[str], label: str, trees: int = 10
     ]).fit(df)
 
 
+def accuracy(model: PipelineModel, df: DataFrame) -> float:
+    """Share of rows whose label is predicted."""
+    measure = MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy")
+    return float(measure.evaluate(model.transform(df)))
+
+
 def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame) -> DataFrame:
     """Accuracy on both sides as metric rows."""
-    measure = MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy")
-    rows = [("train_accuracy", float(measure.evaluate(model.transform(train)))),
-            ("test_accuracy", float(measure.evaluate(model.transform(test))))]
+    rows = [("train_accuracy", accuracy(model, train)), ("test_accuracy", accuracy(model, test))]
     return train.sparkSession.createDataFrame(rows, "metric string, value double")
 
 
@@ -65,13 +69,71 @@ def _text(col: str) -> Column:
     return F.coalesce(F.concat(F.length(said).cast("string"), F.lit(":"), said), F.lit("-"))
 
 
+def _row_digest(cols: list[str]) -> Column:
+    """60 bits of the digest of a row, as a number that can be summed."""
+    digest = F.md5(F.concat(*[_text(c) for c in cols]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
+
+
 def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Identity of a dataset version that does not depend on row order: the row count, the sum of
     60-bit row digests, and a digest of column names and types. Duplicated rows count."""
     cols = cols or df.columns
     shape = ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in cols)
-    digest = F.md5(F.concat(*[_text(c) for c in cols]).cast("binary"))
-    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"),
                   F.md5(F.lit(shape).cast("binary")).alias("schema_digest"),
-                  F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("digest"))
+                  F.coalesce(F.sum(_row_digest(cols)), F.lit(0)).cast("string").alias("digest"))
+
+
+def digest_tree(df: DataFrame, key: str, cols: list[str] | None = None, *, width: int = 4096,
+                fanout: int = 16, levels: int = 4) -> DataFrame:
+    """A dataset version as a tree of digests over ranges of a whole-number key: level, node, rows
+    and digest. A leaf (level 0) covers `width` keys, a node above it `fanout` nodes below.
+
+    Rows are summed per leaf on the map side, nodes above from the leaves. A null key has the node
+    null on every level. Stored beside a version, the tree tells later which ranges have changed
+    without the version itself.
+    """
+    cols = cols or df.columns
+    leaves = df.groupBy(F.floor(F.col(key) / width).alias("node")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(_row_digest(cols)).alias("digest"))
+    steps = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(fanout ** i).alias("size"))
+                      for i in range(levels)])
+    return leaves.withColumn("_step", F.explode(steps)).groupBy(
+        F.col("_step.level").alias("level"), F.floor(F.col("node") / F.col("_step.size")).alias("node")
+    ).agg(F.sum("rows").alias("rows"), F.sum("digest").cast("string").alias("digest"))
+
+
+def changed_ranges(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Nodes of two digest trees of one shape that differ: level and node."""
+    left, right = (t.select("level", F.col("node").alias("_node"), F.struct("rows", "digest").alias("_d"))
+                   for t in (old, new))
+    left, right = left.alias("l"), right.alias("r")
+    same_place = (F.col("l.level") == F.col("r.level")) & F.col("l._node").eqNullSafe(F.col("r._node"))
+    return left.join(right, same_place, "full").where(
+        ~F.col("l._d").eqNullSafe(F.col("r._d"))).select(
+        F.coalesce("l.level", "r.level").alias("level"), F.coalesce("l._node", "r._node").alias("node"))
+
+
+def changed_keys(old: DataFrame, new: DataFrame, key: str, cols: list[str] | None = None, *,
+                 width: int = 4096) -> DataFrame:
+    """Keys whose rows differ between two versions: key and `change` (added, removed or changed).
+
+    Only rows of leaves that differ are compared, as sums of row digests per key and side, so copies
+    of a row count and a hot key is combined on the map side.
+    """
+    cols = cols or new.columns
+    trees = [digest_tree(d, key, cols, width=width, levels=1) for d in (old, new)]
+    leaves = changed_ranges(*trees).select(F.col("node").alias("_leaf"))
+    sides = old.select(F.col(key).alias("_key"), _row_digest(cols).alias("_o"),
+                       F.lit(None).cast("decimal(20,0)").alias("_n")).unionByName(
+        new.select(F.col(key).alias("_key"), F.lit(None).cast("decimal(20,0)").alias("_o"),
+                   _row_digest(cols).alias("_n")))
+    inside = sides.join(leaves, F.floor(F.col("_key") / width).eqNullSafe(F.col("_leaf")), "left_semi")
+    summed = inside.groupBy("_key").agg(
+        F.count("_o").alias("_before"), F.count("_n").alias("_after"),
+        F.sum("_o").alias("_o"), F.sum("_n").alias("_n"))
+    change = F.when(F.col("_before") == 0, "added").when(F.col("_after") == 0, "removed").otherwise(
+        "changed")
+    return summed.where((F.col("_before") != F.col("_after")) | ~F.col("_o").eqNullSafe(F.col("_n"))
+                        ).select(F.col("_key").alias(key), change.alias("change"))

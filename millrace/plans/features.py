@@ -164,29 +164,66 @@ def dataset_fingerprint(spark, sf_dir):
                                          "o_totalprice", "o_orderpriority"])
 
 
-def _metrics_sql(year: int) -> str:
+CUT = "1999-06-16"  # orders before that day are the older version of the table
+
+
+def _metrics_sql(rows: str) -> str:
     return f"""(
-    SELECT 'orders' AS metric, count(*)::DOUBLE AS value FROM orders WHERE year(o_orderdate) = {year}
-    UNION ALL SELECT 'status_' || o_orderstatus, count(*)::DOUBLE FROM orders
-    WHERE year(o_orderdate) = {year} GROUP BY 1)"""
+    SELECT 'orders' AS metric, count(*)::DOUBLE AS value FROM {rows}
+    UNION ALL SELECT 'status_' || o_orderstatus, count(*)::DOUBLE FROM {rows} GROUP BY 1)"""
 
 
 @query("metrics_diff", f"""
+    WITH older AS (SELECT * FROM orders WHERE o_orderdate < DATE '{CUT}')
     SELECT coalesce(a.metric, b.metric) AS metric, a.value AS old, b.value AS new,
            b.value - a.value AS change
-    FROM {_metrics_sql(1996)} a FULL JOIN {_metrics_sql(1997)} b ON a.metric = b.metric
+    FROM {_metrics_sql('older')} a FULL JOIN {_metrics_sql('orders')} b ON a.metric = b.metric
 """)
 def metrics_diff(spark, sf_dir):
-    def metrics(year: int) -> DataFrame:
-        orders = table(spark, sf_dir, "orders").where(
-            (F.col("o_orderdate") >= _time(f"{year}-01-01"))
-            & (F.col("o_orderdate") < _time(f"{year + 1}-01-01")))
+    """The orders up to a day against all orders."""
+    def metrics(orders: DataFrame) -> DataFrame:
         states = orders.groupBy(F.concat(F.lit("status_"), "o_orderstatus").alias("metric")).agg(
             F.count(F.lit(1)).cast("double").alias("value"))
         return orders.agg(F.lit("orders").alias("metric"),
                           F.count(F.lit(1)).cast("double").alias("value")).unionByName(states)
 
-    return learning.metrics_diff(metrics(1996), metrics(1997))
+    orders = table(spark, sf_dir, "orders")
+    return learning.metrics_diff(metrics(orders.where(F.col("o_orderdate") < _time(CUT))),
+                                 metrics(orders))
+
+
+def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of the orders that together cover the table: the older one lacks the orders that
+    came later, the newer one lacks some that were taken back and has others corrected."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
+    key, state = F.col("o_orderkey"), F.col("o_orderstatus")
+    return (orders.where(F.col("o_orderdate") < _time(CUT)),
+            orders.where(key % 1013 != 0).withColumn(
+                "o_orderstatus", F.when(key % 997 == 5, F.lit("X")).otherwise(state)))
+
+
+@query("changed_keys", f"""
+    SELECT o_orderkey, CASE WHEN o_orderdate >= DATE '{CUT}' THEN 'added'
+                            WHEN o_orderkey % 1013 = 0 THEN 'removed' ELSE 'changed' END AS change
+    FROM orders WHERE CASE WHEN o_orderdate >= DATE '{CUT}' THEN o_orderkey % 1013 <> 0
+                           ELSE o_orderkey % 1013 = 0 OR o_orderkey % 997 = 5 END
+""")
+def changed_keys(spark, sf_dir):
+    return learning.changed_keys(*order_versions(spark, sf_dir), "o_orderkey", width=64)
+
+
+@query("changed_ranges", f"""
+    WITH c AS (SELECT DISTINCT o_orderkey // 64 AS leaf FROM orders
+               WHERE CASE WHEN o_orderdate >= DATE '{CUT}' THEN o_orderkey % 1013 <> 0
+                          ELSE o_orderkey % 1013 = 0 OR o_orderkey % 997 = 5 END)
+    SELECT DISTINCT level::INT AS level, leaf // (16 ** level)::BIGINT AS node
+    FROM c, (VALUES (0), (1), (2)) v(level)
+""")
+def changed_ranges(spark, sf_dir):
+    """The ranges of keys that differ, from stored trees of both versions."""
+    trees = [materialize(learning.digest_tree(v, "o_orderkey", width=64, levels=3), "tree")
+             for v in order_versions(spark, sf_dir)]
+    return learning.changed_ranges(*trees)
 
 
 @query("train_test_split", """
@@ -218,47 +255,54 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FIT_ROWS = 1000  # labelled rows that the forest is fitted on, about
 
+_SPLIT_SQL = """(
+    SELECT ('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey),
+                           1, 8))::BIGINT % 1000000 < 200000 AS test,
+           l_returnflag AS target FROM lineitem)"""
+
+
+def _fitted(spark: SparkSession, sf_dir: str, label: str) -> tuple:
+    """Train and test rows, the bounded rows that were fitted, the model and its reloaded copy."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = _lines(spark, sf_dir).withColumn("size", F.when(net < 20000, "small").when(
+        net < 60000, "medium").otherwise("large"))
+    train, test = learning.train_test_split(lines, _KEYS)
+    fitted = materialize(learning.bounded_rows(train, _KEYS, FIT_ROWS), "fitted")
+    model, path = learning.train_forest(fitted, _FEATURES, label), scratch(spark, "model")
+    learning.save_model(model, path)
+    return train, test, fitted, model, learning.PipelineModel.load(path)
 
-@query("train_forest", """
-    WITH s AS (SELECT ('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber || '|'
-                   || l_partkey), 1, 8))::BIGINT % 1000000 < 200000 AS test,
-                   CASE WHEN l_extendedprice * (1 - l_discount) < 20000 THEN 'small'
-                        WHEN l_extendedprice * (1 - l_discount) < 60000 THEN 'medium'
-                        ELSE 'large' END AS target
-               FROM lineitem)
-    SELECT 'train_rows' AS metric, (count(*) FILTER (WHERE NOT test))::DOUBLE AS value FROM s
-    UNION ALL SELECT 'test_rows', (count(*) FILTER (WHERE test))::DOUBLE FROM s
-    UNION ALL SELECT 'classes', count(DISTINCT target)::DOUBLE FROM s
-    UNION ALL SELECT 'train_beats_majority', 1 UNION ALL SELECT 'test_beats_majority', 1
-    UNION ALL SELECT 'reloaded_agrees', 1
+
+@query("train_forest", f"""
+    SELECT CASE WHEN test THEN 'test' ELSE 'train' END AS side, target, count(*) AS rows,
+           count(*)::DOUBLE AS predicted_rows
+    FROM {_SPLIT_SQL} s GROUP BY 1, 2
 """)
 def train_forest(spark, sf_dir):
-    """Fit, evaluate, store and reload the classifier: sizes, whether it is better on both sides
-    than the most frequent class, and whether the reloaded model says the same (of 100 fitted rows
-    99 at least: classes of equal votes are told apart by the last digits)."""
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    sized = _lines(spark, sf_dir).withColumn(
-        "target", F.when(net < 20000, "small").when(net < 60000, "medium").otherwise("large"))
-    train, test = learning.train_test_split(sized, _KEYS)
-    train = train.persist()
-    try:
-        fitted = learning.bounded_rows(train, _KEYS, FIT_ROWS)
-        model, path = learning.train_forest(fitted, _FEATURES, "target"), scratch(spark, "model")
-        learning.save_model(model, path)
-        loaded = learning.PipelineModel.load(path)
-        accuracy = {r["metric"]: r["value"] for r in learning.evaluate(loaded, train, test).collect()}
-        counts = {name: dict(side.groupBy("target").count().collect())
-                  for name, side in (("train", train), ("test", test))}
+    """The return flag learnt, stored, reloaded and predicted: rows per side and label, and how many
+    of them got a label predicted. How well is in `forest_accuracy`."""
+    train, test, _, _, model = _fitted(spark, sf_dir, "target")
+    sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return model.transform(sides).groupBy("side", "target").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("prediction").cast("double").alias("predicted_rows"))
+
+
+@query("forest_accuracy")
+def forest_accuracy(spark, sf_dir):
+    """Accuracies of the reloaded model on both sides and on the rows it was fitted on, the share of
+    the most frequent label, and the share of fitted rows on which stored and reloaded model agree;
+    for the return flag, which the columns do not tell, and for a class of net price, which they do."""
+    frames = []
+    for label in ("target", "size"):
+        train, test, fitted, model, loaded = _fitted(spark, sf_dir, label)
+        sides = {"train": train, "test": test, "fitted": fitted}
+        rows = [(f"{name}_accuracy", learning.accuracy(loaded, side)) for name, side in sides.items()]
+        counts = dict(train.groupBy(label).count().collect())
+        rows.append(("train_majority", max(counts.values()) / sum(counts.values())))
         said = [m.transform(fitted).select(*_KEYS, F.col("prediction").alias(f"p{i}"))
                 for i, m in enumerate((model, loaded))]
-        same = said[0].join(said[1], _KEYS).agg(
-            F.avg((F.col("p0") == F.col("p1")).cast("double"))).first()[0]
-        rows = [(f"{name}_rows", float(sum(c.values()))) for name, c in counts.items()]
-        rows += [(f"{name}_beats_majority", float(
-            accuracy[f"{name}_accuracy"] > max(c.values()) / sum(c.values())))
-            for name, c in counts.items()]
-        rows += [("classes", float(len(counts["train"].keys() | counts["test"].keys()))),
-                 ("reloaded_agrees", float(same >= 0.99))]
-        return spark.createDataFrame(rows, "metric string, value double")
-    finally:
-        train.unpersist()
+        rows.append(("reloaded_agrees", said[0].join(said[1], _KEYS).agg(
+            F.avg((F.col("p0") == F.col("p1")).cast("double"))).first()[0]))
+        frames.append(spark.createDataFrame(rows, "metric string, value double").withColumn(
+            "label", F.lit({"target": "return flag", "size": "price class"}[label])))
+    return frames[0].unionByName(frames[1])

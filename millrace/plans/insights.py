@@ -211,7 +211,9 @@ INSIGHTS_SQL = f"""
 
 @query("business_insights", INSIGHTS_SQL)
 def business_insights(spark, sf_dir):
-    return joins.business_insights(business_analytics(spark, sf_dir))
+    return joins.business_insights(
+        inventory_score(spark, sf_dir), items(spark, sf_dir), orders(spark, sf_dir),
+        customers(spark, sf_dir), customer_order_analytics(spark, sf_dir), as_of=AS_OF)
 
 
 def run_insights(spark: SparkSession, tables: dict[str, DataFrame], roots: list[str],
@@ -224,10 +226,10 @@ def run_insights(spark: SparkSession, tables: dict[str, DataFrame], roots: list[
         stored[name] = spark.read.parquet(paths[0]).drop("etl_timestamp")
     detailed = joins.detailed_inventory(stored["products"], stored["product_inventory"],
                                         stored["inventory_locations"])
-    view = joins.business_analytics(
+    insights = joins.business_insights(
         joins.inventory_analytics(detailed, run_date), stored["order_items"], stored["orders"],
         stored["customers"], agg.customer_order_analytics(stored["orders"]), as_of=run_date)
-    paths = write_snapshot(joins.business_insights(view), roots, "business_insights", run_date)
+    paths = write_snapshot(insights, roots, "business_insights", run_date)
     return spark.read.parquet(paths[-1])
 
 

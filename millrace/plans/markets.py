@@ -205,12 +205,16 @@ def trade_message_parse(spark, sf_dir):
         "timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-def _tick_stream(spark: SparkSession, sf_dir: str, order: str | None = None) -> DataFrame:
-    """The events as a stream of several files; a watermark needs a timestamp with time zone."""
+def _tick_stream(spark: SparkSession, sf_dir: str, order: str | None = None,
+                 untimed: int = 0) -> DataFrame:
+    """The events as a stream of several files; a watermark needs a timestamp with time zone. One
+    event in `untimed` has no time."""
     rows = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("timestamp"),
         "event_id", F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("double").alias("volume"))
+    if untimed:
+        rows = rows.withColumn("timestamp", F.when(F.col("event_id") % untimed != 0, F.col("timestamp")))
     return ingest.land_in_batches(rows, scratch(spark, "ticks"), order=order)
 
 
@@ -230,15 +234,29 @@ def stream_tick_windows(spark, sf_dir):
         c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
-@query("stream_vwap", f"""
+def _vwap_sql(time: str) -> str:
+    return f"""
     SELECT event_type AS symbol, event_id, price, volume::DOUBLE AS volume,
            ((sum(price::DECIMAL(18,2) * volume) OVER w)::DOUBLE
              / nullif((sum(volume) OVER w)::DOUBLE, 0))::DECIMAL(30,6)::DOUBLE AS vwap
-    FROM {TICKS} t
-    WINDOW w AS (PARTITION BY event_type ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING)
-""")
-def stream_vwap(spark, sf_dir):
+    FROM {TICKS} t WINDOW w AS (
+        PARTITION BY event_type ORDER BY {time} NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING)
+"""
+
+
+def _run_vwap(spark: SparkSession, sf_dir: str, untimed: int = 0) -> DataFrame:
     path = scratch(spark, "vwap")
-    ingest.run_available(ticks.stream_vwap(_tick_stream(spark, sf_dir, "timestamp"), path,
+    ingest.run_available(ticks.stream_vwap(_tick_stream(spark, sf_dir, "timestamp", untimed), path,
                                            scratch(spark, "checkpoint"), order=ORDER))
     return rounded(spark.read.parquet(f"{path}/rows").drop("batch_id", "timestamp"), "vwap")
+
+
+@query("stream_vwap", _vwap_sql("timestamp"))
+def stream_vwap(spark, sf_dir):
+    return _run_vwap(spark, sf_dir)
+
+
+@query("stream_vwap_untimed", _vwap_sql("CASE WHEN event_id % 13 <> 0 THEN timestamp END"))
+def stream_vwap_untimed(spark, sf_dir):
+    """Ticks without a time count, before all others."""
+    return _run_vwap(spark, sf_dir, 13)

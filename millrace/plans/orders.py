@@ -54,9 +54,10 @@ def _landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders as landed JSON lines, read as a stream."""
     path = scratch(spark, "orders_topic")
     # Dealt out at random, so every batch mixes times and copies meet across batches.
-    stream.to_messages(order_rows(spark, sf_dir), "product").select("value").repartition(
-        BATCHES).write.text(path)
-    return stream.order_stream(spark, {"format": "text", "path": path}, 1)
+    messages = stream.to_messages(order_rows(spark, sf_dir), "product").select("value")
+    files = max(1, -(-messages.count() // (BATCHES * ingest.FILE_ROWS)))
+    messages.repartition(BATCHES * files).write.text(path)
+    return stream.order_stream(spark, {"format": "text", "path": path}, files)
 
 
 def _run_upsert(spark: SparkSession, sf_dir: str) -> tuple[str, str]:

@@ -174,7 +174,7 @@ def daily_sales_refreshed(spark, sf_dir):
     path, base = scratch(spark, "daily_sales"), transactions(spark, sf_dir)
     late = F.col("sale_date") >= F.lit("1999-06-16").cast("date")
     layout.create_daily_sales(base.where(~late), path, high=HIGH)
-    layout.refresh_daily_sales(base, base.where(late), path, high=HIGH)
+    layout.refresh_daily_sales(base, path, added=base.where(late), high=HIGH)
     return layout.read_daily_sales(spark, path)
 
 
@@ -187,36 +187,59 @@ def daily_sales_emptied(spark, sf_dir):
     gone = (F.col("sale_date") >= F.lit("1997-03-01").cast("date")) & (
         F.col("sale_date") < F.lit("1997-04-01").cast("date"))
     layout.create_daily_sales(base, path, high=HIGH)
-    layout.refresh_daily_sales(base.where(~gone), base.where(gone), path, high=HIGH)
+    layout.refresh_daily_sales(base.where(~gone), path, removed=base.where(gone), high=HIGH)
+    return layout.read_daily_sales(spark, path)
+
+
+@query("daily_sales_corrected", STATS_SQL.replace(
+    "FROM orders", "FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 11 = 3 THEN (o_totalprice::DECIMAL(18,2) + 1000)::DOUBLE "
+    "ELSE o_totalprice END AS o_totalprice) FROM orders WHERE o_orderkey % 7 <> 5)"))
+def daily_sales_corrected(spark, sf_dir):
+    """Orders all over the calendar taken back, and others with another price: old rows go, new ones
+    come, and extremes are looked up again only where they were taken."""
+    path, base = scratch(spark, "daily_sales"), transactions(spark, sf_dir)
+    key = F.col("transaction_id")
+    kept, wrong = base.where(key % 7 != 5), key % 11 == 3
+    dearer = kept.where(wrong).withColumn(
+        "amount", (F.col("amount") + 1000).cast(base.schema["amount"].dataType))
+    layout.create_daily_sales(base, path, high=HIGH)
+    layout.refresh_daily_sales(
+        kept.where(~wrong).unionByName(dearer), path, added=dearer,
+        removed=base.where(key % 7 == 5).unionByName(kept.where(wrong)), high=HIGH)
     return layout.read_daily_sales(spark, path)
 
 
 @query("layout_compare", """
-    SELECT l AS layout, (SELECT count(*) FROM orders WHERE o_orderdate >= DATE '1997-12-01'
-                         AND o_orderdate < DATE '1998-01-01') AS rows, TRUE AS same,
-           TRUE AS fewer_bytes
-    FROM (VALUES ('clustered'), ('partitioned')) v(l)
+    SELECT l AS layout, CASE WHEN l = 'interleaved, customers' THEN
+             (SELECT count(*) FROM orders WHERE o_custkey BETWEEN 1 AND 20)
+           ELSE (SELECT count(*) FROM orders WHERE o_orderdate >= DATE '1997-12-01'
+                 AND o_orderdate < DATE '1998-01-01') END AS rows, TRUE AS same, TRUE AS scans_less
+    FROM (VALUES ('clustered'), ('partitioned'), ('interleaved'), ('interleaved, customers')) v(l)
 """)
 def layout_compare(spark, sf_dir):
-    """One month read from plain, clustered and partitioned copies: equal rows, and bytes read."""
-    root = scratch(spark, "layouts")
+    """One month, or a few customers, read from plain, clustered, partitioned and interleaved copies:
+    equal rows, and whether the scan handed on fewer rows than that of the plain copy."""
+    root, parts = scratch(spark, "layouts"), 16
     dated = transactions(spark, sf_dir).withColumns({
         "year": F.year("sale_date"), "month": F.month("sale_date")})
-    dated.repartition(8).write.parquet(f"{root}/plain")
-    layout.write_clustered(dated, ["sale_date"], f"{root}/clustered", 8)
+    dated.repartition(parts).write.parquet(f"{root}/plain")
+    layout.write_clustered(dated, ["sale_date"], f"{root}/clustered", parts)
     layout.write_partitioned(dated, ["year", "month"], f"{root}/partitioned")
+    layout.write_interleaved(dated, ["sale_date", "customer_id"], f"{root}/interleaved", parts)
     first, after = (F.lit(d).cast("date") for d in ("1997-12-01", "1998-01-01"))
     days = (F.col("sale_date") >= first) & (F.col("sale_date") < after)
-    filters = {"clustered": days, "partitioned": days & F.expr("year = 1997 and month = 12")}
+    few = F.col("customer_id").between(1, 20)
+    filters = {"clustered": (days, days), "interleaved": (days, days),
+               "interleaved, customers": (few, few),
+               "partitioned": (days, days & F.expr("year = 1997 and month = 12"))}
     rows = []
-    for name, condition in filters.items():
+    for name, (plain, own) in filters.items():
         report = layout.compare(
-            spark.read.parquet(f"{root}/plain").where(days).select(*dated.columns),
-            spark.read.parquet(f"{root}/{name}").where(condition).select(*dated.columns))
-        read = [report[side]["bytes"] for side in ("optimised", "plain")]
+            spark.read.parquet(f"{root}/plain").where(plain).select(*dated.columns),
+            spark.read.parquet(f"{root}/{name.split(',')[0]}").where(own).select(*dated.columns))
         rows.append((name, report["optimised"]["rows"], report["same"],
-                     name == "clustered" or read[0] < read[1]))
-    return spark.createDataFrame(rows, "layout string, rows long, same boolean, fewer_bytes boolean")
+                     report["optimised"]["scanned"] < report["plain"]["scanned"]))
+    return spark.createDataFrame(rows, "layout string, rows long, same boolean, scans_less boolean")
 
 
 @query("fan_out_load", """

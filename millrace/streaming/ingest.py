@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -12,28 +12,38 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
-def land_in_batches(df: DataFrame, path: str, batches: int = 4, *,
-                    order: str | None = None) -> DataFrame:
-    """Write `df` in `batches` goes and read it back as a stream that takes one file at a time.
+FILE_ROWS = 1_000_000
 
-    With `order` the goes are ranges of that column, one after the other, and the files of a go
-    are ranges of it as well; without it, every file holds rows from everywhere.
+
+def _cuts(df: DataFrame, micros: Column, batches: int) -> tuple[int, list[int]]:
+    """Rows of `df` and the times that part it into `batches` ranges of about equal size."""
+    row = df.select(F.count(F.lit(1)).alias("n"), F.percentile_approx(
+        micros, [i / batches for i in range(1, batches)]).alias("cuts")).first()
+    return row["n"], sorted(set(row["cuts"] or []))
+
+
+def land_in_batches(df: DataFrame, path: str, batches: int = 4, *, order: str | None = None,
+                    file_rows: int = FILE_ROWS) -> DataFrame:
+    """Write `df` in `batches` goes of files of about `file_rows` rows, and read it back as a stream
+    that takes the files of one go at a time.
+
+    With `order` the goes are ranges of that time, one after the other; rows without a time come
+    first, as they do in a sort. Without it, every file holds rows from everywhere.
     """
     spark, schema = df.sparkSession, df.schema
     if order is None:
-        df.repartition(batches).write.parquet(path)
+        files = max(1, -(-df.count() // (batches * file_rows)))
+        df.repartition(batches * files).write.parquet(path)
     else:
-        seconds = F.unix_micros(F.col(order).cast("timestamp"))
-        cuts = df.select(F.percentile_approx(
-            seconds, [i / batches for i in range(1, batches)])).first()[0] or []
-        edges = [None, *cuts, None]
-        for low, high in zip(edges, edges[1:]):
-            part = df
-            part = part if low is None else part.where(seconds > low)
-            part = part if high is None else part.where(seconds <= high)
-            # One file a go: the order of files within a go would be left to chance.
-            part.coalesce(1).write.mode("append").parquet(path)
-    return file_stream(spark, path, schema, maxFilesPerTrigger=1)
+        micros = F.unix_micros(F.col(order).cast("timestamp"))
+        rows, cuts = _cuts(df, micros, batches)
+        files = max(1, -(-rows // (batches * file_rows)))
+        go = sum((F.when(micros > c, 1).otherwise(0) for c in cuts), F.lit(0))
+        for i in range(len(cuts) + 1):
+            # Rows of a go are dealt out evenly, so each go has as many files as the others and
+            # one trigger takes exactly one go. Later goes have later files.
+            df.where(go == i).repartition(files).write.mode("append").parquet(path)
+    return file_stream(spark, path, schema, maxFilesPerTrigger=files)
 
 
 def with_source(df: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Small inputs with answers worked out by hand."""
 
+import random
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
@@ -128,8 +129,8 @@ def test_fan_out_inflates_demand(spark):
         [(5, 1, 8.0, 8.0, 0.0, 9), (5, 1, 4.0, 4.0, 0.0, 10)],
         "customer_id long, total_orders long, total_spent double, avg_order_value double, "
         "avg_days_between_orders double, peak_order_hour int")
-    view = joins.business_analytics(inventory, items, orders, people, figures, as_of="2024-01-05")
-    faithful = joins.business_insights(view).first()
+    faithful = joins.business_insights(inventory, items, orders, people, figures,
+                                       as_of="2024-01-05").first()
     assert (faithful["total_ordered"], faithful["number_of_orders"]) == (6, 1)
     assert faithful["customer_avg_order_value"] == 6.0
     patterns = spark.createDataFrame([(5, 6.0)], "customer_id long, avg_order_value double")
@@ -371,3 +372,68 @@ def test_split_is_stable(spark):
     again, _ = learning.train_test_split(df.repartition(7), ["id"])
     assert train.count() + test.count() == 2000 and 300 < test.count() < 500
     assert train.exceptAll(again).isEmpty()
+
+
+def test_insights_equal_the_view_they_stand_for(spark):
+    """Two products of one name, orders that hold both, customers with several or no figures."""
+    chance = random.Random(2)
+    stock = spark.createDataFrame(
+        [(p, "tea" if p < 3 else f"p{p}", 5, 10, c, None if c == "B" else c, 0.5)
+         for p in range(6) for c in "ABB"],
+        "product_id long, product_name string, quantity int, capacity int, city string, "
+        "warehouse_code string, inventory_score double")
+    orders = spark.createDataFrame(
+        [(i, chance.randint(0, 5), date(2024, 1, 1) + timedelta(days=i % 40)) for i in range(60)],
+        "order_id long, customer_id long, order_date date")
+    items = spark.createDataFrame(
+        [(chance.randint(0, 59), chance.randint(0, 6), chance.randint(1, 9)) for _ in range(300)],
+        "order_id long, product_id long, quantity int")
+    customers = spark.createDataFrame([(c, f"c{c}") for c in range(5)],
+                                      "customer_id long, customer_name string")
+    figures = spark.createDataFrame(
+        [(c, 3, 1.0, None if h == 1 else c + h / 3, 2.0, h) for c in (0, 1, 2, 5) for h in range(c + 1)],
+        "customer_id long, total_orders int, total_spent double, avg_order_value double, "
+        "avg_days_between_orders double, peak_order_hour int")
+    args = (stock, items, orders, customers, figures)
+    found = joins.business_insights(*args, as_of="2024-02-09")
+    keys = ["product_name", "city", "warehouse_code", "inventory_score"]
+    rows = joins.business_analytics(*args, as_of="2024-02-09").groupBy(*keys, "quantity").agg(
+        F.sum("ordered_quantity").alias("total"), F.count_distinct("order_id").alias("orders"),
+        F.avg(F.col("avg_order_value").cast("decimal(18,6)")).alias("mean"))
+    want = {tuple(r)[:5]: tuple(r)[5:] for r in rows.collect()}
+    got = {tuple(r)[:4] + (r["current_stock"],): r for r in found.collect()}
+    assert got.keys() == want.keys() and len(got) == 8
+    for key, (total, orders_, mean) in want.items():
+        assert (got[key]["total_ordered"], got[key]["number_of_orders"]) == (total, orders_)
+        assert got[key]["customer_avg_order_value"] == pytest.approx(float(mean), rel=1e-6)
+
+
+def test_changed_keys_and_ranges(spark):
+    """Copies count, a null key is a key, and only leaves that differ are told."""
+    old = [(i, "a") for i in range(1000)] + [(None, "n"), (7, "a")]
+    new = [(i, "b" if i == 500 else "a") for i in range(1000) if i != 20] + [(None, "m"), (4000, "a")]
+    old, new = (spark.createDataFrame(r, "k long, v string").repartition(n) for r, n in ((old, 2), (new, 5)))
+    found = learning.changed_keys(old, new, "k", width=16).collect()
+    assert {(r["k"], r["change"]) for r in found} == {
+        (500, "changed"), (20, "removed"), (4000, "added"), (7, "changed"), (None, "changed")}
+    trees = [learning.digest_tree(d, "k", width=16, fanout=8, levels=3) for d in (old, new)]
+    told = {(r["level"], r["node"]) for r in learning.changed_ranges(*trees).collect()}
+    leaves = {0, 1, 31, 250}
+    assert told == {(level, n // 8 ** level) for n in leaves for level in range(3)} | {
+        (level, None) for level in range(3)}
+    assert learning.changed_keys(old, old.repartition(7), "k").isEmpty()
+    empty = old.where("false")
+    assert learning.changed_keys(empty, empty, "k").isEmpty()
+    assert learning.changed_keys(empty, new, "k").where("change <> 'added'").isEmpty()
+
+
+def test_forest_learns_what_the_columns_tell(spark):
+    from conftest import SMALL
+    from millrace.plans import QUERIES
+
+    got = {(r["label"], r["metric"]): r["value"] for r in
+           QUERIES["forest_accuracy"](spark, SMALL).collect()}
+    for side in ("train", "test"):
+        assert got["price class", f"{side}_accuracy"] > got["price class", "train_majority"] + 0.2
+    assert got["return flag", "fitted_accuracy"] > 0.9
+    assert got["price class", "reloaded_agrees"] >= 0.99 and got["return flag", "reloaded_agrees"] >= 0.99

@@ -161,7 +161,7 @@ def test_refresh_rewrites_touched_months_only(spark, sales, tmp_path):
     kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "daily" / "sale_month=2023-05").iterdir()}
     extra = spark.createDataFrame([(99_999, date(2023, 7, 1), Decimal("900.00"))], sales.schema)
     grown = sales.unionByName(extra)
-    layout.refresh_daily_sales(grown, extra, path)
+    assert layout.refresh_daily_sales(grown, path, added=extra) == []
     again = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "daily" / "sale_month=2023-05").iterdir()}
     assert kept == again
     from millrace.operators.aggregates import daily_sales_stats
@@ -171,12 +171,49 @@ def test_refresh_rewrites_touched_months_only(spark, sales, tmp_path):
     july = F.col("sale_date") >= F.lit("2023-07-01").cast("date")
     august = F.col("sale_date") >= F.lit("2023-08-01").cast("date")
     rest = grown.where(~(july & ~august))
-    layout.refresh_daily_sales(rest, grown.where(july & ~august), path)
+    assert layout.refresh_daily_sales(rest, path, removed=grown.where(july & ~august)) == []
     direct, stored = daily_sales_stats(rest), layout.read_daily_sales(spark, path)
     assert direct.exceptAll(stored.select(*direct.columns)).isEmpty()
     assert stored.select(*direct.columns).exceptAll(direct).isEmpty()
 
 
+def test_refresh_reads_the_base_only_where_an_extreme_was_taken(spark, sales, tmp_path):
+    from millrace.operators.aggregates import daily_sales_stats
+
+    path, where = str(tmp_path / "daily"), "sale_date = '2023-05-0{}'"
+    layout.create_daily_sales(sales, path)
+    fourth, fifth = (sales.where(where.format(d)) for d in (4, 5))
+    largest = fourth.agg(F.max("amount")).first()[0]
+    middle = fifth.orderBy("amount").collect()[5]["transaction_id"]
+    gone = (F.col("sale_date") == F.lit("2023-05-04").cast("date")) & (F.col("amount") == largest)
+    gone = gone | (F.col("transaction_id") == middle)
+    base = str(tmp_path / "base")
+    layout.write_clustered(sales.where(~gone), ["sale_date"], base, 8)
+    rest = spark.read.parquet(base)
+    again = layout.refresh_daily_sales(rest, path, removed=sales.where(gone))
+    assert again == [date(2023, 5, 4)]
+    direct, stored = daily_sales_stats(rest), layout.read_daily_sales(spark, path)
+    assert direct.exceptAll(stored.select(*direct.columns)).isEmpty()
+    assert stored.select(*direct.columns).exceptAll(direct).isEmpty()
+    ranges = layout._day_ranges([date(2024, 2, 29), date(2024, 3, 1), date(2024, 1, 1)])
+    assert ranges == [(date(2024, 1, 1), date(2024, 1, 2)), (date(2024, 2, 29), date(2024, 3, 2))]
+
+
+def test_interleaved_layout_serves_both_columns(spark, sales, tmp_path):
+    plain, mixed = str(tmp_path / "plain"), str(tmp_path / "mixed")
+    sales.repartition(16).write.parquet(plain)
+    layout.write_interleaved(sales, ["sale_date", "amount"], mixed, 16)
+    for condition in ("sale_date between '2023-03-01' and '2023-03-07'", "amount between 100 and 130"):
+        report = layout.compare(spark.read.parquet(plain).where(condition),
+                                spark.read.parquet(mixed).where(condition))
+        assert report["same"] and report["plain"]["scanned"] == 20_000
+        assert report["optimised"]["scanned"] < 9_000
+    odd = sales.withColumn("amount", F.when(F.col("amount") > 500, F.col("amount")))
+    placed = layout.curve_position(odd, ["sale_date", "amount"], 3)
+    assert placed.columns == [*odd.columns, "_curve"] and placed.where("_curve is null").isEmpty()
+    assert placed.agg(F.max("_curve")).first()[0] == 63
+
+
 def test_bucketed_join_has_no_exchange(spark, tmp_path):
     df = spark.range(5000)
     for name in ("left_b", "right_b"):
@@ -202,7 +239,7 @@ def test_intermediates_are_deleted(spark, tmp_path):
     root = Path(session.shared_folder(spark).removeprefix("file:"))
     before = set(root.glob("*"))
     with session.intermediates(spark):
-        QUERIES["customer_segments"](spark, SMALL).write.parquet(str(tmp_path / "out"))
+        QUERIES["column_drift"](spark, SMALL).write.parquet(str(tmp_path / "out"))
         assert set(root.glob("*")) > before
     assert set(root.glob("*")) == before
     assert spark.read.parquet(str(tmp_path / "out")).count() > 0

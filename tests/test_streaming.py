@@ -77,7 +77,7 @@ def test_compaction_keeps_state(spark, tmp_path):
         (1, 2), (2, 0), (3, 1)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_rows": 0, "block_rows": 16}])
+@pytest.mark.parametrize("limits", [{}, {"block_rows": 16}])
 def test_vwap_over_batches_equals_one_pass(spark, tmp_path, limits):
     rows = markets.tick_rows(spark, SMALL).select(
         F.col("event_type").alias("symbol"), F.col("timestamp").cast("timestamp"), "event_id",
@@ -198,3 +198,27 @@ def test_late_ticks_reach_their_window(spark, tmp_path):
     found = ticks.read_windows(spark, out, 3).orderBy("window_start").collect()
     assert [(r["points"], r["volume"], r["sufficient"]) for r in found] == [
         (3, 3.0, True), (1, 1.0, False)]
+
+
+def test_landing_keeps_rows_without_a_time_and_deals_by_rows(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    rows = spark.createDataFrame(
+        [(i, None if i % 10 == 0 else datetime(2024, 1, 1) + timedelta(minutes=i // 3))
+         for i in range(100)], "id long, at timestamp")
+    raw, seen = str(tmp_path / "raw"), []
+    stream = ingest.land_in_batches(rows, raw, 4, order="at", file_rows=9)
+
+    def note(batch, batch_id):
+        files = batch.select(F.input_file_name()).distinct().count()
+        seen.append((files, sorted((r["at"] is not None, r["at"], r["id"]) for r in batch.collect()
+                                   if r["at"] is not None), batch.where("at is null").count()))
+
+    ingest.run_available(stream.writeStream.foreachBatch(note).option(
+        "checkpointLocation", str(tmp_path / "mark")))
+    assert sum(len(timed) + untimed for _, timed, untimed in seen) == 100
+    assert [untimed for _, _, untimed in seen] == [10, 0, 0, 0]
+    assert {files for files, _, _ in seen} == {3}
+    assert all(a[-1][1] < b[0][1] for (_, a, _), (_, b, _) in zip(seen, seen[1:]))
+    mixed = ingest.land_in_batches(rows, str(tmp_path / "mixed"), 2, file_rows=20)
+    assert len(list((tmp_path / "mixed").glob("part-*.parquet"))) == 6 and mixed.isStreaming
