@@ -26,8 +26,8 @@ from millrace.llm.common import LOWER_BYTES, materialize, query, table
 LONGEST = 5            # words of the longest phrase
 LEAST = 100            # occurrences of a frequent phrase
 TOP = 2000             # phrases reported per language
-CHUNK = 15 << 18       # bytes of text worked at a time, up to the end of a piece
-HELD = 1 << 21         # distinct fingerprints a task counts before it hands them on
+CHUNK = 15 << 16       # bytes of text worked at a time, up to the end of a piece
+HELD = 1 << 20         # distinct fingerprints a task counts before it hands them on
 FILTER_BITS = 1 << 27  # most bits of the filter over frequent fingerprints
 BASE = 0x9E3779B97F4A7C15
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
