@@ -120,9 +120,9 @@ def business_insights(inventory: DataFrame, items: DataFrame, orders: DataFrame,
     several times; `business_insights_by_customer` counts each item once.
 
     Nothing is fanned out for that: analytics are summed per customer, items per product and order
-    (which splits a hot product) and then per product, and stock meets one row per product. The
-    orders of a product are counted there; only where products of one name share a position's
-    figures are their orders told apart again.
+    (which splits a hot product) and then per product, and stock meets one row per product. Orders
+    are counted per product; where products of one name share the figures of a position, the orders
+    that hold several of them, found by grouping each order's products by name, are taken off.
     """
     value = F.col("avg_order_value").cast("decimal(18,6)")
     newest = orders.where(recent("order_date", days, as_of)).select("order_id", "customer_id")
@@ -134,25 +134,31 @@ def business_insights(inventory: DataFrame, items: DataFrame, orders: DataFrame,
     pairs = sold.groupBy("product_id", "order_id").agg(
         F.sum(F.col("_quantity") * F.coalesce("_copies", F.lit(1))).alias("_quantity"),
         F.sum("_value").alias("_value"), F.sum("_values").alias("_values"))
-    demand = pairs.groupBy("product_id").agg(
-        *[F.sum(c).alias(c) for c in ("_quantity", "_value", "_values")],
-        F.count(F.lit(1)).alias("_orders"))
-    found = inventory.join(demand, "product_id").groupBy(*_INSIGHT_KEYS).agg(
-        F.sum("_quantity").alias("total_ordered"), F.max("_orders").alias("_orders"),
-        F.try_divide(F.sum("_value").cast("double"), F.sum("_values"))
-        .alias("customer_avg_order_value"),
-        F.min("product_id").alias("_one"), F.max("product_id").alias("_other"))
-
-    keys = F.struct(*_INSIGHT_KEYS)
-    shared = found.where("_one <> _other").select(keys.alias("_keys"))
-    holders = inventory.select("product_id", keys.alias("_keys")).distinct().join(shared, "_keys", "semi")
-    apart = pairs.select("product_id", "order_id").join(holders, "product_id").groupBy("_keys").agg(
-        F.count_distinct("order_id").alias("_apart"))
+    sums = ("_quantity", "_value", "_values")
+    demand = pairs.groupBy("product_id").agg(*[F.sum(c).alias(c) for c in sums],
+                                             F.count(F.lit(1)).alias("_orders"))
+    # The filter holds always; with it all uses of the stock need the same columns and share its
+    # exchange, which Spark would otherwise prune apart and compute anew.
+    stock = inventory.groupBy("product_id", *_INSIGHT_KEYS).agg(
+        F.count(F.lit(1)).alias("_positions")).where("_positions > 0")
+    found = stock.join(demand, "product_id").groupBy(*_INSIGHT_KEYS).agg(
+        *[F.sum(F.col("_positions") * F.col(c)).alias(c) for c in sums],
+        F.sum("_orders").alias("_orders"))
+
+    keys = F.struct(*_INSIGHT_KEYS).alias("_keys")
+    names = stock.select("product_id", "product_name").distinct()
+    several = pairs.select("product_id", "order_id").join(names, "product_id").groupBy(
+        "order_id", "product_name").agg(F.collect_set("product_id").alias("_met")).where(
+        F.size("_met") > 1).select("order_id", F.explode("_met").alias("product_id")).distinct()
+    twice = several.join(stock.select("product_id", keys), "product_id").groupBy(
+        "_keys", "order_id").agg((F.count(F.lit(1)) - 1).alias("_more")).groupBy("_keys").agg(
+        F.sum("_more").alias("_more"))
     return (
-        found.withColumn("_keys", F.when(F.col("_one") != F.col("_other"), keys))
-        .join(apart, "_keys", "left")
-        .select(*_INSIGHT_KEYS, "total_ordered",
-                F.coalesce("_apart", "_orders").alias("number_of_orders"), "customer_avg_order_value")
+        found.withColumn("_keys", keys).join(twice, "_keys", "left")
+        .select(*_INSIGHT_KEYS, F.col("_quantity").alias("total_ordered"),
+                (F.col("_orders") - F.coalesce("_more", F.lit(0))).alias("number_of_orders"),
+                F.try_divide(F.col("_value").cast("double"), F.col("_values"))
+                .alias("customer_avg_order_value"))
         .withColumnRenamed("quantity", "current_stock")
         .orderBy(F.desc("inventory_score"), "product_name", "city", "warehouse_code",
                  "current_stock")
