@@ -538,6 +538,9 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     scores all, in whole. A null text is empty (its end is its one token), a null key counts as the
     empty text. Repeated rows are learnt from and scored each. Without training rows, every word is
     unknown and the model is its first state. No rows give no rows; other columns are not read.
+    A very long text goes through in windows that hand on their state, so its score is that of the
+    whole. `score` depends on how the table is partitioned, as every task trains on its part;
+    `base_score` and the counts do not.
     """
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                       fold(F.col(key)).alias("crc"))

@@ -188,7 +188,7 @@ def scan_licences(docs: DataFrame, text: str = "text") -> DataFrame:
     nothing. An expression goes as far as operands and operators take turns; one that does not
     parse (an operand or a bracket is missing) is left out. Unknown names score 0. Null texts are
     empty. Repeated rows are scanned each, no rows give no rows, and input columns stay inside
-    `doc`, so their names cannot clash.
+    `doc`, so their names cannot clash. A very long text is scanned whole, its words in memory.
     """
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                        scan_column(text).alias("s")).select(

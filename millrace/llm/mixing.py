@@ -114,6 +114,8 @@ def mix_sources(docs: DataFrame, levels: dict[str, Column], weights: list[dict[s
     equal keys stand at one place and are taken together. A null level is a leaf of its own, named
     "(none)"; a null key is an empty one; a null text has no tokens. A leaf without any token
     takes nothing. No rows give no rows. Input columns stay inside `doc`, so names cannot clash.
+    Repeated rows are taken each. A very long text counts all its words; where it starts below a
+    leaf's budget it is taken whole.
     """
     names = list(levels)
     placed = docs.select(

@@ -349,7 +349,8 @@ def sentencepiece_encode(docs: DataFrame, model: str, text: str = "text") -> Dat
     """Struct `doc` (the input row), `ids` and `decoded` for every row.
 
     Repeated rows are encoded each; no rows give no rows; input columns stay inside `doc`, so their
-    names cannot clash. One task remembers at most `MEMORY` distinct words and one Arrow batch.
+    names cannot clash. A null text is an empty one. One task remembers at most `MEMORY` distinct
+    words and one Arrow batch; a very long text is worked by itself, in memory in proportion to it.
     """
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                        encode_decode(text, model).alias("p")).select("doc", "p.ids", "p.decoded")

@@ -80,7 +80,8 @@ def host_rates(measured: DataFrame, limit: float) -> DataFrame:
     """One row per host: documents, failing documents, shrunk rate, verdict.
 
     The beta prior comes from the hosts themselves by moments: its mean is the rate over all
-    documents, its strength what the spread of the rates leaves after the spread that chance gives.
+    documents, its strength what the spread of the rates leaves after the spread that chance gives,
+    but `PRIOR_DOCS` documents at least, so that few and very different hosts are still shrunk.
     """
     hosts = measured.groupBy("host").agg(
         F.count(F.lit(1)).alias("docs"),

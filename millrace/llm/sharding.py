@@ -139,7 +139,8 @@ def balanced_shards(docs: DataFrame, key: str = "doc_id", text: str = "text",
     `members` is the number of rows with this text. A null text counts as the empty one (size 1).
     Rows with null keys are placed like any others; repeated rows each have a place. Groups larger
     than a shard fill shards and go on in others. No rows give no rows, and other columns are not
-    read, whatever their names.
+    read, whatever their names. A very long text is one row like any other; only its digest and
+    length go on.
     """
     said = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = materialize(docs.select(

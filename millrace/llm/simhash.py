@@ -382,6 +382,7 @@ def simhash_components(docs: DataFrame, key: str, text: str = "text", words: int
     A null or empty text has fingerprint zero and links like any other. Null keys keep their row;
     they name a component only if nothing else does (component_id null). Repeated rows each get
     their row. No rows give no rows. Other columns of `docs` are not read, whatever their names.
+    All shingles of a very long text count; its words are in the memory of one task.
     """
     printed = materialize(docs.select(F.col(key).alias("id"), prints(text, words).alias("p")).select(
         "id", F.conv(F.hex("p.print"), 16, -10).cast("long").alias("key"), "p.print"), "prints")
@@ -417,7 +418,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     Texts without a word (null and empty ones too) are copies of each other. Null keys come after
     all others, equal keys in the order of the rows. No rows give no rows; input columns stay inside
-    `doc`, so their names cannot clash.
+    `doc`, so their names cannot clash. All shingles of a very long text count.
     """
     rows = materialize(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(key).alias("id"),

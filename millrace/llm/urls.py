@@ -161,7 +161,8 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     or its host with path is in `listed` (key). Null urls and text without `://` have neither host
     nor path, fit nothing and are allowed. Null keys of the list are left out, repeated ones count
     once; an empty list blocks nothing. Repeated rows are judged each, no rows give no rows, and
-    input columns stay inside `row`, so their names cannot clash.
+    input columns stay inside `row`, so their names cannot clash. A very long url is a key like any
+    other, hashed as a whole.
     """
     host, path = url_parts(F.col(url))
     parted = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),

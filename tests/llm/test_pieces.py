@@ -80,3 +80,12 @@ def test_odd_rows(spark):
     assert [len(r.ids) for r in got].count(8) == 2 and len(got) == 3
     assert sorted(r.decoded for r in got) == ["", "", "a b"]
     assert pieces.sentencepiece_encode(docs.where("false"), MODEL).collect() == []
+
+
+def test_very_long_texts(spark, library):
+    texts = ["The quick brown fox  jumps. " * 20_000, "x" * 200_000, "日本" * 50_000]
+    docs = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    for r in pieces.sentencepiece_encode(docs, MODEL).collect():
+        want = library.encode(r.doc.text, add_bos=True, add_eos=True)
+        assert bytes(r.ids) == b"".join(i.to_bytes(4, "little") for i in want)
+        assert r.decoded == library.decode(want)

@@ -105,3 +105,12 @@ def test_allotment_fills_the_rooms():
             got[n, w] += high - low
         assert min(left) >= 0 and got == Counter({(n, w): n * g for n, w, g in kinds})
         assert len({p[:3] for p in pieces}) < max(shards, 1) + (shards == 1 and bool(pieces))
+
+
+def test_very_long_texts_are_rows_like_others(spark):
+    texts = ["long " * 400_000] * 3 + [f"t{i}" for i in range(29)]
+    docs = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    rows = sharding.balanced_shards(docs).collect()
+    law_holds(rows)
+    assert sorted(r.size for r in rows)[-3:] == [2_000_001] * 3
+    assert len({r.shard for r in rows if r.size > 9}) == 1

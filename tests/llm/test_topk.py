@@ -94,3 +94,11 @@ def test_odd_rows(spark):
             (9, []), (10, [1.0, 2.0, 3.0]), (12, [1.0]), (5, [-1.0, 1.0])]
     assert ours(spark, rows, 3) == plain(rows, 3)
     assert ours(spark, [], 3) == []
+
+
+def test_clashing_names(spark):
+    rows = spark.createDataFrame([(i, [i, 1], i, i, i) for i in range(6)],
+                                 "vec_id long, v array<long>, query_id long, rank long, score long")
+    got = topk.top_k(rows, "vec_id", "v", F.col("vec_id") < 2, 2).collect()
+    assert sorted((r[0], r[1], r[2], r[3]) for r in got) == [
+        (0, 1, 1, 1), (0, 2, 2, 1), (1, 1, 5, 6), (1, 2, 4, 5)]

@@ -58,3 +58,14 @@ def test_by_hand(spark):
 def test_empty_tables(spark):
     assert judge(spark, []) == {}
     assert judge(spark, [(1, "http://bad.net/", None, None)], ())[1][3] == "allow"
+
+
+def test_repeated_and_very_long_urls(spark):
+    path = "p" * 200_000
+    rows = [(1, "http://bad.net/a", "h", 1)] * 3 + [(2, f"http://x.net/{path}", "h", 1),
+                                                    (3, f"http://{'a' * 100_000}.bad.net/", "h", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, keys int")
+    names = spark.createDataFrame([("bad.net",), (f"x.net/{path}",)], "key string")
+    got = urls.filter_urls(pages, names, urls.RULES).collect()
+    assert sorted((r.row.page_id, r.verdict) for r in got) == [
+        (1, "block"), (1, "block"), (1, "block"), (2, "block"), (3, "block")]
