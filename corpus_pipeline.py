@@ -1,5 +1,9 @@
 """A corpus pipeline over `documents`: what fails the quality rules goes, one document of each group
-of near copies stays, the rest is mixed to target weights, and the mix is encoded."""
+of near copies stays, the rest is mixed to target weights, and the mix is encoded.
+
+Every stage takes an empty table to an empty one and ignores other columns. A null text counts as an
+empty one, which fails the quality rules. Repeated rows are copies: one of them stays. A very long
+text is worked whole. A null source or language is a host or a leaf of its own."""
 
 from __future__ import annotations
 
