@@ -170,3 +170,26 @@ def sales_by(fact: DataFrame, dims: list[tuple[DataFrame, str, str]], keys: list
     return grouped.groupBy(*keys).agg(
         F.sum("_amount").alias("total_amount"), F.sum("_quantity").alias("total_quantity"),
         F.sum("_lines").alias("line_count"))
+
+
+def rollup_lattice(base: DataFrame, wanted: dict[str, list[str]],
+                   measures: tuple[str, ...] = ("total_amount", "total_quantity", "line_count")
+                   ) -> dict[str, DataFrame]:
+    """Rollups by lists of keys, all from one frame of sums by all their keys.
+
+    `base` is written once, so whatever it is made of is scanned once; its rows are bounded by the
+    values of the keys. Every rollup is summed from the smallest one that has all its keys, which is
+    written too, and only from `base` where there is none.
+    """
+    def summed(parent: DataFrame, keys: list[str]) -> DataFrame:
+        return parent.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+
+    kinds = {m: base.schema[m].dataType for m in measures}
+    base, made = materialize(base, "lattice"), {}
+    for name in sorted(wanted, key=lambda n: -len(wanted[n])):
+        keys = wanted[name]
+        parents = [n for n in made if set(keys) < set(wanted[n])]
+        parent = made[min(parents, key=lambda n: len(wanted[n]))] if parents else base
+        made[name] = materialize(summed(parent, keys).withColumns(
+            {m: F.col(m).cast(kind) for m, kind in kinds.items()}), "rollup")
+    return made

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -257,6 +258,22 @@ for _name, _keys in ROLLUPS.items():
         lambda spark, sf_dir, keys=_keys: _star(spark, sf_dir, keys))
 
 
+LATTICE = {**ROLLUPS, "sales_by_department": ["department_name"], "sales_by_year": ["year"],
+           "sales_by_region_year": ["region_name", "year"], "sales_total": []}
+
+
+@query("sales_rollups", " UNION ALL BY NAME ".join(
+    f"SELECT '{name}' AS rollup, * FROM ({_rollup_sql(', '.join(keys)) if keys else _rollup_sql('1 AS one')}) t"
+    for name, keys in LATTICE.items()).replace("'sales_total' AS rollup, *",
+                                               "'sales_total' AS rollup, * EXCLUDE (one)"))
+def sales_rollups(spark, sf_dir):
+    """All rollups from one scan of the lines; columns that a rollup does not have are null."""
+    keys = list(dict.fromkeys(k for ks in LATTICE.values() for k in ks))
+    made = wh.rollup_lattice(_star(spark, sf_dir, keys), LATTICE)
+    named = [df.withColumn("rollup", F.lit(name)) for name, df in made.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
 @query("sales_by_geography_snowflake", _rollup_sql("region_name, country_name"))
 def sales_by_geography_snowflake(spark, sf_dir):
     """The same rollup from the normalised tables."""

@@ -437,3 +437,17 @@ def test_forest_learns_what_the_columns_tell(spark):
         assert got["price class", f"{side}_accuracy"] > got["price class", "train_majority"] + 0.2
     assert got["return flag", "fitted_accuracy"] > 0.9
     assert got["price class", "reloaded_agrees"] >= 0.99 and got["return flag", "reloaded_agrees"] >= 0.99
+
+
+def test_rollups_come_from_their_smallest_parent(spark):
+    base = spark.createDataFrame(
+        [(a, b, c, Decimal("1.25"), 2, 1) for a in "xy" for b in (1, 2, None) for c in (True, False)] * 3,
+        "a string, b int, c boolean, total_amount decimal(18,2), total_quantity long, line_count long")
+    wanted = {"ab": ["a", "b"], "a": ["a"], "c": ["c"], "all": []}
+    made = warehouse.rollup_lattice(base, wanted)
+    for name, keys in wanted.items():
+        direct = base.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in (
+            "total_amount", "total_quantity", "line_count")])
+        assert sorted(map(str, made[name].collect())) == sorted(map(str, direct.collect()))
+        assert made[name].schema["total_amount"].dataType == base.schema["total_amount"].dataType
+    assert made["ab"].where("b is null").count() == 2
