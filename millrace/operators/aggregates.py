@@ -188,8 +188,10 @@ def customer_order_patterns(hours: DataFrame) -> DataFrame:
 def customer_segments(patterns: DataFrame, n: int = 4) -> DataFrame:
     """Equal-sized segments by order frequency and by spend; VIP is the top segment of both.
 
-    Ranks come from range-partitioned row numbers, so no task sorts all customers.
+    Ranks are row numbers by blocks, so no task sorts all customers. The patterns are written once, as
+    both rankings, their samples and the count read them.
     """
+    patterns = materialize(patterns, "patterns")
     size = patterns.agg(F.count(F.lit(1)).alias("_all"))
 
     def tile(df: DataFrame, col: str, name: str) -> DataFrame:
