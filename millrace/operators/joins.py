@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import inventory_score, mean_of, recent
+from millrace.session import materialize
 
 
 def with_global(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -131,34 +132,30 @@ def business_insights(inventory: DataFrame, items: DataFrame, orders: DataFrame,
         F.count(value).alias("_values")).join(customers.select("customer_id"), "customer_id", "semi")
     sold = items.select("order_id", "product_id", F.col("quantity").alias("_quantity")).join(
         newest, "order_id").join(figures, "customer_id", "left")
-    pairs = sold.groupBy("product_id", "order_id").agg(
+    pairs = materialize(sold.groupBy("product_id", "order_id").agg(
         F.sum(F.col("_quantity") * F.coalesce("_copies", F.lit(1))).alias("_quantity"),
-        F.sum("_value").alias("_value"), F.sum("_values").alias("_values"))
+        F.sum("_value").alias("_value"), F.sum("_values").alias("_values")), "demand")
     sums = ("_quantity", "_value", "_values")
     demand = pairs.groupBy("product_id").agg(*[F.sum(c).alias(c) for c in sums],
                                              F.count(F.lit(1)).alias("_orders"))
-    # The filter holds always; with it all uses of the stock need the same columns and share its
-    # exchange, which Spark would otherwise prune apart and compute anew.
-    stock = inventory.groupBy("product_id", *_INSIGHT_KEYS).agg(
-        F.count(F.lit(1)).alias("_positions")).where("_positions > 0")
-    found = stock.join(demand, "product_id").groupBy(*_INSIGHT_KEYS).agg(
-        *[F.sum(F.col("_positions") * F.col(c)).alias(c) for c in sums],
-        F.sum("_orders").alias("_orders"))
-
-    keys = F.struct(*_INSIGHT_KEYS).alias("_keys")
+    # Both are used twice, and written columns are pruned where an exchange is not.
+    stock = materialize(inventory.join(demand, "product_id").groupBy(
+        "product_id", *_INSIGHT_KEYS, *sums, "_orders").agg(
+        F.count(F.lit(1)).alias("_positions")), "stock")
     names = stock.select("product_id", "product_name").distinct()
     several = pairs.select("product_id", "order_id").join(names, "product_id").groupBy(
         "order_id", "product_name").agg(F.collect_set("product_id").alias("_met")).where(
         F.size("_met") > 1).select("order_id", F.explode("_met").alias("product_id")).distinct()
-    twice = several.join(stock.select("product_id", keys), "product_id").groupBy(
-        "_keys", "order_id").agg((F.count(F.lit(1)) - 1).alias("_more")).groupBy("_keys").agg(
-        F.sum("_more").alias("_more"))
+    twice = several.join(stock.select("product_id", *_INSIGHT_KEYS), "product_id").groupBy(
+        *_INSIGHT_KEYS, "order_id").agg((1 - F.count(F.lit(1))).alias("_orders"))
+    counted = stock.select(*_INSIGHT_KEYS, "_orders", *[
+        (F.col("_positions") * F.col(c)).alias(c) for c in sums]).unionByName(
+        twice.drop("order_id"), allowMissingColumns=True)
     return (
-        found.withColumn("_keys", keys).join(twice, "_keys", "left")
-        .select(*_INSIGHT_KEYS, F.col("_quantity").alias("total_ordered"),
-                (F.col("_orders") - F.coalesce("_more", F.lit(0))).alias("number_of_orders"),
-                F.try_divide(F.col("_value").cast("double"), F.col("_values"))
-                .alias("customer_avg_order_value"))
+        counted.groupBy(*_INSIGHT_KEYS).agg(
+            F.sum("_quantity").alias("total_ordered"), F.sum("_orders").alias("number_of_orders"),
+            F.try_divide(F.sum("_value").cast("double"), F.sum("_values"))
+            .alias("customer_avg_order_value"))
         .withColumnRenamed("quantity", "current_stock")
         .orderBy(F.desc("inventory_score"), "product_name", "city", "warehouse_code",
                  "current_stock")
