@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from millrace.operators import quality, series
 from millrace.plans.registry import query, rounded, table
 from millrace.session import scratch
 from millrace.sources.payloads import parse_trades
-from millrace.streaming import ingest, ticks
+from millrace.streaming import ingest, stateful, ticks
 
 ORDER = ["timestamp", "event_id"]
 
@@ -260,3 +262,79 @@ def stream_vwap(spark, sf_dir):
 def stream_vwap_untimed(spark, sf_dir):
     """Ticks without a time count, before all others."""
     return _run_vwap(spark, sf_dir, 13)
+
+
+# Ticks as they may arrive: by stretches of eight days, every tenth one in the last go, and every
+# thirteenth without a time.
+GOES, DELAY = 4, 24
+ARRIVALS = f"""(SELECT event_type AS symbol, price, volume,
+    CASE WHEN event_id % 13 <> 0 THEN timestamp END AS timestamp,
+    CASE WHEN event_id % 10 = 0 THEN {GOES - 1}
+         ELSE coalesce(least((day(timestamp) - 1) // 8, {GOES - 1}), 0) END AS go FROM {TICKS} t)"""
+
+
+def _arrive(spark: SparkSession, sf_dir: str, writer) -> None:
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("symbol"),
+        F.when(F.col("event_id") % 13 != 0, F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.col("value").alias("price"),
+        F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        F.when(F.col("event_id") % 10 == 0, GOES - 1).otherwise(F.least(
+            F.floor((F.day("ts") - 1) / 8), F.lit(GOES - 1))).cast("int").alias("go"))
+    ingest.run_goes(rows, F.col("go"), GOES, scratch(spark, "ticks"), writer)
+
+
+@query("stream_vwap_state", f"""
+    SELECT symbol, b.go, count(*) AS points, sum(volume)::DOUBLE AS volume,
+           (sum(price::DECIMAL(18,2) * volume)::DOUBLE / nullif(sum(volume), 0)::DOUBLE)
+             ::DECIMAL(30,6)::DOUBLE AS vwap
+    FROM {ARRIVALS} t JOIN (SELECT unnest(range({GOES})) AS go) b ON t.go <= b.go
+    GROUP BY 1, 2
+""")
+def stream_vwap_state(spark, sf_dir):
+    """VWAP per symbol after every batch, from value state."""
+    path, mark = scratch(spark, "totals"), scratch(spark, "checkpoint")
+    _arrive(spark, sf_dir, lambda rows: stateful.vwap_totals(rows, path, mark))
+    found = [stateful.read_vwap(spark, path, go).withColumn("go", F.lit(go).cast("long"))
+             for go in range(GOES)]
+    return rounded(reduce(DataFrame.unionByName, found), "vwap")
+
+
+#: The watermark a go meets is the latest time of the goes before it, less the delay.
+ARRIVED = f"""(
+    SELECT t.*, time_bucket(INTERVAL 1 HOUR, timestamp) + INTERVAL 1 HOUR AS window_end,
+           (SELECT max(epoch_ms(p.timestamp)) - {DELAY} * 3600000 FROM {ARRIVALS} p
+            WHERE p.go < t.go) AS mark,
+           (SELECT max(epoch_ms(p.timestamp)) - {DELAY} * 3600000 FROM {ARRIVALS} p) AS last_mark
+    FROM {ARRIVALS} t)"""
+_WINDOW = """symbol, window_end - INTERVAL 1 HOUR AS window_start, window_end, count(*) AS points,
+    min(price) AS low, max(price) AS high, sum(volume)::DOUBLE AS volume,
+    count(*) >= 5 AS sufficient"""
+
+
+def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, mark = scratch(spark, "windows"), scratch(spark, "checkpoint")
+    _arrive(spark, sf_dir, lambda rows: stateful.timed_windows(
+        rows, path, mark, 3600, delay=f"{DELAY} hours"))
+    return stateful.read_timed_windows(spark, path, 3600).withColumns({
+        c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query("stream_windows_closed", f"""
+    SELECT {_WINDOW} FROM {ARRIVED} t
+    WHERE epoch_ms(window_end) < last_mark
+      AND (mark IS NULL OR epoch_ms(window_end) >= mark) GROUP BY symbol, window_end
+""")
+def stream_windows_closed(spark, sf_dir):
+    """Hourly windows given out by timers, without the ticks that came too late."""
+    return _timed(spark, sf_dir).where("kind = 'closed'").drop("kind")
+
+
+@query("stream_ticks_aside", f"""
+    SELECT CASE WHEN timestamp IS NULL THEN 'untimed' ELSE 'late' END AS kind, {_WINDOW}
+    FROM {ARRIVED} t WHERE timestamp IS NULL OR epoch_ms(window_end) < mark
+    GROUP BY kind, symbol, window_end
+""")
+def stream_ticks_aside(spark, sf_dir):
+    """What came after its window was closed, per window, and what has no time."""
+    return _timed(spark, sf_dir).where("kind <> 'closed'")

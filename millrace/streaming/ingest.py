@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -46,6 +48,15 @@ def land_in_batches(df: DataFrame, path: str, batches: int = 4, *, order: str |
     return file_stream(spark, path, schema, maxFilesPerTrigger=files)
 
 
+def run_goes(df: DataFrame, go: Column, goes: int, path: str,
+             writer: Callable[[DataFrame], DataStreamWriter]) -> None:
+    """Write the rows of go 0, 1, ... one after the other and let the stream of `writer` take in
+    each before the next one is written, continued from its checkpoint. A null go is go 0."""
+    for i in range(goes):
+        df.where(F.coalesce(go, F.lit(0)) == i).write.mode("append").parquet(path)
+        run_available(writer(file_stream(df.sparkSession, path, df.schema)))
+
+
 def with_source(df: DataFrame) -> DataFrame:
     """Processing time, bucket and key of the file a row came from."""
     path = F.col("_metadata.file_path")
