@@ -198,6 +198,18 @@ def window_quantile(samples: DataFrame, q: float, bounds: list[float], seconds:
     return _quantile(steps, q, bounds, seconds, step, keys)
 
 
+def rule_readings(steps: DataFrame, rule: Rule, bounds: list[float], step: int = STEP) -> DataFrame:
+    """(metric, series, evaluated_at, reading) of one rule from sums per series and step."""
+    own = steps.where(F.col("metric") == rule.metric)
+    if rule.measure == "rate":
+        return _rate(own, rule.seconds, step, _SERIES).withColumnRenamed("rate", "reading")
+    if rule.measure == "delta":
+        read = _delta(own, rule.seconds, step, _SERIES)
+        return read.withColumn("reading", F.abs("delta")).drop("delta")
+    return _quantile(own, 0.95, bounds, rule.seconds, step, _SERIES).withColumnRenamed(
+        "quantile", "reading")
+
+
 def evaluate_alerts(samples: DataFrame, rules: list[Rule] = RULES, *, bounds: list[float],
                     order=("ts",), step: int = STEP, **limits: int) -> DataFrame:
     """All rules over one sample table: (alertname, severity, metric, series, evaluated_at,
@@ -209,15 +221,7 @@ def evaluate_alerts(samples: DataFrame, rules: list[Rule] = RULES, *, bounds: li
     steps = materialize(step_sums(wanted, step, order=order, bounds=bounds, **limits), "steps")
     results = []
     for rule in rules:
-        own = steps.where(F.col("metric") == rule.metric)
-        if rule.measure == "rate":
-            read = _rate(own, rule.seconds, step, _SERIES).withColumnRenamed("rate", "reading")
-        elif rule.measure == "delta":
-            read = _delta(own, rule.seconds, step, _SERIES)
-            read = read.withColumn("reading", F.abs("delta")).drop("delta")
-        else:
-            read = _quantile(own, 0.95, bounds, rule.seconds, step, _SERIES)
-            read = read.withColumnRenamed("quantile", "reading")
+        read = rule_readings(steps, rule, bounds, step)
         fired = alert_for(read, F.col("reading") > rule.limit, rule.hold, gap=step)
         results.append(fired.select(
             F.lit(rule.name).alias("alertname"), F.lit(rule.severity).alias("severity"),

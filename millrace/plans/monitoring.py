@@ -10,6 +10,8 @@ from millrace.operators import alerts, quality, series
 from millrace.operators.alerts import Rule
 from millrace.plans.markets import ORDER, SPARSE, sparse_rows, tick_rows
 from millrace.plans.registry import query, rounded, table
+from millrace.session import scratch
+from millrace.streaming import alerting, ingest
 
 SPLIT = "2024-01-16"
 HOUR = 3600
@@ -346,6 +348,17 @@ def alert_rules(spark, sf_dir):
     return _alerts(spark, sf_dir)
 
 
+@query("stream_alerts", f"SELECT * FROM {ALERTS} a")
+def stream_alerts(spark, sf_dir):
+    """The rules over the samples in four batches, states carried from one to the next."""
+    path, rows = scratch(spark, "alerts"), samples(spark, sf_dir)
+    stream = ingest.land_in_batches(rows, scratch(spark, "samples"), order="ts")
+    ingest.run_available(alerting.stream_alerts(
+        stream, path, scratch(spark, "checkpoint"), RULES, bounds=BOUNDS, step=HOUR))
+    alerting.close_alerts(spark, path, RULES, bounds=BOUNDS, step=HOUR)
+    return alerting.read_alerts(spark, path).drop("since", "state")
+
+
 @query("alert_group", f"""
     WITH f AS (SELECT DISTINCT alertname, metric, series, evaluated_at FROM {ALERTS} a WHERE firing),
     t AS (SELECT alertname, evaluated_at, CASE WHEN lag(evaluated_at) OVER o IS NULL
