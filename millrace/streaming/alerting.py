@@ -16,7 +16,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from millrace.operators.alerts import RULES, STEP, Rule, rule_readings, step_sums
 
 _SERIES = ["metric", "series"]
-_RUN = ["alertname", *_SERIES]
+#: A rule is known by its name and severity: one alert may have a limit for each.
+_RUN = ["alertname", "severity", *_SERIES]
 
 
 def _step_of(ts: str, step: int) -> Column:
@@ -59,8 +60,9 @@ def _advance(read: DataFrame, rule: Rule, runs: DataFrame | None, step: int) ->
                        F.coalesce(F.col("reading") > rule.limit, F.lit(False)).alias("_on"),
                        F.lit(None).cast("long").alias("_since"), F.lit(True).alias("_new"))
     if runs is not None:
-        rows = rows.unionByName(runs.where(F.col("alertname") == rule.name).select(
-            "alertname", F.lit(rule.severity).alias("severity"), *_SERIES, "evaluated_at",
+        rows = rows.unionByName(runs.where(
+            (F.col("alertname") == rule.name) & (F.col("severity") == rule.severity)).select(
+            *_RUN, "evaluated_at",
             F.lit(None).cast("double").alias("reading"), F.col("since").isNotNull().alias("_on"),
             F.col("since").alias("_since"), F.lit(False).alias("_new")))
     line = Window.partitionBy(*_RUN).orderBy("evaluated_at")
@@ -79,6 +81,8 @@ def _evaluate(spark: SparkSession, path: str, batch_id: int, steps: DataFrame,
               earlier: DataFrame | None, last_mark: int | None, mark: int | None,
               rules: list[Rule], bounds: list[float], step: int) -> None:
     """Evaluate the steps after `last_mark` up to `mark` (all, if None); write alerts and runs."""
+    if len({(rule.name, rule.severity) for rule in rules}) < len(rules):
+        raise ValueError("two rules have the same name and severity")
     runs, found = None, []
     if batch_id > 0:
         runs = spark.read.parquet(f"{path}/runs/batch_id={batch_id - 1}")

@@ -12,6 +12,7 @@ from millrace.streaming import alerting
 START = datetime(2024, 1, 1)
 BOUNDS = [1.0, 5.0]
 RULES = [Rule("Rising", "errors", "rate", 60, 0.05, "critical", 30),
+         Rule("Rising", "errors", "rate", 60, 0.2, "warning", 30),
          Rule("Slow", "seconds", "p95", 45, 2.0, "warning", 15)]
 SAMPLE = "metric string, series string, ts timestamp, value double"
 
@@ -30,7 +31,7 @@ def samples():
 
 
 def evaluations(df):
-    return {(r["alertname"], r["series"], r["evaluated_at"]): (
+    return {(r["alertname"], r["severity"], r["series"], r["evaluated_at"]): (
         r["reading"] if r["reading"] is None else pytest.approx(r["reading"]), r["firing"])
         for r in df.collect()}
 
@@ -54,7 +55,7 @@ def test_batches_equal_one_pass_with_a_replay_and_late_samples(spark, tmp_path):
     assert rows.count() == len(found) and found == expected
     assert [tuple(r)[:3] for r in spark.read.parquet(f"{path}/late").where("samples > 0").collect()
             ] == [("errors", "a", 1)]
-    states = [(r["state"], r["firing"]) for r in rows.where("alertname = 'Rising'").orderBy(
+    states = [(r["state"], r["firing"]) for r in rows.where("severity = 'critical'").orderBy(
         "evaluated_at").collect()]
     assert {s for s, _ in states} == {"inactive", "pending", "firing"}
     assert all((s == "firing") == f for s, f in states)
@@ -67,9 +68,15 @@ def test_an_empty_batch_and_an_empty_stream(spark, tmp_path):
     path = str(tmp_path / "alerts")
     one = spark.createDataFrame([("seconds", "b", START + timedelta(seconds=1), 4.0)], SAMPLE)
     for batch, part in enumerate((none, one, none)):
-        alerting.alert_batch(part, batch, path, RULES[1:], bounds=BOUNDS)
-    alerting.close_alerts(spark, path, RULES[1:], bounds=BOUNDS)
+        alerting.alert_batch(part, batch, path, RULES[2:], bounds=BOUNDS)
+    alerting.close_alerts(spark, path, RULES[2:], bounds=BOUNDS)
     rows = alerting.read_alerts(spark, path).orderBy("evaluated_at").collect()
     assert [(r["reading"], r["state"]) for r in rows] == [
         (pytest.approx(4.8), "pending"), (pytest.approx(4.8), "firing"),
         (pytest.approx(4.8), "firing")]
+
+
+def test_two_rules_of_one_name_and_severity_are_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="same name and severity"):
+        alerting.alert_batch(spark.createDataFrame(samples(), SAMPLE), 0, str(tmp_path),
+                             [RULES[0], RULES[0]], bounds=BOUNDS)
