@@ -16,14 +16,18 @@ def rolling_mean(col: str, w: WindowSpec, n: int) -> Column:
 
 
 def rolling_std(col: str, w: WindowSpec, n: int) -> Column:
-    """Sample deviation of the last n rows, null until all n have a value."""
+    """Sample deviation of the last n rows, null until all n have a finite value."""
     frame = w.rowsBetween(1 - n, 0)
-    return F.when(F.count(col).over(frame) == n, F.stddev_samp(col).over(frame))
+    finite = F.when(F.abs(col) != F.lit(float("inf")), F.col(col))
+    return F.when(F.count(finite).over(frame) == n, F.stddev_samp(finite).over(frame))
 
 
 def pct_change(col: str, w: WindowSpec) -> Column:
-    """Relative change to the row before; the column has its nulls filled forward already."""
-    return F.try_divide(F.col(col).cast("double"), F.lag(col).over(w).cast("double")) - 1
+    """Relative change to the row before; the column has its nulls filled forward already. From zero
+    it is infinite, and null if the row is zero too."""
+    now, before = F.col(col).cast("double"), F.lag(col).over(w).cast("double")
+    return F.when((before == 0) & (now != 0), F.signum(now) * float("inf")).otherwise(
+        F.try_divide(now, before) - 1)
 
 
 def stock_indicators(df: DataFrame, *, symbol: str = "symbol", order: list[str], close="close",

@@ -4,6 +4,7 @@ import random
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -284,6 +285,30 @@ def test_market_signals_of_short_series(spark):
     assert [s["type"] for s in found["a"]] == ["MOMENTUM_BULLISH"] and found["b"] == []
 
 
+def test_market_signals_after_a_price_of_zero(spark):
+    """A rise from zero is a signal, and the volatility limit leaves out what is not finite."""
+    calm = [10.0 + i % 2 for i in range(20)]
+    prices = {"rise": calm + [0.0, 5.0], "zeros": calm + [0.0, 0.0],
+              "later": calm[:5] + [0.0] + calm + [10.0, 40.0]}
+    rows = [(k, datetime(2024, 1, 1 + i), i, p, 5.0) for k, ps in prices.items()
+            for i, p in enumerate(ps)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp, id long, price double, "
+                                     "volume double")
+    order = ["timestamp", "id"]
+    ticks = series.tick_indicators(df, order=order).cache()
+    for symbol, values in prices.items():
+        change = pd.Series(values).pct_change()
+        found = ticks.where(F.col("symbol") == symbol).orderBy("id").collect()
+        for name, want in (("price_momentum", change), ("volatility", change.rolling(10).std())):
+            got = pd.Series([r[name] for r in found], dtype=float)
+            assert got.isna().equals(want.isna())
+            assert got.dropna().tolist() == pytest.approx(want.dropna().tolist(), abs=1e-9)
+    found = {r["symbol"]: [(s["type"], s["value"]) for s in r["signals"]]
+             for r in series.market_signals(ticks, order=order).collect()}
+    assert found["rise"] == [("MOMENTUM_BULLISH", float("inf"))] and found["zeros"] == []
+    assert [t for t, _ in found["later"]] == ["HIGH_VOLATILITY", "MOMENTUM_BULLISH"]
+
+
 def test_first_n_beyond_the_map_side_limit(spark):
     df = spark.range(3000).select((F.col("id") % 2).alias("k"), "id")
     found = series.first_n(df, ["k"], ["id"], 1200)
