@@ -464,6 +464,41 @@ def test_forest_learns_what_the_columns_tell(spark):
     assert got["price class", "reloaded_agrees"] >= 0.99 and got["return flag", "reloaded_agrees"] >= 0.99
 
 
+def test_forest_predicts_cells_as_it_predicts_rows(spark):
+    """Counts by cells equal counts over row-wise predictions, at split points too."""
+    rng = random.Random(3)
+    rows = [(float(rng.randint(0, 40)), rng.random(), rng.choice("ab")) for _ in range(400)]
+    df = spark.createDataFrame(rows, "x double, y double, l string").withColumn(
+        "m", F.when(F.col("x") + 10 * F.col("y") > 25, "big").otherwise("small"))
+    models = {f"said_{c}": learning.train_forest(df, ["x", "y"], c, trees=7) for c in "lm"}
+    points = learning.split_points(list(models.values()), 2)
+    assert all(0 < len(p) <= 31 for p in points)
+    borders = spark.createDataFrame([(a + d, b, "a", "big") for a in points[0] for b in points[1]
+                                     for d in (0.0, 1e-9, -1e-9)], df.schema)
+    rows = df.unionByName(borders).unionByName(spark.createDataFrame(
+        [(float("inf"), float("-inf"), None, "small"), (-0.0, 0.0, "new", "small")], df.schema))
+    want = rows
+    for name, model in models.items():
+        labels = F.array(*[F.lit(v) for v in model.stages[0].labels])
+        want = model.transform(want).select(
+            *want.columns, F.get(labels, F.col("prediction").cast("int")).alias(name))
+    want = want.groupBy("l", "m", *models).agg(F.count(F.lit(1)).alias("rows"))
+    found = learning.predicted_rows(models, rows, ["x", "y"], ["l", "m"])
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+
+
+def test_train_forest_evaluates_and_compares_the_reloaded_model(spark):
+    from conftest import SMALL
+    from millrace.plans import QUERIES
+
+    found = QUERIES["train_forest"](spark, SMALL).collect()
+    assert {(r["label"], r["side"]) for r in found} == {
+        (label, side) for label in ("return flag", "price class") for side in ("train", "test")}
+    assert all(r["rows"] == r["predicted_rows"] == r["agreeing_rows"] for r in found)
+    assert {(r["label"], r["beats_majority"]) for r in found} == {
+        ("return flag", None), ("price class", True)}
+
+
 def test_rollups_come_from_their_smallest_parent(spark):
     base = spark.createDataFrame(
         [(a, b, c, Decimal("1.25"), 2, 1) for a in "xy" for b in (1, 2, None) for c in (True, False)] * 3,
