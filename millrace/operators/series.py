@@ -106,10 +106,17 @@ def market_signals(indicators: DataFrame, *, symbol: str = "symbol",
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest row per key, combined on the map side, so a hot key ships one row per task."""
+    """Newest row per key, combined on the map side, so a hot key ships one row per task. Of rows
+    equal in `order` the one with the larger rest is taken, unless a column has no order."""
     rest = [c for c in df.columns if c not in keys]
+    if any(t in df.schema[c].dataType.simpleString() for c in rest for t in ("map<", "variant")):
+        newest = F.max_by(F.struct(*rest), F.struct(*order))
+    else:
+        # One struct with the order first: no column is held or shuffled twice.
+        first = [c for c in dict.fromkeys(order) if c not in keys]
+        newest = F.max(F.struct(*first, *[c for c in rest if c not in first]))
     return (
-        df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+        df.groupBy(*keys).agg(newest.alias("_row"))
         .select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
     )
 

@@ -17,6 +17,7 @@ from millrace.streaming import orders as stream
 
 _FORMAT = "yyyy-MM-dd HH:mm:ss"
 BATCHES = 4
+MESSAGE_ROWS = 100_000  # messages in a landed file, about; a compressed file is one task's
 
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,10 +54,11 @@ STORED = f"""(SELECT order_id, partition, customer_name, product, category, quan
 def _landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders as landed JSON lines, read as a stream."""
     path = scratch(spark, "orders_topic")
-    # Dealt out at random, so every batch mixes times and copies meet across batches.
+    # Dealt out at random, so every batch mixes times and copies meet across batches. A line is one
+    # message; counting lines reads no column and joins nothing.
     messages = stream.to_messages(order_rows(spark, sf_dir), "product").select("value")
-    files = max(1, -(-messages.count() // (BATCHES * ingest.FILE_ROWS)))
-    messages.repartition(BATCHES * files).write.text(path)
+    files = max(1, -(-table(spark, sf_dir, "lineitem").count() // (BATCHES * MESSAGE_ROWS)))
+    messages.repartition(BATCHES * files).write.option("compression", "gzip").text(path)
     return stream.order_stream(spark, {"format": "text", "path": path}, files)
 
 
@@ -128,8 +130,8 @@ def stream_order_enrich(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     path = scratch(spark, "unique_orders")
     good, _ = stream.split_bad(_landed_messages(spark, sf_dir))
-    unique = stream.dedup(stream.enrich_orders(good), "order_id", "1 hour")
-    ingest.run_available(unique.select("order_id").writeStream.format("parquet").option(
+    unique = stream.dedup(stream.enrich_orders(good).select("order_id"), "order_id", "1 hour")
+    ingest.run_available(unique.writeStream.format("parquet").option(
         "path", path).option("checkpointLocation", scratch(spark, "checkpoint")))
     return spark.read.parquet(path)
 

@@ -6,7 +6,8 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from millrace.operators.series import tick_indicators
+from millrace import session
+from millrace.operators.series import latest_per_key, tick_indicators
 from millrace.plans import markets
 from millrace.streaming import ingest, orders, store, ticks
 
@@ -186,6 +187,42 @@ def test_dedup_keeps_old_events_that_arrive_for_the_first_time(spark, tmp_path):
     assert found.count() == found.select("id").distinct().count() == 300
 
 
+def test_dedup_keeps_one_state_and_tells_large_keys_apart(spark, tmp_path):
+    """Copies within an Arrow batch go without state; long keys beside a null are not taken for
+    floats."""
+    ids = [2 ** 53, 2 ** 53 + 1, None, None, 2 ** 53, 5] * 50
+    rows = spark.createDataFrame([(i,) for i in ids], "id long")
+    stream = ingest.land_in_batches(rows, str(tmp_path / "raw"), 2)
+    query = ingest.run_available(orders.dedup(stream, "id").writeStream.format("parquet").option(
+        "path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "mark")))
+    found = [r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(found, key=str) == sorted({*ids}, key=str)
+    assert len(query.lastProgress["stateOperators"]) == 1
+
+
+def test_landed_messages_are_compressed_and_whole(spark):
+    from pathlib import Path
+
+    from millrace.plans import orders as plans
+
+    before = {*Path(session.shared_folder(spark)).glob("orders_topic-*")}
+    plans._landed_messages(spark, SMALL)
+    topic, = {*Path(session.shared_folder(spark)).glob("orders_topic-*")} - before
+    files = [f for f in topic.iterdir() if f.name.startswith("part-")]
+    assert len(files) == plans.BATCHES and all(f.name.endswith(".gz") for f in files)
+    assert spark.read.text(str(topic)).count() == plans.order_rows(spark, SMALL).count()
+
+
+def test_newest_of_equal_rows_does_not_depend_on_their_order(spark):
+    rows = [(1, 5, "a", 2), (1, 5, "b", 1), (1, 4, "c", 9), (2, None, "d", 0)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k int, v int, s string, n int").coalesce(1)
+        found = latest_per_key(df, ["k"], ["v"]).collect()
+        assert sorted(map(tuple, found)) == [(1, 5, "b", 1), (2, None, "d", 0)]
+    maps = df.withColumn("m", F.create_map("s", "n"))
+    assert {(r["k"], r["v"]) for r in latest_per_key(maps, ["k"], ["v"]).collect()} == {(1, 5), (2, None)}
+
+
 def test_late_ticks_reach_their_window(spark, tmp_path):
     raw, out, mark = (str(tmp_path / n) for n in ("raw", "out", "mark"))
     times = ["2024-01-01 00:00:10", "2024-01-01 05:00:00", "2024-01-01 00:00:20",
